@@ -11,10 +11,14 @@ from pyspark.sql import types as T
 SNAP = 1e10
 
 
+def snap(c: Column) -> Column:
+    """The value without the noise of its last bits, for comparison with a threshold."""
+    return F.rint(c * SNAP) / SNAP
+
+
 def round_half_even(c: Column, digits: int) -> Column:
     scale = float(10**digits)
-    snapped = F.rint(c * SNAP) / SNAP
-    return F.rint(snapped * scale) / scale + F.lit(0.0)
+    return F.rint(snap(c) * scale) / scale + F.lit(0.0)
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickerlark.functions.numeric import snap
 from tickerlark.operators.indexing import with_row_index
 from tickerlark.schema import require
 
@@ -77,8 +78,9 @@ def rolling_success_rate(
 def throttle_advice(rolling: DataFrame, current_rate: int = REQUESTS_PER_MINUTE) -> DataFrame:
     """Raise, lower or hold the request rate, row by row."""
     enough = F.col("samples") >= MIN_SAMPLES
-    good = (F.col("success_rate") > 0.9) & (F.col("mean_response") < 2.0)
-    poor = (F.col("success_rate") < 0.7) | (F.col("mean_response") > 5.0)
+    success, response = snap(F.col("success_rate")), snap(F.col("mean_response"))
+    good = (success > 0.9) & (response < 2.0)
+    poor = (success < 0.7) | (response > 5.0)
     advice = F.when(enough & good, "raise").when(enough & poor, "lower").otherwise("hold")
     raised = min(current_rate + RATE_STEP, RATE_CEILING)
     lowered = max(current_rate - RATE_STEP, RATE_FLOOR)

@@ -171,18 +171,21 @@ def apply_signals(with_stats: DataFrame, params: Params = DEFAULTS, ts: str = "p
 
 
 def generate_signals(features: DataFrame, stats=None, params: Params = DEFAULTS) -> DataFrame:
-    """Signals for a batch of features. ``stats`` may be a stored one-row table."""
+    """Signals for a batch of features.
+
+    Statistics and signals both read ``features``, so these should be a stored table, as
+    ``posts_to_signals`` makes them. ``stats`` may be a stored one-row table too.
+    """
     return apply_signals(_with_stats(features, stats, params), params)
 
 
 def posts_to_signals(
-    posts: DataFrame, params: Params = DEFAULTS, stats=None, reuse_features: bool = False
+    posts: DataFrame, params: Params = DEFAULTS, stats=None, store_features: bool = True
 ) -> DataFrame:
     """Features, then signals.
 
-    The statistics and the signals both need the features. ``reuse_features`` stores them
-    once in the shared folder; otherwise they are computed twice, which is cheaper for
-    short posts than writing them.
+    Features are stored in the shared folder, so each text is scored once and not again for
+    the statistics and for every later filter on a signal.
     """
     features = extract_features(posts, params)
-    return generate_signals(materialise(features) if reuse_features else features, stats, params)
+    return generate_signals(materialise(features) if store_features else features, stats, params)

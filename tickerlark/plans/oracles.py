@@ -379,10 +379,10 @@ def oracle_sql() -> dict[str, str]:
     by_window = with_(*SIGNALS, W15, W60)
     rolled = f"({_WINDOW_OUT.join(['SELECT ', ' FROM w15'])} UNION ALL {_WINDOW_OUT.join(['SELECT ', ' FROM w60'])})"
     roll = f"""roll AS (SELECT event_id, user_id, ts, count(*) OVER w100 AS samples,
-  avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END) OVER w100 AS ok, avg(value / 20) OVER w50 AS took FROM events
+  {r("avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END) OVER w100", 10)} AS ok, {r('avg(value / 20) OVER w50', 10)} AS took FROM events
   WINDOW w100 AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 99 PRECEDING), w50 AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 49 PRECEDING))"""
-    advice = """CASE WHEN samples >= 10 AND ok > 0.9 AND took < 2.0 THEN 'raise'
-  WHEN samples >= 10 AND (ok < 0.7 OR took > 5.0) THEN 'lower' ELSE 'hold' END"""
+    advice = """CASE WHEN samples >= 10 AND ok > 0.9::DOUBLE AND took < 2.0 THEN 'raise'
+  WHEN samples >= 10 AND (ok < 0.7::DOUBLE OR took > 5.0) THEN 'lower' ELSE 'hold' END"""
     hist = f"""SELECT b AS bin, {r('lo + b * (hi - lo) / 30')} AS bin_start, {r('lo + (b + 1) * (hi - lo) / 30')} AS bin_end,
   count(v) AS frequency, {r('any_value(mean)')} AS mean FROM (SELECT unnest(range(30)) AS b) bins
   CROSS JOIN (SELECT min(signal_strength) AS lo, max(signal_strength) AS hi, avg(signal_strength) AS mean FROM signals) m

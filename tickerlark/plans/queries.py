@@ -14,7 +14,7 @@ from tickerlark.operators import aggregate as ag
 from tickerlark.operators import charts, clean, dedup, recommend, rolling, signals, vectors
 from tickerlark.operators import features as ft
 from tickerlark.plans import flows
-from tickerlark.session import scratch_path
+from tickerlark.session import materialise, scratch_path
 from tickerlark.sources import pages as pg
 from tickerlark.sources import storage
 from tickerlark.sources.posts import posts, posts_from_events, stream_events, table
@@ -41,8 +41,12 @@ def _features(spark, sf):
     return ft.extract_features(_clean(spark, sf))
 
 
+def _stored_features(spark, sf):
+    return materialise(_features(spark, sf))
+
+
 def _signals(spark, sf):
-    return signals.generate_signals(_features(spark, sf))
+    return signals.posts_to_signals(_clean(spark, sf))
 
 
 def _stored(spark, sf):
@@ -539,27 +543,27 @@ def batch_stats(spark, sf):
 
 @query
 def volume_signal(spark, sf):
-    return tidy(signals.volume_signal(_features(spark, sf)).select("id", "volume_signal"))
+    return tidy(signals.volume_signal(_stored_features(spark, sf)).select("id", "volume_signal"))
 
 
 @query
 def composite_signal(spark, sf):
-    return tidy(signals.composite_signal(_features(spark, sf)).select("id", "composite_signal"))
+    return tidy(signals.composite_signal(_stored_features(spark, sf)).select("id", "composite_signal"))
 
 
 @query
 def signal_strength(spark, sf):
-    return tidy(signals.signal_strength(_features(spark, sf)).select("id", "signal_strength"))
+    return tidy(signals.signal_strength(_stored_features(spark, sf)).select("id", "signal_strength"))
 
 
 @query
 def signal_confidence(spark, sf):
-    return tidy(signals.signal_confidence(_features(spark, sf)).select("id", "signal_confidence"))
+    return tidy(signals.signal_confidence(_stored_features(spark, sf)).select("id", "signal_confidence"))
 
 
 @query
 def signal_category(spark, sf):
-    strong = signals.signal_strength(_features(spark, sf))
+    strong = signals.signal_strength(_stored_features(spark, sf))
     return strong.select("id", signals.signal_category(F.col("signal_strength")).alias("signal_category"))
 
 
@@ -575,7 +579,7 @@ def generate_signals(spark, sf):
 
 @query
 def posts_to_signals(spark, sf):
-    scored = signals.posts_to_signals(posts(spark, sf), reuse_features=True)
+    scored = signals.posts_to_signals(posts(spark, sf))
     return tidy(scored.select("id", "sentiment_score", *SIGNAL_COLUMNS))
 
 
