@@ -25,6 +25,9 @@ from tickerlark.session import materialise
 
 K2 = (1.0 + math.log(1.5)) ** 2
 MARGIN = 1e-9
+# How much of a text a pair has to share in the prefixes before it is compared in full. More
+# slack means longer prefixes and fewer candidates.
+SLACK = 0.03
 # A shingle shared by the prefixes of more texts than this is combined with a second one.
 CROWDED = 200
 # At most this many rows of a lookup table are broadcast, see split_join.
@@ -122,10 +125,10 @@ def split_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> Dat
 class SimilarityIndex:
     """Shingles of a set of distinct texts, ready for joins at any threshold.
 
-    ``shingles`` holds (uid, shingle, c2, n, upto, total): the squared count, the number of
-    texts with the shingle, and the running sum of squares from the most common shingle of the
-    text down to this one. Shingles of a single text cannot be shared and only count in
-    ``total``.
+    ``shingles`` holds (uid, shingle, c2, n, upto, total, size): the squared count, the number of
+    texts with the shingle, the running sum of squares from the most common shingle of the text
+    down to this one, and sum and number over the whole text. Shingles of a single text cannot
+    be shared and only count in ``total`` and ``size``.
     """
 
     shingles: DataFrame
@@ -140,7 +143,9 @@ class SimilarityIndex:
         c = F.col("c").cast("double")
         counts = materialise(counts.select("uid", "shingle", (c * c).alias("c2")))
         frequency = counts.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
-        totals = counts.groupBy("uid").agg(F.sum("c2").alias("total"))
+        totals = counts.groupBy("uid").agg(
+            F.sum("c2").alias("total"), F.count("*").alias("size")
+        )
         common_first = (
             Window.partitionBy("uid")
             .orderBy(F.desc("n"), "shingle")
@@ -154,50 +159,80 @@ class SimilarityIndex:
         return cls(materialise(ranked))
 
     def blocks(self, threshold: float, crowded: int = CROWDED) -> DataFrame:
-        """(uid, key, second, m): texts that can reach the threshold share such a row.
+        """(uid, key, second, m, size, share, below, unseen): where texts that can reach the threshold meet.
+
+        Take the shared shingles of a similar pair, rarest first, until they hold more than
+        ``SLACK`` of one text. Each of them lies in the rare end ("prefix") of both texts,
+        upto >= (theta - SLACK) total: otherwise everything shared would be that text's common
+        part and less than SLACK, which is below its minimum share. So the pair meets on all of
+        them, and ``candidate_pairs`` asks for their share.
+
+        Where more than ``crowded`` texts meet in one shingle, the next shared shingle is added
+        to the key: what is shared is then less than SLACK, the two shingles, and whatever is
+        more common than the second. Meeting there counts as full share.
 
-        The rarest shared shingle of a similar pair lies in the rare end ("prefix") of both
-        texts: if it did not, everything shared would lie in one text's common part, which is
-        below its minimum share. Where more than ``crowded`` texts meet in one shingle, the
-        second rarest shared shingle is added by the same argument, counted together with the
-        first. ``m`` is the number of texts that share the row.
+        ``m`` is the number of texts that meet and ``size`` the number of shingles of the text;
+        of its mass, ``share`` lies in this shingle, ``below`` in more common ones, and
+        ``unseen`` in prefix shingles that are too crowded to be met alone.
         """
-        need = min_share(threshold) * (1.0 - MARGIN) * F.col("total")
+        need = (min_share(threshold) - SLACK) * (1.0 - MARGIN) * F.col("total")
         prefix = self.shingles.filter(F.col("upto") >= need)
         sizes = prefix.groupBy("shingle").agg(F.count("*").alias("m")).filter("m > 1")
         sized = split_join(prefix, sizes, "shingle", "m")
         small = sized.filter(F.col("m") <= crowded).select(
-            "uid", F.col("shingle").alias("key"), F.lit("").alias("second"), "m"
+            "uid",
+            F.col("shingle").alias("key"),
+            F.lit("").alias("second"),
+            "m",
+            (F.col("c2") / F.col("total")).alias("share"),
+            ((F.col("upto") - F.col("c2")) / F.col("total")).alias("below"),
+            "size",
+        )
+        large = materialise(
+            sized.filter(F.col("m") > crowded).select(
+                "uid",
+                F.col("shingle").alias("key"),
+                F.col("c2").alias("c2_1"),
+                F.col("n").alias("n_1"),
+                "total",
+                "size",
+            )
+        )
+        if large.isEmpty():
+            return small.withColumn("unseen", F.lit(0.0))
+        unseen = large.groupBy("uid").agg(
+            (F.sum("c2_1") / F.max("total")).alias("unseen")
         )
-        large = sized.filter(F.col("m") > crowded).select(
-            "uid", F.col("shingle").alias("key"), F.col("c2").alias("c2_1"), F.col("n").alias("n_1")
+        small = small.join(unseen, "uid", "left").withColumn(
+            "unseen", F.coalesce("unseen", F.lit(0.0))
         )
         more_common = (F.col("n") > F.col("n_1")) | (
             (F.col("n") == F.col("n_1")) & (F.col("shingle") < F.col("key"))
         )
         pairs = (
-            large.join(self.shingles, "uid")
+            large.drop("total", "size")
+            .join(self.shingles, "uid")
             .filter(more_common & (F.col("upto") + F.col("c2_1") >= need))
-            .select("uid", "key", F.col("shingle").alias("second"))
+            .select("uid", "key", F.col("shingle").alias("second"), "size")
         )
-        alone = (
-            large.join(self.shingles.groupBy("uid").agg(F.max("total").alias("total")), "uid")
-            .filter(F.col("c2_1") >= need)
-            .select("uid", "key", F.lit("").alias("second"))
+        alone = large.filter(F.col("c2_1") >= need).select(
+            "uid", "key", F.lit("").alias("second"), "size"
         )
         refined = materialise(pairs.unionByName(alone))
         counts = refined.groupBy("key", "second").agg(F.count("*").alias("m")).filter("m > 1")
         keyed = F.concat_ws("\t", "key", "second")
         joined = split_join(
-            refined.withColumn("_k", keyed),
-            counts.select(keyed.alias("_k"), "m"),
-            "_k",
-            "m",
-        ).drop("_k")
-        return small.unionByName(joined.select("uid", "key", "second", "m"))
+            refined.withColumn("_k", keyed), counts.select(keyed.alias("_k"), "m"), "_k", "m"
+        )
+        met = joined.select("uid", "key", "second", "m", "size")
+        one = F.lit(1.0)
+        return small.unionByName(met.withColumns({"share": one, "below": one, "unseen": one}))
 
     def verify(self, candidates: DataFrame, threshold: float, strict: bool) -> DataFrame:
-        """(uid_a, uid_b, similarity) of the candidate pairs that reach the threshold."""
+        """(uid_a, uid_b, similarity) of the candidate pairs that reach the threshold.
+
+        The shingles of ``uid_a`` are looked up in ``uid_b``, so the shorter text comes first.
+        """
         side = self.shingles.select("uid", "shingle", "c2", "total")
         a = side.select(
             F.col("uid").alias("uid_a"), "shingle", F.col("c2").alias("a2"), F.col("total").alias("ta")
@@ -222,14 +257,40 @@ class SimilarityIndex:
         return sums.select("uid_a", "uid_b", value.alias("similarity")).filter(reached)
 
     def pairs(self, threshold: float, strict: bool = False, blocks: DataFrame | None = None) -> DataFrame:
-        """Every pair of texts that reaches the threshold, ``uid_a`` < ``uid_b``."""
+        """Every pair of texts that reaches the threshold, once, the shorter text first."""
         blocks = self.blocks(threshold) if blocks is None else blocks
-        return self.verify(candidate_pairs(blocks), threshold, strict)
+        return self.verify(candidate_pairs(blocks, threshold), threshold, strict)
+
+
+def candidate_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of texts that can reach the threshold: an equi-join on the block, summed per pair.
+
+    Everything two texts share is met in a block, or is more common than each shingle they met
+    in, or is in a crowded shingle. The sum of these bounds the shared mass of each text, and
+    the product of the two norm ratios bounds their cosine.
+    """
+
+    def side(name: str) -> DataFrame:
+        columns = ["uid", "size", "share", "below", "unseen"]
+        return blocks.select("key", "second", *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+    met = side("a").join(side("b"), ["key", "second"]).filter(
+        (F.col("size_a") < F.col("size_b"))
+        | ((F.col("size_a") == F.col("size_b")) & (F.col("uid_a") < F.col("uid_b")))
+    )
+    sums = met.groupBy("uid_a", "uid_b").agg(
+        *[
+            measure(f"{c}_{s}").alias(f"{c}_{s}")
+            for s in "ab"
+            for c, measure in (("share", F.sum), ("below", F.min), ("unseen", F.max))
+        ]
+    )
 
+    def norm_ratio(s: str) -> Column:
+        mass = F.col(f"share_{s}") + F.col(f"below_{s}") + F.col(f"unseen_{s}")
+        mass = F.least(F.lit(1.0), mass + MARGIN)
+        return F.sqrt(mass / (mass + (1 - mass) * K2))
 
-def candidate_pairs(blocks: DataFrame) -> DataFrame:
-    """Distinct pairs of texts that meet in a block: an equi-join on the block key."""
-    left = blocks.select(F.col("uid").alias("uid_a"), "key", "second")
-    right = blocks.select(F.col("uid").alias("uid_b"), "key", "second")
-    met = left.join(right, ["key", "second"]).filter(F.col("uid_a") < F.col("uid_b"))
-    return met.select("uid_a", "uid_b").distinct()
+    enough = F.greatest("share_a", "share_b") > SLACK * (1.0 - MARGIN)
+    possible = norm_ratio("a") * norm_ratio("b") >= threshold * (1.0 - MARGIN)
+    return sums.filter(enough & possible).select("uid_a", "uid_b")

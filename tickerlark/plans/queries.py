@@ -17,7 +17,7 @@ from tickerlark.plans import flows
 from tickerlark.session import materialise, scratch_path
 from tickerlark.sources import pages as pg
 from tickerlark.sources import storage
-from tickerlark.sources.posts import posts, posts_from_events, stream_events, table
+from tickerlark.sources.posts import posts, posts_from_events, spread, stream_events, table
 from tickerlark.streaming import streams
 
 REF_TS = "2024-01-31 00:00:00"
@@ -56,7 +56,7 @@ def _stored(spark, sf):
 
 
 def _texts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
 def _digest(df: DataFrame, key: str, value) -> DataFrame:
@@ -177,7 +177,7 @@ def per_role_quota(spark, sf):
 
 @query
 def pages_to_posts(spark, sf):
-    return pg.page_articles(table(spark, sf, "pages"))
+    return pg.page_articles(spread(table(spark, sf, "pages"), "page_id"))
 
 
 # --- cleaning -------------------------------------------------------------------

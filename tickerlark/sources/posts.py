@@ -55,8 +55,18 @@ def posts_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Give every core a share of a table that arrives in fewer splits than there are cores.
+
+    Text work is bound by CPU, and a small file is a single split. A large table has far more
+    splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return posts_from_events(table(spark, sf_dir, "events"))
+    return posts_from_events(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
