@@ -107,13 +107,24 @@ def strip_special_chars(c: Column, keep_marks: bool = True) -> Column:
     return F.regexp_replace(c, f"[^{kept}]", " ")
 
 
+def _at_word_start(pattern: str, w: str) -> str:
+    """The pattern where no word character precedes it.
+
+    If it starts with a plain letter, the look-behind is put after that letter: it is then
+    tried at the few places where the letter occurs instead of at every character.
+    """
+    if "|" in pattern or not pattern[:2].isalpha():
+        return f"(?i)(?<![{w}])(?:{pattern})"
+    return f"(?i){pattern[0]}(?<![{w}]{pattern[0]}){pattern[1:]}"
+
+
 def standardize_terms(c: Column, terms=None, keep_marks: bool = True) -> Column:
     """Spell market terms in one way. ``terms`` is an ordered list of (regex, text)."""
     w = word_class(keep_marks)
     for pattern, spelling in STANDARD_TERMS if terms is None else terms:
-        c = F.regexp_replace(c, f"(?i)(?<![{w}])(?:{pattern})(?![{w}])", spelling)
+        c = F.regexp_replace(c, f"{_at_word_start(pattern, w)}(?![{w}])", spelling)
     if terms is None:
-        c = F.regexp_replace(c, f"(?i)(?<![{w}]){RUPEE_PREFIX[0]}", RUPEE_PREFIX[1])
+        c = F.regexp_replace(c, _at_word_start(RUPEE_PREFIX[0], w), RUPEE_PREFIX[1])
     return c
 
 
