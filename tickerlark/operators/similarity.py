@@ -159,7 +159,7 @@ class SimilarityIndex:
         return cls(materialise(ranked))
 
     def blocks(self, threshold: float, crowded: int = CROWDED) -> DataFrame:
-        """(uid, key, second, m, size, share, below, unseen): where texts that can reach the threshold meet.
+        """(uid, key, second, m, size, share, below, unseen, reach): where texts that can reach the threshold meet.
 
         Take the shared shingles of a similar pair, rarest first, until they hold more than
         ``SLACK`` of one text. Each of them lies in the rare end ("prefix") of both texts,
@@ -169,11 +169,12 @@ class SimilarityIndex:
 
         Where more than ``crowded`` texts meet in one shingle, the next shared shingle is added
         to the key: what is shared is then less than SLACK, the two shingles, and whatever is
-        more common than the second. Meeting there counts as full share.
+        more common than the second.
 
-        ``m`` is the number of texts that meet and ``size`` the number of shingles of the text;
-        of its mass, ``share`` lies in this shingle, ``below`` in more common ones, and
-        ``unseen`` in prefix shingles that are too crowded to be met alone.
+        ``m`` is the number of texts that meet and ``size`` the number of shingles of the text.
+        Of its mass, ``share`` lies in this shingle, ``below`` in more common ones, ``unseen`` in
+        prefix shingles that are too crowded to be met alone, and ``reach`` in a pair of
+        shingles that is met and in whatever is more common.
         """
         need = (min_share(threshold) - SLACK) * (1.0 - MARGIN) * F.col("total")
         prefix = self.shingles.filter(F.col("upto") >= need)
@@ -199,12 +200,12 @@ class SimilarityIndex:
             )
         )
         if large.isEmpty():
-            return small.withColumn("unseen", F.lit(0.0))
+            return small.withColumns({"unseen": F.lit(0.0), "reach": F.lit(0.0)})
         unseen = large.groupBy("uid").agg(
             (F.sum("c2_1") / F.max("total")).alias("unseen")
         )
-        small = small.join(unseen, "uid", "left").withColumn(
-            "unseen", F.coalesce("unseen", F.lit(0.0))
+        small = small.join(unseen, "uid", "left").withColumns(
+            {"unseen": F.coalesce("unseen", F.lit(0.0)), "reach": F.lit(0.0)}
         )
         more_common = (F.col("n") > F.col("n_1")) | (
             (F.col("n") == F.col("n_1")) & (F.col("shingle") < F.col("key"))
@@ -213,10 +214,20 @@ class SimilarityIndex:
             large.drop("total", "size")
             .join(self.shingles, "uid")
             .filter(more_common & (F.col("upto") + F.col("c2_1") >= need))
-            .select("uid", "key", F.col("shingle").alias("second"), "size")
+            .select(
+                "uid",
+                "key",
+                F.col("shingle").alias("second"),
+                "size",
+                ((F.col("upto") + F.col("c2_1")) / F.col("total")).alias("reach"),
+            )
         )
         alone = large.filter(F.col("c2_1") >= need).select(
-            "uid", "key", F.lit("").alias("second"), "size"
+            "uid",
+            "key",
+            F.lit("").alias("second"),
+            "size",
+            (F.col("c2_1") / F.col("total")).alias("reach"),
         )
         refined = materialise(pairs.unionByName(alone))
         counts = refined.groupBy("key", "second").agg(F.count("*").alias("m")).filter("m > 1")
@@ -224,9 +235,11 @@ class SimilarityIndex:
         joined = split_join(
             refined.withColumn("_k", keyed), counts.select(keyed.alias("_k"), "m"), "_k", "m"
         )
-        met = joined.select("uid", "key", "second", "m", "size")
-        one = F.lit(1.0)
-        return small.unionByName(met.withColumns({"share": one, "below": one, "unseen": one}))
+        met = joined.select("uid", "key", "second", "m", "size", "reach")
+        none = F.lit(0.0)
+        return small.unionByName(
+            met.withColumns({"share": none, "below": F.lit(1.0), "unseen": none})
+        )
 
     def verify(self, candidates: DataFrame, threshold: float, strict: bool) -> DataFrame:
         """(uid_a, uid_b, similarity) of the candidate pairs that reach the threshold.
@@ -266,12 +279,13 @@ def candidate_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     """Pairs of texts that can reach the threshold: an equi-join on the block, summed per pair.
 
     Everything two texts share is met in a block, or is more common than each shingle they met
-    in, or is in a crowded shingle. The sum of these bounds the shared mass of each text, and
-    the product of the two norm ratios bounds their cosine.
+    in, or is in a crowded shingle. If they share little before their first crowded shingle,
+    everything is met in a block or within the reach of that shingle and the next. Either sum
+    bounds the shared mass of each text, and the product of the norm ratios their cosine.
     """
 
     def side(name: str) -> DataFrame:
-        columns = ["uid", "size", "share", "below", "unseen"]
+        columns = ["uid", "size", "share", "below", "unseen", "reach"]
         return blocks.select("key", "second", *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     met = side("a").join(side("b"), ["key", "second"]).filter(
@@ -282,15 +296,21 @@ def candidate_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
         *[
             measure(f"{c}_{s}").alias(f"{c}_{s}")
             for s in "ab"
-            for c, measure in (("share", F.sum), ("below", F.min), ("unseen", F.max))
+            for c, measure in (
+                ("share", F.sum), ("below", F.min), ("unseen", F.max), ("reach", F.max)
+            )
         ]
     )
 
-    def norm_ratio(s: str) -> Column:
-        mass = F.col(f"share_{s}") + F.col(f"below_{s}") + F.col(f"unseen_{s}")
+    def norm_ratio(mass: Column) -> Column:
         mass = F.least(F.lit(1.0), mass + MARGIN)
         return F.sqrt(mass / (mass + (1 - mass) * K2))
 
+    def possible(*parts: str) -> Column:
+        ratios = [norm_ratio(sum(F.col(f"{p}_{s}") for p in parts)) for s in "ab"]
+        return ratios[0] * ratios[1] >= threshold * (1.0 - MARGIN)
+
     enough = F.greatest("share_a", "share_b") > SLACK * (1.0 - MARGIN)
-    possible = norm_ratio("a") * norm_ratio("b") >= threshold * (1.0 - MARGIN)
-    return sums.filter(enough & possible).select("uid_a", "uid_b")
+    listed = enough & possible("share", "below", "unseen")
+    refined = (F.col("reach_a") > 0) & possible("share", "reach")
+    return sums.filter(listed | refined).select("uid_a", "uid_b")
