@@ -53,9 +53,10 @@ def _luhn_sum(digits: Column, doubled: int) -> Column:
 
 def _kind(mention: Column) -> Column:
     out = F.lit(None).cast("string")
-    for kind, pattern in reversed(PATTERNS.items()):
+    # a credential is known by what stands before it, which is not seen here: it is what is left
+    for kind, pattern in sorted(reversed(PATTERNS.items()), key=lambda x: x[0] != "secret"):
         whole = f"^(?:{pattern})$"
-        if kind == "secret":  # its look-behind can't be seen here; it is what is left
+        if kind == "secret":
             hit = mention.rlike(r"^[A-Za-z0-9_+/-]{8,256}$") & ~mention.rlike(f"^(?:{PATTERNS['card']})$")
         elif kind == "card":
             hit = mention.rlike(whole) & (_luhn_sum(_digits(mention), 1) % 10 == 0)
