@@ -191,3 +191,29 @@ def test_split_join_sends_hot_keys_by_broadcast(spark):
     lookup = rows.groupBy("k").agg(F.count("*").alias("n"))
     joined = similarity.split_join(rows, lookup, "k", "n")
     assert joined.count() == 5000 and joined.filter("k = 0 and n = 3000").count() == 3000
+
+
+def test_template_with_a_running_number_ends_in_few_rounds(spark):
+    rows = [(f"{i:05d}", i, f"shipment dispatched northern warehouse arrives monday morning truck n{100000 + i}") for i in range(5000)]
+    assert cosine(rows[0][2], rows[1][2]) < 0.85
+    assert dedup.dedup_similarity(frame(spark, rows), PLAIN).count() == 5000
+
+
+def test_large_block_of_dissimilar_texts_and_copies(spark):
+    rng = random.Random(12)
+    head = [f"common{i}" for i in range(10)]
+    rows = []
+    for i in range(90):
+        tail = [f"t{rng.randrange(12)}" for _ in range(rng.choice([1, 3, 8]))]
+        rows.append((f"{i:04d}", i, " ".join(head + tail)))
+    got = ids(dedup.dedup_similarity(frame(spark, rows), PLAIN, crowded=5))
+    assert got == greedy_similarity(rows)
+
+
+def test_two_similar_texts_alternating_for_thirty_days(spark):
+    a, b = "alpha beta gamma delta epsilon zeta eta theta iota kappa", "alpha beta gamma delta epsilon zeta eta theta iota kappa the x"
+    assert 0.8 < cosine(a, b)
+    n = 30 * 24 * 60
+    rows = [(f"{i:06d}", 60 * i, (a, b)[i % 2]) for i in range(n)]
+    kept = ids(dedup.dedup_temporal(frame(spark, rows), PLAIN))
+    assert kept == {f"{i:06d}" for i in range(0, n, 6)}

@@ -76,8 +76,8 @@ def test_timeline_and_histogram(spark):
     rows = [(i, float(i), 0.5, 0.0) for i in range(20)]
     df = spark.createDataFrame(rows, "t int, signal_strength double, signal_confidence double, sentiment_score double")
     df = df.withColumn("signal_timestamp", F.timestamp_seconds(F.col("t") * 60))
-    assert charts.timeline_downsample(df, 20).count() == 20
-    assert charts.timeline_downsample(df, 19).count() == 4
+    assert charts.timeline_downsample(df, "raw").count() == 20
+    assert charts.timeline_downsample(df).count() == 4
     bins = charts.histogram(df, "signal_strength", 4).orderBy("bin").collect()
     assert [b["frequency"] for b in bins] == [5, 5, 5, 5] and bins[3]["bin_end"] == 19.0
     flat = charts.histogram(df, "signal_confidence", 2).orderBy("bin").collect()

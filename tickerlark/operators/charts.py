@@ -17,14 +17,13 @@ def sort_by_time(df: DataFrame, ts: str = "signal_timestamp", id_col: str = "id"
 
 
 def timeline_downsample(
-    signals: DataFrame, max_points: int = DEFAULTS.max_points, size: str = "5 minutes"
+    signals: DataFrame, mode: str = "windowed", size: str = "5 minutes"
 ) -> DataFrame:
-    """The signal timeline; above ``max_points`` rows as means per window.
-
-    Whether there are more rows is found by reading at most ``max_points`` + 1 of them.
-    """
+    """The signal timeline: means per window, or every point with mode ``raw``."""
+    if mode not in ("windowed", "raw"):
+        raise ValueError(f"unknown mode {mode!r}")
     points = signals.select("signal_timestamp", *_TIMELINE)
-    if points.limit(max_points + 1).count() <= max_points:
+    if mode == "raw":
         return points
     means = points.groupBy(F.window("signal_timestamp", size).alias("w")).agg(
         *[F.avg(c).alias(c) for c in _TIMELINE]

@@ -160,15 +160,27 @@ def near_duplicate_pairs(
 # ----------------------------------------------------------------------------- greedy by text
 
 
+def _similar(met: DataFrame, spaces: Sequence[tuple[SimilarityIndex, float]]) -> DataFrame:
+    """(uid_a, uid_b) of the pairs (uid_a, uid_b, block) that are similar in the block's space."""
+    found = None
+    for number, (index, threshold) in enumerate(spaces):
+        own = met.filter(F.col("block.space") == number).select("uid_a", "uid_b").distinct()
+        similar = index.verify(own, threshold, True).select("uid_a", "uid_b")
+        found = similar if found is None else found.union(similar)
+    return found.distinct()
+
+
 def _resolve(
-    order: DataFrame, spaces: Sequence[tuple[SimilarityIndex, float]], max_rounds: int,
-    crowded: int,
+    order: DataFrame, spaces: Sequence[tuple[SimilarityIndex, float]], crowded: int
 ) -> DataFrame:
     """The uids dropped by keep-first: similar to an earlier uid that is kept.
 
     ``order`` is (uid, at). Pairs are listed only inside blocks of at most ``crowded`` texts. In
-    a larger block only its first open text is compared with the others, once it is kept: a
-    group of near copies then costs one comparison per member and round, not all pairs.
+    a larger block the first open texts are compared among themselves, and with the others once
+    they are kept: a group of near copies costs one comparison per member and kept text, not all
+    pairs. Their number doubles with each round, so texts that are not similar after all are
+    settled in as many rounds as the logarithm of the block. The first open text of all is
+    settled in each round, so the rounds always end.
     """
     edges, heavy = None, None
     for number, (index, threshold) in enumerate(spaces):
@@ -195,27 +207,39 @@ def _resolve(
     touched = touched.union(heavy.select("uid")).distinct()
     open_uids = materialise(touched)
     dropped = open_uids.limit(0)
-    for _ in range(max_rounds):
-        if open_uids.isEmpty():
-            return dropped
+    first = 16
+    while not open_uids.isEmpty():
         blocked = edges.select(F.col("later").alias("uid"))
         if any_heavy:
-            heads = materialise(heavy.groupBy("block").agg(F.min("at").alias("head_at")))
-            behind = heavy.join(heads, "block").filter(F.col("at") > F.col("head_at"))
-            blocked = blocked.union(behind.select("uid"))
+            rank = F.row_number().over(Window.partitionBy("block").orderBy("at", "uid"))
+            heads = heavy.withColumn("_rank", rank).filter(F.col("_rank") <= first).drop("_rank")
+            heads = materialise(heads)
+            behind = heavy.join(heads.select("block", "uid"), ["block", "uid"], "left_anti")
+            ahead = heads.select("block", F.col("uid").alias("uid_a"), F.col("at").alias("_before"))
+            among = ahead.join(heads, "block").filter(F.col("_before") < F.col("at"))
+            known = edges.select(F.col("first").alias("uid_a"), F.col("later").alias("uid_b"))
+            found = _similar(among.select("uid_a", F.col("uid").alias("uid_b"), "block"), spaces)
+            # verify() puts the shorter text first; here the earlier one leads
+            found = found.join(order.select(F.col("uid").alias("uid_a"), F.col("at").alias("at_a")), "uid_a")
+            found = found.join(order.select(F.col("uid").alias("uid_b"), F.col("at").alias("at_b")), "uid_b")
+            led = F.col("at_a") < F.col("at_b")
+            found = found.select(
+                F.when(led, F.col("uid_a")).otherwise(F.col("uid_b")).alias("uid_a"),
+                F.when(led, F.col("uid_b")).otherwise(F.col("uid_a")).alias("uid_b"),
+            )
+            edges = materialise(
+                known.union(found).distinct().select(F.col("uid_a").alias("first"), F.col("uid_b").alias("later"))
+            )
+            blocked = edges.select(F.col("later").alias("uid")).union(behind.select("uid"))
+            first *= 2
         kept = materialise(open_uids.join(blocked.distinct(), "uid", "left_anti"))
         hit = edges.join(kept.withColumnRenamed("uid", "first"), "first").select(
             F.col("later").alias("uid")
         )
         if any_heavy:
             leaders = heavy.join(kept, "uid").select(F.col("uid").alias("uid_a"), "block")
-            met = leaders.join(heavy, "block").filter(F.col("uid") != F.col("uid_a"))
-            for number, (index, threshold) in enumerate(spaces):
-                candidates = met.filter(F.col("block.space") == number).select(
-                    "uid_a", F.col("uid").alias("uid_b")
-                )
-                similar = index.verify(candidates.distinct(), threshold, True)
-                hit = hit.union(similar.select(F.col("uid_b").alias("uid")))
+            met = leaders.join(behind, "block").select("uid_a", F.col("uid").alias("uid_b"), "block")
+            hit = hit.union(_similar(met, spaces).select(F.col("uid_b").alias("uid")))
         gone = materialise(hit.distinct())
         decided = kept.union(gone)
         dropped = dropped.union(gone)
@@ -229,11 +253,11 @@ def _resolve(
         if any_heavy:
             heavy = materialise(heavy.join(still, "uid", "left_semi"))
             any_heavy = not heavy.isEmpty()
-    raise RuntimeError(f"duplicates not resolved after {max_rounds} rounds")
+    return dropped
 
 
 def dedup_similarity(
-    df: DataFrame, params: Params = DEFAULTS, max_rounds: int = 1000, crowded: int = CROWDED
+    df: DataFrame, params: Params = DEFAULTS, crowded: int = CROWDED
 ) -> DataFrame:
     """Drop a row if an earlier kept row is similar, or a repost of the same text.
 
@@ -259,7 +283,6 @@ def dedup_similarity(
     dropped = _resolve(
         order,
         [(texts, params.similarity_threshold), (origins, params.repost_threshold)],
-        max_rounds,
         crowded,
     )
     kept = units.join(dropped.withColumnRenamed("uid", "id"), "id", "left_anti")
@@ -324,7 +347,7 @@ def _kept_in_chains(points: DataFrame, width: int) -> DataFrame:
 
 
 def _kept_in_rounds(
-    points: DataFrame, neighbours: DataFrame, width: int, max_rounds: int
+    points: DataFrame, neighbours: DataFrame, width: int
 ) -> DataFrame:
     """Points (text, t, id) kept when texts have similar other texts.
 
@@ -347,9 +370,7 @@ def _kept_in_rounds(
         ).agg(F.max(last).alias("last"))
         return same.join(previous, ["text", "b"], "full")
 
-    for _ in range(max_rounds):
-        if open_points.isEmpty():
-            return kept_all
+    while not open_points.isEmpty():
         spans = materialise(
             open_points.groupBy("text", "b").agg(F.min(at).alias("lo"), F.max("t").alias("hi"))
         )
@@ -366,13 +387,43 @@ def _kept_in_rounds(
             F.col("last") >= F.col("t") - width, F.lit(False)
         )
         open_points = materialise(judged.filter(~decided).select("text", "t", "id", "b"))
-    raise RuntimeError(f"time clusters not resolved after {max_rounds} rounds")
+    return kept_all
 
 
-def dedup_temporal(
-    df: DataFrame, params: Params = DEFAULTS, max_rounds: int = 20_000
-) -> DataFrame:
-    """Drop a post if a kept post of similar text was made at most the window before it."""
+def _mutual_groups(similar: DataFrame) -> DataFrame:
+    """(text, group): texts that are all similar to each other and to no other text.
+
+    Components by the smallest label, halving paths each round; a component of n texts is such
+    a group if it has n (n - 1) / 2 pairs.
+    """
+    both = similar.select(F.col("uid_a").alias("text"), F.col("uid_b").alias("other"))
+    both = both.union(similar.select(F.col("uid_b").alias("text"), F.col("uid_a").alias("other")))
+    least = F.least(F.min("other"), F.col("text"))
+    labels = materialise(both.groupBy("text").agg(least.alias("group")))
+    while True:
+        named = labels.select(F.col("text").alias("other"), F.col("group").alias("near"))
+        near = both.join(named, "other").groupBy("text").agg(F.min("near").alias("near"))
+        lower = labels.join(near, "text").select("text", F.least("group", "near").alias("group"))
+        lower = materialise(lower)
+        jump = lower.select(F.col("text").alias("group"), F.col("group").alias("root"))
+        new = materialise(lower.join(jump, "group").select("text", F.col("root").alias("group")))
+        if new.join(labels, ["text", "group"], "left_anti").isEmpty():
+            break
+        labels = new
+    pairs = similar.select(F.col("uid_a").alias("text")).join(labels, "text")
+    pairs = pairs.groupBy("group").agg(F.count("*").alias("pairs"))
+    sizes = labels.groupBy("group").agg(F.count("*").alias("n")).join(pairs, "group")
+    mutual = sizes.filter(F.col("pairs") * 2 == F.col("n") * (F.col("n") - 1)).select("group")
+    return labels.join(mutual, "group").select("text", "group")
+
+
+def dedup_temporal(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Drop a post if a kept post of similar text was made at most the window before it.
+
+    Texts that are all similar to each other, and to nothing else, act as one text, whose chain
+    of kept posts is followed by doubling. Other similar texts take a round per window of their
+    longest run without a pause.
+    """
     width = params.temporal_window_minutes * 60_000_000
     text = tx.comparison_text(F.coalesce("content", F.lit("")))
     rows = require(df, "id", "post_ts", "content").withColumn("_text", text)
@@ -390,16 +441,20 @@ def dedup_temporal(
     there = similar.select(F.col("uid_a").alias("text"), F.col("uid_b").alias("other"))
     back = similar.select(F.col("uid_b").alias("text"), F.col("uid_a").alias("other"))
     both = there.union(back)
-    linked = materialise(both.select("text").distinct())
-    alone = points.join(linked, "text", "left_anti")
+    mutual = materialise(_mutual_groups(similar))
+    linked = both.select("text").distinct().join(mutual, "text", "left_anti")
+    linked = materialise(linked)
+    alone = points.join(linked, "text", "left_anti").join(mutual, "text", "left")
+    alone = alone.withColumn("text", F.coalesce("group", "text")).drop("group")
     firsts = materialise(alone.groupBy("text", "t").agg(F.min("id").alias("id")))
     chains = firsts.join(_kept_in_chains(firsts.select("text", "t"), width), ["text", "t"])
     kept_ids = chains.select("id")
     if not linked.isEmpty():
-        neighbours = materialise(both.union(linked.select("text", F.col("text").alias("other"))))
+        others = both.join(linked, "text", "left_semi")
+        neighbours = materialise(others.union(linked.select("text", F.col("text").alias("other"))))
         among = points.join(linked, "text", "left_semi")
         kept_ids = kept_ids.union(
-            _kept_in_rounds(among, neighbours, width, max_rounds).select("id")
+            _kept_in_rounds(among, neighbours, width).select("id")
         )
     kept = rows.filter("_usable").join(kept_ids, "id", "left_semi")
     return kept.unionByName(rows.filter("not _usable")).select(*df.columns)

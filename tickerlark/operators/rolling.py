@@ -22,21 +22,20 @@ SUCCESS_ROWS, RESPONSE_ROWS, MIN_SAMPLES = 100, 50, 10
 
 
 def _with_lookback(df: DataFrame, position: Column, width: int, lookback: int) -> DataFrame:
-    """Copy each row to its slice of ``width`` and, as context, to the next slice if the
-    rows there look back on it. ``lookback`` is smaller than ``width``."""
+    """Copy each row to its slice of ``width`` and, as context, to every later slice whose
+    rows look back on it."""
     own = F.floor(position / width)
     reached = F.floor((position + lookback) / width)
-    slices = F.array(own, F.when(reached > own, reached))
-    copies = df.withColumn("_own", own).withColumn("_slice", F.explode(slices))
-    return copies.filter(F.col("_slice").isNotNull())
+    return df.withColumn("_own", own).withColumn("_slice", F.explode(F.sequence(own, reached)))
 
 
 def trailing_request_count(
     log: DataFrame, key: str, ts: str = "ts", seconds: int = 60, limit: int = REQUESTS_PER_MINUTE,
-    slice_seconds: int = 600,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Requests of the same key in the last ``seconds``, the current one included, and whether
-    the limit was already reached before it."""
+    the limit was already reached before it. A slice is ten look-backs long unless given."""
+    slice_seconds = slice_seconds or 10 * seconds
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     at = require(log, key, ts).withColumn("_at", micros)
     span = seconds * 1_000_000

@@ -235,12 +235,30 @@ class SimilarityIndex:
         joined = split_join(
             refined.withColumn("_k", keyed), counts.select(keyed.alias("_k"), "m"), "_k", "m"
         )
-        met = joined.select("uid", "key", "second", "m", "size", "reach")
+        met = self._possible(joined, small, threshold)
         none = F.lit(0.0)
         return small.unionByName(
             met.withColumns({"share": none, "below": F.lit(1.0), "unseen": none})
         )
 
+    def _possible(self, met: DataFrame, small: DataFrame, threshold: float) -> DataFrame:
+        """The members of blocks on two shingles that can reach the threshold with some member.
+
+        What a pair shares is at most what each shares in small blocks and the reach of the block,
+        so a member whose bound fails even with the farthest reaching member has no partner here,
+        and a block of texts that differ in the rest is gone before any join.
+        """
+        alone = small.groupBy("uid").agg(F.sum("share").alias("_small"))
+        mass = F.coalesce("_small", F.lit(0.0)) + F.col("reach")
+        rated = met.join(alone, "uid", "left").withColumn("_ratio", norm_ratio(mass))
+        best = rated.groupBy("key", "second").agg(F.max("_ratio").alias("_best"))
+        enough = F.col("_ratio") * F.col("_best") >= threshold * (1.0 - MARGIN)
+        left = materialise(
+            rated.join(best, ["key", "second"]).filter(enough).select("uid", "key", "second", "size", "reach")
+        )
+        counts = left.groupBy("key", "second").agg(F.count("*").alias("m")).filter("m > 1")
+        return left.join(counts, ["key", "second"]).select("uid", "key", "second", "m", "size", "reach")
+
     def verify(self, candidates: DataFrame, threshold: float, strict: bool) -> DataFrame:
         """(uid_a, uid_b, similarity) of the candidate pairs that reach the threshold.
 
@@ -275,6 +293,12 @@ class SimilarityIndex:
         return self.verify(candidate_pairs(blocks, threshold), threshold, strict)
 
 
+def norm_ratio(mass: Column) -> Column:
+    """The largest share of a text's norm that shared shingles of this share of its mass give."""
+    mass = F.least(F.lit(1.0), mass + MARGIN)
+    return F.sqrt(mass / (mass + (1 - mass) * K2))
+
+
 def candidate_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     """Pairs of texts that can reach the threshold: an equi-join on the block, summed per pair.
 
@@ -302,10 +326,6 @@ def candidate_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
         ]
     )
 
-    def norm_ratio(mass: Column) -> Column:
-        mass = F.least(F.lit(1.0), mass + MARGIN)
-        return F.sqrt(mass / (mass + (1 - mass) * K2))
-
     def possible(*parts: str) -> Column:
         ratios = [norm_ratio(sum(F.col(f"{p}_{s}") for p in parts)) for s in "ab"]
         return ratios[0] * ratios[1] >= threshold * (1.0 - MARGIN)

@@ -16,13 +16,14 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StopWordsRemover,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlark.functions import sentiment as st
 from tickerlark.functions import text as tx
-from tickerlark.operators.similarity import one_and_two_grams
+from tickerlark.operators.similarity import one_and_two_grams, split_join
 from tickerlark.params import DEFAULTS, Params
+from tickerlark.session import materialise
 
 
 def _tagged_text(df: DataFrame) -> Column:
@@ -41,33 +42,35 @@ def _term_counts(df: DataFrame, id_col: str, min_chars: int, params: Params) ->
     return grams.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
 
-def _vocabulary(counts: DataFrame, size: int) -> DataFrame:
-    """The most frequent terms: at most ``size`` rows, so small enough to broadcast."""
+def _vocabulary(counts: DataFrame, size: int | None) -> DataFrame:
+    """All terms, or the ``size`` most frequent."""
     terms = counts.groupBy("term").agg(F.sum("tf").alias("_total"), F.count("*").alias("df"))
-    return terms.orderBy(F.desc("_total"), "term").limit(size).select("term", "df")
+    if size is not None:
+        terms = terms.orderBy(F.desc("_total"), "term").limit(size)
+    return terms.select("term", "df")
 
 
 def count_vectors(df: DataFrame, id_col: str = "id", params: Params = DEFAULTS) -> DataFrame:
-    """(id, term, count) over the most frequent 1- and 2-grams, words of two letters or more."""
+    """(id, term, count) of all 1- and 2-grams, words of two letters or more; of the most frequent
+    ones if ``params.max_features`` is set."""
     counts = _term_counts(df, id_col, 2, params)
-    vocabulary = _vocabulary(counts, params.max_features).select("term")
-    known = counts.join(F.broadcast(vocabulary), "term")
-    return known.select(id_col, "term", F.col("tf").alias("count"))
+    if params.max_features is not None:
+        counts = materialise(counts)
+        counts = split_join(counts, _vocabulary(counts, params.max_features), "term", "df")
+    return counts.select(id_col, "term", F.col("tf").alias("count"))
 
 
 def tfidf_vectors(df: DataFrame, id_col: str = "id", params: Params = DEFAULTS) -> DataFrame:
     """(id, term, weight): tf * (ln((1 + n) / (1 + df)) + 1), each post scaled to length 1."""
-    counts = _term_counts(df, id_col, 1, params)
+    counts = materialise(_term_counts(df, id_col, 1, params))
     n = df.select(F.count("*").alias("n")).scalar()
     idf = F.log((n + 1) / (F.col("df") + 1)) + 1
-    vocabulary = _vocabulary(counts, params.max_features).select("term", idf.alias("idf"))
-    raw = counts.join(F.broadcast(vocabulary), "term").select(
-        id_col, "term", (F.col("tf") * F.col("idf")).alias("raw")
-    )
-    length = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return raw.join(length, id_col).select(
-        id_col, "term", (F.col("raw") / F.col("length")).alias("weight")
-    )
+    known = split_join(counts, _vocabulary(counts, params.max_features), "term", "df")
+    raw = known.select(id_col, "term", (F.col("tf") * idf).alias("raw"))
+    # A window over the terms of one post, whose number its own text bounds.
+    of_post = Window.partitionBy(id_col)
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(of_post))
+    return raw.select(id_col, "term", (F.col("raw") / length).alias("weight"))
 
 
 def tfidf_features(

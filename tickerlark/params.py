@@ -30,7 +30,7 @@ class Params:
     min_support: int = 3
     target_hashtags: tuple[str, ...] = field(default=tuple(const.TARGET_HASHTAGS))
     # vectors and charts
-    max_features: int = 10_000
+    max_features: int | None = None  # of a vocabulary; None keeps all terms
     max_points: int = 1_000
 
 

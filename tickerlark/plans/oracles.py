@@ -330,7 +330,7 @@ def vocabulary(source: str, key: str, text: str, min_chars: int) -> list[str]:
     words = f"array_to_string(string_split_regex(lower({text}), '[^{WORD}]+'), ' ')"
     return [
         shingled(source, key, words, "sh", min_chars),
-        f"""voc AS (SELECT s, count(*) AS df FROM sh GROUP BY s ORDER BY sum(c) DESC, s LIMIT {DEFAULTS.max_features})""",
+        "voc AS (SELECT s, count(*) AS df FROM sh GROUP BY s)",
     ]
 
 
@@ -531,8 +531,7 @@ d2 AS (SELECT count(*) AS n, count(DISTINCT (un, t)) AS k FROM d), rws AS (SELEC
         # charts
         "sort_by_time": base + "SELECT id, post_ts FROM posts ORDER BY post_ts, id",
         "timeline_downsample": sigs + f"""SELECT time_bucket(INTERVAL '5 minutes', signal_timestamp) AS signal_timestamp, {r('avg(signal_strength)')} AS signal_strength,
-  {r('avg(signal_confidence)')} AS signal_confidence, {r('avg(sentiment_score)')} AS sentiment_score FROM signals GROUP BY 1 HAVING (SELECT count(*) FROM signals) > 1000
-  UNION ALL SELECT signal_timestamp, {r('signal_strength')}, {r('signal_confidence')}, {r('sentiment_score')} FROM signals WHERE (SELECT count(*) FROM signals) <= 1000""",
+  {r('avg(signal_confidence)')} AS signal_confidence, {r('avg(sentiment_score)')} AS sentiment_score FROM signals GROUP BY 1""",
         "trend_line": sigs + f"""SELECT count(*) AS points, {r('regr_slope(signal_strength, x) * 1e6')} AS slope_per_million, {r('regr_intercept(signal_strength, x)')} AS intercept
   FROM (SELECT signal_strength, (row_number() OVER (ORDER BY signal_timestamp, id) - 1)::DOUBLE AS x FROM signals)""",
         "histogram": sigs + hist,
@@ -551,8 +550,9 @@ d2 AS (SELECT count(*) AS n, count(DISTINCT (un, t)) AS k FROM d), rws AS (SELEC
         "throttle_advice": with_(roll) + f"""SELECT event_id, samples, {advice} AS advice,
   (CASE ({advice}) WHEN 'raise' THEN 65 WHEN 'lower' THEN 55 ELSE 60 END)::INTEGER AS advised_rate FROM roll""",
         # streaming
-        "stream_time_agg": with_(*SIGNALS, W15) + f"""SELECT {_WINDOW_OUT} FROM w15
-  WHERE time_window + INTERVAL '15 minutes' <= (SELECT max(signal_timestamp) FROM signals) - INTERVAL '10 minutes'""",
+        "stream_time_agg": with_(*SIGNALS, W15) + f"SELECT {_WINDOW_OUT} FROM w15",
+        "stream_dedup": base + f"""SELECT content_hash FROM (SELECT md5({compared('content')}) AS content_hash, post_ts,
+  lag(post_ts) OVER (PARTITION BY {compared('content')} ORDER BY post_ts, id) AS before FROM posts) GROUP BY content_hash""",
         "latest_points": sigs + f"""SELECT id, signal_timestamp, {r('signal_strength')} AS signal_strength, {r('sentiment_score')} AS sentiment_score,
   retweets_count + likes_count AS volume FROM signals ORDER BY signals.signal_timestamp DESC, id LIMIT 1000""",
         "stream_signals": sigs + f"SELECT id, {_SIGNAL_OUT} FROM signals",

@@ -157,7 +157,7 @@ def collect_union(spark, sf):
 
 @query
 def search_by_hashtag(spark, sf):
-    found = storage.search_by_hashtag(posts(spark, sf), "#Sensex", REF_TS, hours_back=72, max_posts=100)
+    found = storage.search_by_hashtag(_stored(spark, sf), "#Sensex", REF_TS, hours_back=72, max_posts=100)
     return found.select("id", "post_ts", "content")
 
 
@@ -176,10 +176,16 @@ def per_role_quota(spark, sf):
 
 
 @query
-def pages_to_posts(spark, sf):
+def page_articles(spark, sf):
     return pg.page_articles(spread(table(spark, sf, "pages"), "page_id"))
 
 
+@query
+def pages_to_posts(spark, sf):
+    found = pg.pages_to_posts(spread(table(spark, sf, "pages"), "page_id"), REF_TS)
+    return found.select("id", "username", "post_ts", "content", "url", *pg.ENGAGEMENT)
+
+
 # --- cleaning -------------------------------------------------------------------
 
 
@@ -758,7 +764,7 @@ def limit_rows(spark, sf):
 @query
 def trailing_request_count(spark, sf):
     log = table(spark, sf, "events").select("event_id", "event_type", "ts")
-    counted = rolling.trailing_request_count(log, "event_type", seconds=3600, limit=5, slice_seconds=86400)
+    counted = rolling.trailing_request_count(log, "event_type", seconds=3600, limit=5)
     return counted.select("event_id", "event_type", "trailing_requests", "over_limit")
 
 

@@ -127,8 +127,11 @@ def page_articles(pages: DataFrame) -> DataFrame:
     ).filter(F.col("content") != "")
 
 
-def pages_to_posts(pages: DataFrame, ref_ts) -> DataFrame:
-    """Posts marked up in pages; those without author or text are dropped."""
+def pages_to_posts(
+    pages: DataFrame, ref_ts, post_url: str = "https://twitter.com/"
+) -> DataFrame:
+    """Posts marked up in pages; those without author or text are dropped. The url of a post is
+    ``post_url``, its author and its id."""
     now = F.lit(ref_ts).cast("timestamp")
     post = parse_pages(pages).select("page_id", F.inline("posts"))
     author = F.replace(F.trim("author"), F.lit("@"), F.lit(""))
@@ -149,7 +152,7 @@ def pages_to_posts(pages: DataFrame, ref_ts) -> DataFrame:
         "*",
         tx.extract_tags(F.col("content"), "#").alias("hashtags"),
         tx.extract_tags(F.col("content"), "@").alias("mentions"),
-        F.lit("").alias("url"),
+        F.concat(F.lit(post_url), "username", F.lit("/status/"), key).alias("url"),
         F.lit(False).alias("is_retweet"),
         F.lit("en").alias("language"),
     )

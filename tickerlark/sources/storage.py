@@ -33,7 +33,7 @@ def filter_date_range(df: DataFrame, start, end, ts: str = "post_ts") -> DataFra
     directories outside it are never listed or read.
     """
     require(df, ts)
-    low, high = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    low, high = (F.lit(x).cast("timestamp") if not isinstance(x, Column) else x for x in (start, end))
     kept = df.filter(F.col(ts).between(low, high))
     if set(DATE_COLUMNS) <= set(df.columns):
         kept = kept.filter(_partition_date().between(F.to_date(low), F.to_date(high)))
@@ -61,19 +61,22 @@ def with_partition_columns(df: DataFrame, ts: str = "post_ts") -> DataFrame:
 
 
 def write_posts_partitioned(
-    df: DataFrame, base: str, ts: str = "post_ts", files_per_day: int = 1, mode: str = "append"
+    df: DataFrame, base: str, ts: str = "post_ts", files_per_day: int | None = None,
+    mode: str = "append",
 ) -> str:
     """Append to ``base/year=/month=/day=``.
 
-    Rows are spread over ``files_per_day`` writers per date by a hash of the whole row, so a
-    date that holds most of the data is not written by one task.
+    Rows are gathered by date and adaptive execution cuts large dates into several writers by
+    their size. With ``files_per_day`` each date gets that many, by a hash of the whole row.
     """
     parts = with_partition_columns(require(df, ts), ts)
-    plain = [F.col(c) for c in df.columns]
-    spread = F.pmod(F.xxhash64(*plain), F.lit(files_per_day))
+    if files_per_day is None:
+        gathered = parts.hint("rebalance", *DATE_COLUMNS)
+    else:
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
+        gathered = parts.repartition(*DATE_COLUMNS, spread)
     (
-        parts.repartition(*DATE_COLUMNS, spread)
-        .write.mode(mode)
+        gathered.write.mode(mode)
         .partitionBy(*DATE_COLUMNS)
         .option("compression", "snappy")
         .parquet(base)
@@ -90,14 +93,16 @@ def write_single(df: DataFrame, path: str) -> str:
 def save_posts(
     df: DataFrame, base: str, collected_at=None, partition_by_date: bool = True, **options
 ) -> str:
-    """Stamp with the time of collection and the data version, then write."""
+    """Stamp with the time of collection and the data version, then write: by date, or as
+    plain files that adaptive execution sizes."""
     stamp = F.current_timestamp() if collected_at is None else F.lit(collected_at)
     stamped = coerce_storage_types(df).withColumns(
         {"collected_at": stamp.cast("timestamp"), "data_version": F.lit(DATA_VERSION)}
     )
     if partition_by_date and "post_ts" in stamped.columns:
         return write_posts_partitioned(stamped, base, **options)
-    return write_single(stamped, base)
+    stamped.hint("rebalance").write.mode("errorifexists").parquet(base)
+    return base
 
 
 def save_processed(df: DataFrame, path: str, metadata: dict | None = None) -> str:
@@ -158,8 +163,8 @@ def search_by_hashtag(
     df: DataFrame, hashtag: str, ref_ts, hours_back: int = 24, max_posts: int = 100
 ) -> DataFrame:
     """The newest posts with a tag in the last hours: a top-k, not a full sort."""
-    since = F.timestamp_add("HOUR", F.lit(-hours_back), F.lit(ref_ts).cast("timestamp"))
-    recent = df.filter((F.col("post_ts") >= since) & (F.col("post_ts") <= F.lit(ref_ts)))
+    now = F.lit(ref_ts).cast("timestamp")
+    recent = filter_date_range(df, F.timestamp_add("HOUR", F.lit(-hours_back), now), now)
     found = filter_hashtags(recent, [hashtag])
     return found.orderBy(F.col("post_ts").desc(), "id").limit(max_posts)
 
@@ -170,17 +175,19 @@ def per_source_quota(
     target: int = 2000,
     source: str | None = None,
     order: Sequence[str] = ("post_ts", "id"),
-    salts: int = 32,
+    slices: int | None = None,
 ) -> DataFrame:
     """The newest ``target // len(sources)`` rows of each source, then at most ``target``.
 
     Without ``source`` the sources are hashtags and a post counts for each tag it carries.
-    Each source is first cut to its quota within hash slices, so even a source with most of
-    the rows sends at most ``quota`` rows per slice to its final ranking.
+    Each source is first cut to its quota within hash slices (as many as shuffle partitions,
+    unless given), so even a source with most of the rows sends at most ``quota`` rows per slice
+    to its final ranking.
     """
     from pyspark.sql import Window
 
     quota = target // len(sources)
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if source is None:
         wanted = F.array(*[F.lit(s) for s in sources])
         tags = F.array_intersect(F.transform("hashtags", F.lower), wanted)
@@ -189,7 +196,7 @@ def per_source_quota(
     else:
         rows = df.filter(F.col(source).isin(*sources))
     newest = [F.col(order[0]).desc(), *order[1:]]
-    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)))
     for keys in ([source, "_slice"], [source]):
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
         sliced = sliced.withColumn("_rank", rank).filter(F.col("_rank") <= quota)
