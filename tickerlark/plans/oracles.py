@@ -551,9 +551,10 @@ d2 AS (SELECT count(*) AS n, count(DISTINCT (un, t)) AS k FROM d), rws AS (SELEC
   (CASE ({advice}) WHEN 'raise' THEN 65 WHEN 'lower' THEN 55 ELSE 60 END)::INTEGER AS advised_rate FROM roll""",
         # streaming
         "stream_time_agg": with_(*SIGNALS, W15) + f"SELECT {_WINDOW_OUT} FROM w15",
-        "stream_dedup": base + f"""SELECT content_hash FROM (SELECT md5({compared('content')}) AS content_hash, post_ts,
-  lag(post_ts) OVER (PARTITION BY {compared('content')} ORDER BY post_ts, id) AS before FROM posts) GROUP BY content_hash""",
+        "stream_dedup": base + f"SELECT DISTINCT md5({compared('content')}) AS content_hash FROM posts",
         "latest_points": sigs + f"""SELECT id, signal_timestamp, {r('signal_strength')} AS signal_strength, {r('sentiment_score')} AS sentiment_score,
+  retweets_count + likes_count AS volume FROM signals ORDER BY signals.signal_timestamp DESC, id LIMIT 1000""",
+        "stream_latest_points": sigs + f"""SELECT id, signal_timestamp, {r('signal_strength')} AS signal_strength, {r('sentiment_score')} AS sentiment_score,
   retweets_count + likes_count AS volume FROM signals ORDER BY signals.signal_timestamp DESC, id LIMIT 1000""",
         "stream_signals": sigs + f"SELECT id, {_SIGNAL_OUT} FROM signals",
         "stream_feed": base + "SELECT id, post_ts, content FROM posts",

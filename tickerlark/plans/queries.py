@@ -693,6 +693,12 @@ def recommendation_status(spark, sf):
     return recommend.recommendation_status(_signals(spark, sf))
 
 
+@query
+def full_analysis(spark, sf):
+    results = flows.analyse(posts(spark, sf), scratch_path(spark, "analysis"), REF_TS)
+    return tidy(results["hashtags"].select("hashtag", "signal_strength_count", "hashtag_momentum"))
+
+
 @query
 def recommendations(spark, sf):
     result = recommend.recommendations(_signals(spark, sf))
@@ -788,9 +794,9 @@ def throttle_advice(spark, sf):
 # --- streaming ---------------------------------------------------------------------------------
 
 
-def _signal_stream(spark, sf):
+def _signal_stream(spark, sf, ends=False):
     stats = signals.batch_stats(_features(spark, sf))
-    stream = clean.clean_posts(posts_from_events(stream_events(spark, sf)), REF_TS)
+    stream = clean.clean_posts(posts_from_events(stream_events(spark, sf, ends)), REF_TS)
     return streams.stream_signals(stream, stats)
 
 
@@ -802,13 +808,16 @@ def _landed(spark, stream):
 
 @query
 def stream_time_agg(spark, sf):
-    return tidy(_landed(spark, streams.stream_time_agg(_signal_stream(spark, sf), "15min", ref_ts=REF_TS)))
+    windows = streams.stream_time_agg(_signal_stream(spark, sf, True), "15min", ref_ts=REF_TS)
+    last = table(spark, sf, "events").select(F.max("ts").alias("ts")).scalar()
+    return tidy(_landed(spark, windows).filter(F.col("time_window") <= last))
 
 
 @query
 def stream_dedup(spark, sf):
     unique = streams.stream_dedup(posts_from_events(stream_events(spark, sf)))
-    return _landed(spark, unique).select("id", "content_hash")
+    # A text may come again after the watermark has passed its first arrival.
+    return _landed(spark, unique).select("content_hash").distinct()
 
 
 @query
@@ -816,6 +825,16 @@ def latest_points(spark, sf):
     return tidy(streams.latest_points(_signals(spark, sf)))
 
 
+@query
+def stream_latest_points(spark, sf):
+    base = scratch_path(spark, "points")
+    writer = streams.write_latest_points(_signal_stream(spark, sf), base, scratch_path(spark, "points-state"))
+    streams.run_to_end(writer.trigger(availableNow=True))
+    stored = spark.read.parquet(base)
+    newest = stored.select(F.max("batch").alias("b")).scalar()
+    return tidy(stored.filter(F.col("batch") == newest).drop("batch"))
+
+
 @query
 def stream_signals(spark, sf):
     return tidy(_landed(spark, _signal_stream(spark, sf)).select("id", *SIGNAL_COLUMNS))

@@ -32,6 +32,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Remove a scratch folder that no later plan reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows to a table in the shared folder and read it back.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlark.functions import text as tx
+from tickerlark.session import scratch_path
 
 POST_EXPRESSIONS = {
     "id": "'p' || CAST(event_id AS VARCHAR(20))",
@@ -69,8 +70,23 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts_from_events(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table read as a file stream."""
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf_dir)
+def stream_events(spark: SparkSession, sf_dir: str, ends: bool = False) -> DataFrame:
+    """The event table as a file stream of three micro-batches in order of time.
+
+    With ``ends`` a fourth holds one event a day later, so that the watermark passes every
+    window of the table.
+    """
+    events = table(spark, sf_dir, "events")
+    base = scratch_path(spark, "event-stream")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    thirds = F.percentile_approx(at, F.array(F.lit(1 / 3), F.lit(2 / 3)))
+    low, high = events.select(thirds).first()[0]
+    for number, part in enumerate((at <= low, (at > low) & (at <= high), at > high)):
+        events.filter(part).write.parquet(f"{base}/part={number}")
+    files = len(spark.read.parquet(f"{base}/part=0").inputFiles())
+    if ends:
+        last = events.agg(F.max("ts").alias("ts"), *[F.first(c).alias(c) for c in events.columns if c != "ts"])
+        later = last.withColumns({"event_id": F.lit(0).cast("bigint"), "ts": F.expr("ts + INTERVAL 1 DAY")})
+        later.select(*events.columns).write.parquet(f"{base}/part=3")
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(base).drop("part")

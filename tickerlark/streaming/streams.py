@@ -14,6 +14,7 @@ from tickerlark.operators.dedup import content_hash
 from tickerlark.operators.features import extract_features
 from tickerlark.operators.signals import apply_signals
 from tickerlark.params import DEFAULTS, Params
+from tickerlark.session import delete
 
 LATENESS = "10 minutes"
 
@@ -60,7 +61,11 @@ def write_latest_points(
     signals: DataFrame, base: str, checkpoint: str, n: int = DEFAULTS.max_points
 ) -> DataStreamWriter:
     """Keep the latest ``n`` points of a stream: batch k writes ``base/batch=k`` from its rows
-    and the points of the batch before."""
+    and the points of the batch before, then removes that of the batch before the last.
+
+    The batch before stays until the next has ended, so a batch that is run again finds it;
+    ``run_to_end`` callers read the newest folder.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         current = latest_points(batch, n)
@@ -69,6 +74,8 @@ def write_latest_points(
             current = current.unionByName(previous)
         newest = current.orderBy(F.desc("signal_timestamp"), "id").limit(n)
         newest.write.mode("overwrite").parquet(f"{base}/batch={number}")
+        if number > 1:
+            delete(batch.sparkSession, f"{base}/batch={number - 2}")
 
     return signals.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
