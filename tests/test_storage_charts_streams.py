@@ -84,7 +84,7 @@ def test_timeline_and_histogram(spark):
     assert [b["frequency"] for b in flat] == [0, 20] and flat[0]["bin_start"] == 0.0
 
 
-@pytest.mark.parametrize("slice_rows", [120, 10_000])
+@pytest.mark.parametrize("slice_rows", [10, 120, 10_000])
 def test_rolling_over_slices(spark, slice_rows):
     rng = random.Random(2)
     rows = [(rng.choice("aab"), i, rng.random() < 0.8, rng.random()) for i in range(900)]
@@ -111,6 +111,18 @@ def test_trailing_count_over_slices(spark):
     assert got == want and len(out) == 400
 
 
+def test_trailing_count_looks_back_over_many_slices(spark):
+    df = spark.range(200).select(F.lit("k").alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("ts"))
+    for slice_seconds in (600, None):
+        out = rolling.trailing_request_count(df, "k", seconds=3600, slice_seconds=slice_seconds)
+        assert out.count() == 200 and out.agg(F.max("trailing_requests")).first()[0] == 61
+
+
+def test_hashtag_search_is_pruned(spark, small):
+    text = plan(q.REGISTRY["search_by_hashtag"](spark, small))
+    assert "PartitionFilters: []" not in text
+
+
 def test_text_is_cleaned_once(spark, small):
     text = plan(q.REGISTRY["clean_posts"](spark, small))
     assert text.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in text
