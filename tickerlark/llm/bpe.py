@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlark.llm.chunks import PLAIN, ByChunk, Remembered
+from tickerlark.llm.chunks import PLAIN, ByChunk, Remembered, once
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -126,7 +126,7 @@ def _encoded(docs: DataFrame, ranks: str, pattern: str, columns: dict[str, tuple
     sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(sent.value, pattern)
+        bpe = once((ranks, pattern, len(sent.value)), lambda: ByteBpe(sent.value, pattern))
         for batch in batches:
             rows = [row(bpe, x.as_py() or "") for x in batch.column(1)]
             made = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(columns.values())]

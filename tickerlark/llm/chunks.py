@@ -19,21 +19,36 @@ PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)").fullmatch
 
 
 class Remembered(dict):
-    """Results of ``make`` by key, up to ``most`` of them; then it forgets them and begins anew."""
+    """Results of ``make`` by key: the last ``most`` new ones, and as many of those before them."""
 
-    def __init__(self, make: Callable[[Any], Any], most: int = 400_000, longest: int = 64):
+    def __init__(self, make: Callable[[Any], Any], most: int = 200_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest = make, most, longest
+        self.before: dict = {}
 
     def __missing__(self, key: Any) -> Any:
-        value = self.make(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= self.longest:
             if len(self) >= self.most:
+                self.before = dict(self)
                 self.clear()
             self[key] = value
         return value
 
 
+_made: dict = {}
+
+
+def once(key: tuple, make: Callable[[], Any]) -> Any:
+    """``make()`` once in a Python worker, which runs many tasks: what it remembers stays warm."""
+    if key not in _made:
+        _made.clear()
+        _made[key] = make()
+    return _made[key]
+
+
 class ByChunk:
     """``make`` of each chunk of a text; ``make`` gets the chunk with the space before it."""
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tickerlark.llm.chunks import PLAIN, ByChunk, Remembered
+from tickerlark.llm.chunks import PLAIN, ByChunk, Remembered, once
 
 
 def _byte_letters() -> dict[int, str]:
@@ -111,7 +111,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
     sent = docs.sparkSession.sparkContext.broadcast((spec, whole_tokens(json.loads(spec)["model"])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(*sent.value)
+        counter = once((tokenizer, len(sent.value[0])), lambda: Counter(*sent.value))
         for batch in batches:
             sizes, counts = [], []
             for text in batch.column(1):
