@@ -1,20 +1,28 @@
 """Fixed values. Results depend on them, so they are stated as plain text."""
 
 # --- fixed values: market lexicon ------------------------------------------
-BULLISH_STRONG = (
-    "buy bull bullish long rise up gain profit green rocket moon surge breakout rally"
-).split()
-BULLISH_MODERATE = (
-    "positive good better growth increase support strong confident optimistic"
-).split()
-BULLISH_HINDI = "तेजी बुल खरीद फायदा बढ़ोतरी".split()
-BEARISH_STRONG = (
-    "sell bear bearish short fall down loss red crash dump drop breakdown"
-).split()
-BEARISH_MODERATE = (
-    "negative bad worse decline decrease resistance weak worried pessimistic"
-).split()
-BEARISH_HINDI = "मंदी बेयर बेच नुकसान गिरावट".split()
+BULLISH_STRONG = [
+    "buy", "bull", "bullish", "long", "rise", "up", "gain", "profit", "green", "rocket", "moon",
+    "surge", "breakout", "rally"
+]
+BULLISH_MODERATE = [
+    "positive", "good", "better", "growth", "increase", "support", "strong", "confident",
+    "optimistic"
+]
+BULLISH_HINDI = [
+    "तेजी", "बुल", "खरीद", "फायदा", "बढ़ोतरी"
+]
+BEARISH_STRONG = [
+    "sell", "bear", "bearish", "short", "fall", "down", "loss", "red", "crash", "dump", "drop",
+    "breakdown"
+]
+BEARISH_MODERATE = [
+    "negative", "bad", "worse", "decline", "decrease", "resistance", "weak", "worried",
+    "pessimistic"
+]
+BEARISH_HINDI = [
+    "मंदी", "बेयर", "बेच", "नुकसान", "गिरावट"
+]
 STRONG_WEIGHT = 2.0
 OTHER_WEIGHT = 1.0
 
@@ -48,17 +56,28 @@ BULLISH_COLOUR = "#2E8B57"
 BEARISH_COLOUR = "#DC143C"
 
 # --- fixed values: the English stop words of StopWordsRemover ---------------
-ENGLISH_STOP_WORDS = (
-    "i me my myself we our ours ourselves you your yours yourself yourselves he him his "
-    "himself she her hers herself it its itself they them their theirs themselves what which "
-    "who whom this that these those am is are was were be been being have has had having do "
-    "does did doing a an the and but if or because as until while of at by for with about "
-    "against between into through during before after above below to from up down in out on "
-    "off over under again further then once here there when where why how all any both each "
-    "few more most other some such no nor not only own same so than too very s t can will "
-    "just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd "
-    "they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't "
-    "wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't "
-    "shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's "
-    "what's when's where's who's why's would"
-).split()
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours",
+    "yourself", "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself",
+    "it", "its", "itself", "they", "them", "their", "theirs", "themselves", "what", "which",
+    "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was", "were", "be",
+    "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an",
+    "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by", "for",
+    "with", "about", "against", "between", "into", "through", "during", "before", "after",
+    "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under",
+    "again", "further", "then", "once", "here", "there", "when", "where", "why", "how", "all",
+    "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not",
+    "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don",
+    "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll", "i'd", "you'd",
+    "he'd", "she'd", "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're",
+    "they're", "i've", "we've", "you've", "they've", "isn't", "aren't", "wasn't", "weren't",
+    "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't", "won't", "wouldn't", "shan't",
+    "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could", "here's", "how's", "let's",
+    "ought", "that's", "there's", "what's", "when's", "where's", "who's", "why's", "would"
+]
+
+# --- fixed values: sentences of recommendations ----------------------------
+DIRECTION_SENTENCE = "%s %s signal with %.1f%% consistency based on %d tweets"
+RISK_SENTENCE = "Risk level: %s (score: %.2f)"
+TIME_SENTENCE = "Last %s: %s sentiment with %d supporting tweets"
+HASHTAG_SENTENCE = "Strong momentum in %s with %d supporting tweets"

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tickerlark import constants as const
 from tickerlark.functions import sentiment as st
 from tickerlark.functions import text as tx
+from tickerlark.operators.similarity import split_join
 from tickerlark.params import DEFAULTS, Params
 from tickerlark.schema import ENGAGEMENT, require
+from tickerlark.session import materialise
 
 
 def _with_hits(df: DataFrame, lexicon=None) -> DataFrame:
@@ -49,19 +51,13 @@ def basic_sentiment(df: DataFrame, lexicon=None, id_col: str = "id") -> DataFram
     return scored.drop("_hits")
 
 
-def _basic_sentiment_from_table(
-    df: DataFrame, lexicon: DataFrame, id_col: str, salts: int = 16
-) -> DataFrame:
-    # A frequent term may be a third of all tokens, so terms are salted; the lexicon is
-    # repeated once per salt. Spark broadcasts it only when its size statistics allow that.
-    words = df.select(id_col, F.explode(st.tokens(F.col("content"))).alias("term")).withColumn(
-        "_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
-    )
-    entries = lexicon.select(
-        "term", "polarity", "subjectivity", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    )
+def _basic_sentiment_from_table(df: DataFrame, lexicon: DataFrame, id_col: str) -> DataFrame:
+    # A frequent term may be a third of all tokens: terms are joined by their frequency.
+    words = materialise(df.select(id_col, F.explode(st.tokens(F.col("content"))).alias("term")))
+    frequency = words.groupBy("term").agg(F.count("*").alias("n"))
+    entries = lexicon.select("term", "polarity", "subjectivity").join(frequency, "term")
     scores = (
-        words.join(entries, ["term", "_salt"])
+        split_join(words, entries, "term", "n")
         .groupBy(id_col)
         .agg(F.avg("polarity").alias("_pol"), F.avg("subjectivity").alias("_subj"))
     )

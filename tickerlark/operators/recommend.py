@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickerlark import constants as const
 from tickerlark.functions.numeric import round_half_even
 from tickerlark.operators.aggregate import consistency, signal_rollup
 from tickerlark.params import DEFAULTS, Params
@@ -87,7 +88,7 @@ def _direction(metrics: DataFrame) -> DataFrame:
         F.col("confidence") * 0.4 + F.col("consistency") * 0.3 + _volume_score() * 0.3
     )
     text = F.format_string(
-        "%s %s signal with %.1f%% consistency based on %d tweets",
+        const.DIRECTION_SENTENCE,
         F.initcap("strength"), F.col("direction"),
         round_half_even(F.col("raw_consistency") * 100, 1), F.col("n"),
     )
@@ -128,7 +129,7 @@ def _risk(metrics: DataFrame) -> DataFrame:
     for bound, name in reversed(RISK_LEVELS):
         level = F.when(F.col("raw") >= bound, name).otherwise(level)
     text = F.format_string(
-        "Risk level: %s (score: %.2f)", F.upper("risk_level"), round_half_even(F.col("raw"), 2)
+        const.RISK_SENTENCE, F.upper("risk_level"), round_half_even(F.col("raw"), 2)
     )
     return (
         metrics.select(score.alias("raw"), names.alias("risk_factors"))
@@ -200,7 +201,7 @@ def time_recommendation(windows: DataFrame) -> DataFrame:
         round_half_even(F.col("w.direction_consistency"), 3).alias("consistency"),
         round_half_even(F.col("w.signal_volatility"), 3).alias("volatility"),
         F.format_string(
-            "Last %s: %s sentiment with %d supporting tweets", F.col("window_size"), mood, n
+            const.TIME_SENTENCE, F.col("window_size"), mood, n
         ).alias("description"),
     )
 
@@ -216,7 +217,7 @@ def hashtag_recommendation(by_hashtag: DataFrame, top: int = 3) -> DataFrame:
         F.col("signal_strength_count").alias("supporting_signals"),
         round_half_even(F.col("signal_confidence_mean"), 3).alias("average_confidence"),
         F.format_string(
-            "Strong momentum in %s with %d supporting tweets",
+            const.HASHTAG_SENTENCE,
             F.col("hashtag"), F.col("signal_strength_count"),
         ).alias("description"),
     )
@@ -288,10 +289,10 @@ def recommendations(
 
 
 def analysis_summary(signals: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """The facts of the report as (section, metric, value) rows, from one aggregation."""
+    """The facts of the report as (section, metric, value) rows, from one stored row of sums."""
     good = F.col("signal_confidence") >= params.min_confidence
     strength = F.when(good, F.col("signal_strength"))
-    base = signals.agg(
+    sums = signals.agg(
         F.count("*").alias("total"),
         F.count_if(good).alias("n"),
         F.avg("signal_strength").alias("all_mean"),
@@ -302,6 +303,7 @@ def analysis_summary(signals: DataFrame, params: Params = DEFAULTS) -> DataFrame
         F.count_if(strength > 0).alias("positive"),
         F.count_if(strength < 0).alias("negative"),
     ).withColumn("consistency", consistency(F.col("positive"), F.col("negative"), F.col("n")))
+    base = materialise(sums)
     summary = base.select(
         F.inline(
             _facts(
