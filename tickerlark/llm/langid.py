@@ -15,6 +15,9 @@ from tickerlark.llm.bytetext import text_bytes
 
 LETTER = regex.compile(r"\p{L}")
 
+#: A hash sample takes a share of so many slots; enough for shares of a few in 10**12 rows.
+SLOTS = 1 << 50
+
 
 @dataclass(frozen=True)
 class LangSettings:
@@ -154,8 +157,8 @@ def train(docs: DataFrame, s: LangSettings | None = None) -> ByteCnn | None:
     counts = {r["lang"]: r["n"] for r in fit.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(1_000_000 * min(1, s.per_language / n)))])
-    chosen = fit.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share[F.col("lang")])
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(SLOTS * min(1, s.per_language / n)))])
+    chosen = fit.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(SLOTS)) < share[F.col("lang")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

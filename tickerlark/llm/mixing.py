@@ -15,6 +15,9 @@ from tickerlark.llm.bytetext import text_bytes, word_hashes
 from tickerlark.llm.langid import softmax
 from tickerlark.llm.scratch import stored
 
+#: A hash sample takes a share of so many slots; enough for shares of a few in 10**12 rows.
+SLOTS = 1 << 50
+
 
 @dataclass(frozen=True)
 class MixSettings:
@@ -59,8 +62,8 @@ def train_domains(docs: DataFrame, labelled: DataFrame, s: MixSettings) -> Domai
     counts = {r["domain"]: r["n"] for r in told.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(1_000_000 * min(1, s.per_domain / n)))])
-    chosen = told.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(9)), F.lit(1_000_000)) < share[F.col("domain")])
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(SLOTS * min(1, s.per_domain / n)))])
+    chosen = told.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(9)), F.lit(SLOTS)) < share[F.col("domain")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
