@@ -323,6 +323,75 @@ FROM pairs JOIN heads ha ON ha.id = ka JOIN heads hb ON hb.id = kb WHERE similar
 UNION ALL SELECT head, id, 1.0::DOUBLE FROM grp WHERE id <> head AND head IN (SELECT k FROM norm)"""
 
 
+# --- keep-first, one row after the other ----------------------------------------------------------
+
+
+def similar_texts(source: str, p: str) -> list[str]:
+    """CTEs to ``{p}sim`` (ta, tb, similarity) of the distinct texts ``t`` of ``source``."""
+    return [
+        f"{p}txt AS (SELECT DISTINCT t FROM {source})",
+        shingled(f"{p}txt", "t", "t", f"{p}sh"),
+        f"{p}norm AS (SELECT k, sum(c * c) AS n2 FROM {p}sh GROUP BY k)",
+        f"""{p}meet AS (SELECT x.k AS ka, y.k AS kb, sum(x.c * y.c) AS dot, sum(x.c * x.c) AS sa, sum(y.c * y.c) AS sb
+  FROM {p}sh x JOIN {p}sh y ON x.s = y.s GROUP BY 1, 2)""",
+        f"""{p}sim AS MATERIALIZED (SELECT ka AS ta, kb AS tb, {cosine('dot', 'sa', 'na.n2', 'sb', 'nb.n2')} AS similarity
+  FROM {p}meet JOIN {p}norm na ON na.k = ka JOIN {p}norm nb ON nb.k = kb)""",
+    ]
+
+
+def keep_first(rows: str, near: str, name: str) -> list[str]:
+    """CTEs from ``rows`` (i = 1, 2, .., ...) and ``near`` (later, earlier) to the kept rows ``name``.
+
+    ``low`` is the earliest row that this row or a later one still asks for.
+    """
+    return [
+        f"""{name}_n AS MATERIALIZED (SELECT o.i, coalesce(list(n.earlier) FILTER (n.earlier IS NOT NULL), []::BIGINT[]) AS near,
+  min(coalesce(min(n.earlier), o.i)) OVER (ORDER BY o.i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS low
+  FROM {rows} o LEFT JOIN {near} n ON n.later = o.i GROUP BY o.i)""",
+        f"""{name}_g AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS kept, false AS keep UNION ALL
+  SELECT n.i, CASE WHEN list_has_any(g.kept, n.near) THEN list_filter(g.kept, lambda x: x >= n.low)
+    ELSE list_append(list_filter(g.kept, lambda x: x >= n.low), n.i) END, NOT list_has_any(g.kept, n.near)
+  FROM {name}_g g JOIN {name}_n n ON n.i = g.i + 1)""",
+        f"{name} AS (SELECT o.* FROM {rows} o JOIN {name}_g g ON g.i = o.i WHERE g.keep)",
+    ]
+
+
+def kept_in_time(source: str, name: str) -> list[str]:
+    """Rows without a kept similar row in the five minutes before."""
+    p = f"{name}_"
+    return [
+        f"{p}o AS MATERIALIZED (SELECT id, post_ts, content, {compared('content')} AS t, row_number() OVER (ORDER BY post_ts, id) AS i FROM {source})",
+        *similar_texts(f"{p}o", p),
+        f"""{p}near AS MATERIALIZED (SELECT b.i AS later, a.i AS earlier FROM {p}o a JOIN {p}o b ON a.i < b.i AND b.post_ts - a.post_ts <= INTERVAL 5 MINUTES
+  JOIN {p}sim s ON s.ta = a.t AND s.tb = b.t AND s.similarity > 0.8::DOUBLE)""",
+        *keep_first(f"{p}o", f"{p}near", name),
+    ]
+
+
+def kept_by_text(source: str, name: str) -> list[str]:
+    """Rows without a kept similar row before. (All reposts of the view have one text, so the rule
+    for reposts adds no pair.)"""
+    p = f"{name}_"
+    return [
+        f"{p}o AS MATERIALIZED (SELECT id, post_ts, content, {compared('content')} AS t, row_number() OVER (ORDER BY post_ts, id) AS i FROM {source})",
+        *similar_texts(f"{p}o", p),
+        f"""{p}h AS (SELECT *, row_number() OVER (ORDER BY i) AS j FROM (SELECT * FROM {p}o WHERE t IN (SELECT k FROM {p}norm) QUALIFY row_number() OVER (PARTITION BY t ORDER BY i) = 1))""",
+        f"{p}u AS (SELECT id, post_ts, content, t, j AS i FROM {p}h)",
+        f"{p}near AS MATERIALIZED (SELECT b.i AS later, a.i AS earlier FROM {p}sim s JOIN {p}u a ON a.t = s.ta JOIN {p}u b ON b.t = s.tb WHERE a.i < b.i AND s.similarity > 0.85::DOUBLE)",
+        *keep_first(f"{p}u", f"{p}near", f"{p}kept"),
+        f"{name} AS (SELECT id, post_ts, content FROM {p}kept UNION ALL SELECT id, post_ts, content FROM {p}o WHERE t NOT IN (SELECT k FROM {p}norm))",
+    ]
+
+
+def recursive(*ctes: str) -> str:
+    return with_(*ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def pipeline() -> list[str]:
+    exact = f"ex AS (SELECT id, post_ts, content FROM posts {_FIRST.format(key=compared('content'))})"
+    return [*BASE, exact, *kept_in_time("ex", "timed"), *kept_by_text("timed", "final")]
+
+
 # --- TF-IDF -----------------------------------------------------------------------------------
 
 
@@ -457,6 +526,14 @@ def oracle_sql() -> dict[str, str]:
         "is_repost_pair": with_(*BASE, _NEXT_POST, *given_pairs("pr")) + "SELECT pr.a AS id_a, pr.b AS id_b, rt AND similarity > 0.9 AS is_repost_pair FROM pr JOIN sims USING (a, b)",
         "near_duplicate_pairs": near_pairs("documents", "doc_id", "text", "doc_id", 0.8),
         "near_duplicate_posts": near_pairs("posts", "id", "content", "post_ts, id", 0.8),
+        "dedup_similarity": recursive(*BASE, *kept_by_text("posts", "final")) + "SELECT id, post_ts, content FROM final",
+        "dedup_temporal": recursive(*BASE, *kept_in_time("posts", "timed")) + "SELECT id, post_ts, content FROM timed",
+        "dedup_pipeline": recursive(*pipeline()) + "SELECT id, post_ts, content FROM final",
+        "dedup_pipeline_stats": recursive(*pipeline(), """c AS (SELECT (SELECT count(*) FROM posts) AS a, (SELECT count(*) FROM ex) AS b,
+  (SELECT count(*) FROM timed) AS c, (SELECT count(*) FROM final) AS d), rws AS (SELECT 'exact_content' AS stage, a AS n, b AS k FROM c
+  UNION ALL SELECT 'user_content', b, b FROM c UNION ALL SELECT 'temporal_clustering', b, c FROM c UNION ALL SELECT 'similarity', c, d FROM c
+  UNION ALL SELECT 'summary', a, d FROM c)""") + f"""SELECT stage, n AS original_count, k AS unique_count, n - k AS duplicates_removed,
+  {r('(n - k) / n::DOUBLE')} AS deduplication_rate FROM rws""",
         "dedup_stats": with_(*BASE, f"u AS (SELECT count(*) AS n, count(DISTINCT {compared('content')}) AS k FROM posts)",
           f"""d AS (SELECT lower(username) AS un, {compared('content')} AS t FROM posts {_FIRST.format(key=compared('content'))}),
 d2 AS (SELECT count(*) AS n, count(DISTINCT (un, t)) AS k FROM d), rws AS (SELECT 'exact_content' AS stage, n, k FROM u UNION ALL SELECT 'user_content', n, k FROM d2
