@@ -142,7 +142,7 @@ def test_few_or_no_vectors(spark, op):
     assert op(vectors(spark, [])).count() == 0
     assert op(vectors(spark, ODD_VECTORS[:5])).count() == 0
     few = op(vectors(spark, [(0, [1.0, 0.0], ""), (1, [1.0, 0.0], ""), (2, [0.0, 1.0], "")])).collect()
-    assert {r["vec_id"] for r in few} <= {1, 2} and few[0]["vec_id"] == 1
+    assert [(r["rank"], r["vec_id"]) for r in sorted(few, key=lambda r: r["rank"])] == [(1, 1), (2, 2)]
 
 
 def test_nearest_recall_and_scores(spark):
@@ -174,6 +174,14 @@ def test_nearest_with_a_very_common_vector(spark):
     assert same[20_050] == [0, 20_000, 20_001, 20_002, 20_003]
 
 
+def test_isolated_queries_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in np.r_[10.0, 0.01 * rng.normal(size=7)]], "") for i in range(1, 800)]
+    rows += [(0, [-1.0] + [0.0] * 7, ""), (850, [0.0] * 7 + [1.0], "")]
+    got = ann.nearest(vectors(spark, rows), 50).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in got} == {q: 5 for q in [*range(0, 800, 50), 850]}
+
+
 def test_probes_come_in_order_of_cost():
     place = np.array([0.1, 5.45, -2.8])
     cells = ann.probe_cells(place, 27)

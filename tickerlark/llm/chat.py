@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,9 +27,18 @@ def unescaped(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], text, flags=re.S)
 
 
+def _marked(role: str, text: str) -> str:
+    return f"{START}{escaped(role).replace(chr(10), chr(92) + 'n')}\n{escaped(text)}{END}\n"
+
+
+#: The same for texts that come again and again as prefixes grow; long ones are not held.
+_marked_short = lru_cache(maxsize=1024)(_marked)
+SHORT = 20_000
+
+
 def marked_turns(turns: list[Turn]) -> str:
     """The template of the query: marks about each turn, the role on the first line."""
-    return "".join(f"{START}{escaped(role).replace(chr(10), chr(92) + 'n')}\n{escaped(text)}{END}\n" for role, text in turns)
+    return "".join([_marked_short(role, text) if len(text) < SHORT else _marked(role, text) for role, text in turns])
 
 
 def read_marked_turns(out: str) -> list[Turn]:
@@ -67,19 +77,27 @@ def render(turns: list[Turn], template: Template) -> Rendered:
     """Render each prefix of ``turns`` with a template of which nothing is known.
 
     If the output for k turns begins with that for k - 1, the rest is the k-th turn's span; where
-    its text stands in it is found by rendering the same prefix with two one-letter texts. If it
-    doesn't begin so, the template rewrites history: the spans so far are no longer valid and are
+    its text stands in it is found by rendering the same prefix with two one-letter texts, once
+    for each role: a later span that begins and ends with the same marks has its text between
+    them, and any other span is probed anew. If the output doesn't begin so, the template rewrites history: the spans so far are no longer valid and are
     set to None, and the turn is noted.
     """
     out = Rendered()
+    marks: dict[str, tuple[str, str]] = {}  # by role, what stood before and after a text
     for k, (role, _) in enumerate(turns):
         now = template(turns[: k + 1])
+        start = len(out.text)
         if not now.startswith(out.text):
             out.rewritten_at = k if out.rewritten_at is None else out.rewritten_at
-            out.spans = [None] * k
-        edges = _edges(turns[:k], role, template)
-        ok = edges and edges[0] >= (len(out.text) if now.startswith(out.text) else 0) and edges[0] + edges[1] <= len(now)
-        out.spans.append((edges[0], len(now) - edges[1]) if ok else None)
+            out.spans, marks, start = [None] * k, {}, 0
+        before, after = marks.get(role, ("", ""))
+        if role in marks and len(now) >= start + len(before) + len(after) and now.startswith(before, start) and now.endswith(after):
+            out.spans.append((start + len(before), len(now) - len(after)))
+        elif (edges := _edges(turns[:k], role, template)) and start <= edges[0] <= len(now) - edges[1]:
+            out.spans.append((edges[0], len(now) - edges[1]))
+            marks[role] = now[start : edges[0]], now[len(now) - edges[1] :]
+        else:
+            out.spans.append(None)
         out.text = now
     return out
 
