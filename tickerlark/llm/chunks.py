@@ -21,7 +21,7 @@ PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)").fullmatch
 class Remembered(dict):
     """Results of ``make`` by key: the last ``most`` new ones, and as many of those before them."""
 
-    def __init__(self, make: Callable[[Any], Any], most: int = 200_000, longest: int = 64):
+    def __init__(self, make: Callable[[Any], Any], most: int = 150_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest = make, most, longest
         self.before: dict = {}

@@ -23,7 +23,7 @@ SLOTS = 1 << 50
 class MixSettings:
     """``per_domain`` labelled documents (in expectation, by a hash of doc_id) train the classifier."""
 
-    per_domain: int = 1500
+    per_domain: int = 1000
     features: int = 4096
     epochs: int = 30
     rate: float = 0.05
@@ -67,16 +67,20 @@ def train_domains(docs: DataFrame, labelled: DataFrame, s: MixSettings) -> Domai
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [bag_of_words(t, s.features)[0].tobytes() for t in text_bytes(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], names=["doc_id", "domain", "x"])
+            bags = [bag_of_words(t, s.features)[0] for t in text_bytes(batch.column(2))]
+            at = [np.flatnonzero(x).astype(np.uint32) for x in bags]
+            made = [pa.array([i.tobytes() for i in at], pa.binary()), pa.array([x[i].tobytes() for x, i in zip(bags, at, strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["doc_id", "domain", "at", "x"])
 
     texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), "domain", "text").mapInArrow(run, "doc_id string, domain string, x binary")
-    sample = sorted((r["domain"], r["doc_id"], bytes(r["x"])) for r in rows.collect())
+    rows = texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), "domain", "text").mapInArrow(run, "doc_id string, domain string, at binary, x binary")
+    sample = sorted((r["domain"], r["doc_id"], bytes(r["at"]), bytes(r["x"])) for r in rows.collect())
     labels = sorted({r[0] for r in sample})
     if not labels:
         return None
-    x = np.stack([np.frombuffer(r[2], np.float32) for r in sample])
+    x = np.zeros((len(sample), s.features), np.float32)
+    for i, r in enumerate(sample):
+        x[i, np.frombuffer(r[2], np.uint32)] = np.frombuffer(r[3], np.float32)
     y = np.array([labels.index(r[0]) for r in sample])
     total = sum(counts[k] for k in labels)
     weight = np.array([counts[k] / total / (y == i).sum() for i, k in enumerate(labels)])[y]
