@@ -15,6 +15,7 @@ DEFAULT = [
     "clean_posts", "cleaning_stats", "dedup_exact", "pair_similarity", "near_duplicate_pairs", "extract_features",
     "tfidf_vectors", "generate_signals", "multi_window_rollup", "recommendations", "analysis_summary", "histogram",
     "trend_line", "rolling_success_rate", "trailing_request_count", "scan_posts", "per_source_quota",
+    "dedup_similarity", "dedup_temporal", "stream_time_agg", "search_by_hashtag",
 ]
 NAMES = sorted(ORACLES) if os.environ.get("ALL_QUERIES") else DEFAULT
 
