@@ -19,13 +19,16 @@ from tickerlark.llm.topk import whole
 ROW = "bucket long, vec_id long, v array<double>"
 FOUND = "query_id long, vec_id long, score double"
 
+#: A hash sample takes a share of so many slots; enough for shares of a few in 10**12 rows.
+SLOTS = 1 << 50
+
 
 @dataclass(frozen=True)
 class AnnSettings:
     tables: int = 2
     width: float = 1.5  # of a cell, where a unit vector's projection has variance 1
     per_bucket: int = 256  # the number of hashes of a table grows with the logarithm of rows / per_bucket
-    target: float = 0.94  # share of the sample's neighbours that the probes must reach
+    target: float = 0.98  # share of the sample's neighbours that the probes must reach
     sample: int = 6000  # vectors, in expectation, from which the number of probes is fitted
     sample_queries: int = 300
     most_probes: int = 4096
@@ -122,22 +125,29 @@ def _cosines(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return dots / (np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((v * v).sum(axis=1))[None])
 
 
+def _in_range(x: np.ndarray) -> np.ndarray:
+    """Rows brought into range where squares would leave it; no cosine depends on their length."""
+    size = np.abs(x).max(axis=1)
+    return x if size.min() > 1e-100 and size.max() < 1e100 else unit(x)
+
+
 def _rerank(k: int):
+    """For one block: each query against the rows of the buckets it visits, the k best in all."""
+
     def run(key: tuple, q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if q.empty or v.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         v = v.sort_values("vec_id")
-        ids, asked = v["vec_id"].to_numpy(), q["vec_id"].to_numpy()
-        # brought into range by their largest component, which no cosine depends on
-        a, b = np.stack(q["asked"]), np.stack(v["v"])
-        a, b = (x if 1e-100 < np.abs(x).max(axis=1).min() and np.abs(x).max() < 1e100 else unit(x) for x in (a, b))
+        ids, asked, bucket = v["vec_id"].to_numpy(), q["query_id"].to_numpy(), v["bucket"].to_numpy()
+        a, b = _in_range(np.stack(q["asked"])), _in_range(np.stack(v["v"]))
         rough = unit(a) @ unit(b).T
-        rough[asked[:, None] == ids[None]] = -np.inf
-        n = len(ids)
         places, scores = [], []
-        for i, row in enumerate(rough):
-            least = np.partition(row, n - k)[n - k] - 1e-9 if n > k else -2.0
-            at = np.flatnonzero((row >= least) & (row > -np.inf))
+        for i, visited in enumerate(q["buckets"]):
+            seen = np.flatnonzero(np.isin(bucket, visited) & (ids != asked[i]))
+            seen = seen[np.unique(ids[seen], return_index=True)[1]]  # once, if several tables offer it
+            row = rough[i, seen]
+            least = np.partition(row, len(row) - k)[len(row) - k] - 1e-9 if len(row) > k else -2.0
+            at = seen[row >= least]
             score = _cosines(a[i : i + 1], b[at])[0]
             first = np.lexsort((ids[at], -score))[:k]
             places.append(at[first]), scores.append(score[first])
@@ -167,6 +177,25 @@ def _hashed(vectors: DataFrame, h: Hashes, probing: bool) -> DataFrame:
     return vectors.select("vec_id", "v").mapInPandas(run, "bucket long, vec_id long")
 
 
+def _completed(found: DataFrame, base: DataFrame, every: int, rows: int, k: int, s: AnnSettings) -> DataFrame:
+    """For queries whose probes met fewer than k rows: all rows, in blocks of rows and queries."""
+    have = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n"))
+    queries = base.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked"))
+    short = queries.join(have, "query_id", "left").where(F.coalesce("n", F.lit(0)) < min(k, rows - 1))
+    short = stored(short.select("query_id", "asked"), "short")
+    n = short.count()
+    if not n:
+        return found
+    parts, tiles = math.ceil(rows / s.block), math.ceil(n / s.block)
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    own = lambda c, n: F.pmod(F.xxhash64(c, F.lit(2)), F.lit(n)).cast("int")
+    q = short.select("query_id", "asked", upto(parts).alias("part"), own("query_id", tiles).alias("tile"))
+    q = q.select("query_id", "asked", F.col("part").alias("q_part"), F.col("tile").alias("q_tile"), F.array(F.col("part").cast("long")).alias("buckets"))
+    v = base.select("vec_id", "v", own("vec_id", parts).alias("part"), upto(tiles).alias("tile")).withColumn("bucket", F.col("part").cast("long"))
+    more = q.groupBy("q_part", "q_tile").cogroup(v.groupBy("part", "tile")).applyInPandas(_rerank(k), FOUND)
+    return found.unionAll(more)
+
+
 def nearest(vectors: DataFrame, every: int, k: int = 5, s: AnnSettings | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for each query of ``vectors(vec_id, embedding)``.
 
@@ -174,11 +203,13 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, s: AnnSettings | None =
     most frequent length. Score is the cosine in double precision on the original vectors, ties
     go to the smaller vec_id. Vectors that are null, zero, or hold nulls or non-finite numbers
     take no part, nor do rows without vec_id; of rows that repeat a vec_id the one with the
-    smallest vector counts. No rows give no rows; with at most k candidates a query gets all it finds.
+    smallest vector counts. No rows give no rows; a query gets k rows, or all others if there are
+    fewer: one whose probes meet fewer than k is compared with all rows.
 
-    Every row is indexed in each table. A bucket is cut into blocks of rows and of queries by
-    hashes, so a vector that is very common is spread over tasks; each block is one bounded
-    product whose k best for each query go on. A candidate set is never listed as pairs.
+    Every row is indexed in each table. A bucket of many rows or queries is cut into blocks by
+    hashes, so a vector that is very common is spread over tasks; small buckets share a block.
+    Each block is one bounded product, and the k best of each query go on: candidates are never
+    listed as pairs.
     """
     s = s or AnnSettings()
     base = vectors.where(F.col("vec_id").isNotNull() & whole("embedding") & F.exists("embedding", lambda x: x != 0))
@@ -189,20 +220,26 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, s: AnnSettings | None =
         return base.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims, rows = lengths[0]
     base = base.where(F.size("v") == dims)
-    share = int(1_000_000 * min(1.0, s.sample / rows))
-    sample = base.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1_000_000)) < share).orderBy("vec_id").toPandas()
+    share = int(SLOTS * min(1.0, s.sample / rows))
+    sample = base.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(SLOTS)) < share).orderBy("vec_id").toPandas()
     h = fit(np.stack(sample["v"]) if len(sample) else np.ones((1, dims)), rows, k, s)
     index = stored(_hashed(base, h, False), "index")
     asked = stored(_hashed(base.where(F.pmod("vec_id", F.lit(every)) == 0), h, True), "probes")
     sizes = index.groupBy("bucket").agg(F.ceil(F.count("*") / s.block).cast("int").alias("parts"))
     wanted = asked.groupBy("bucket").agg(F.ceil(F.count("*") / s.block).cast("int").alias("tiles"))
     blocks = stored(sizes.join(wanted, "bucket"), "blocks")
+    groups = max(1, math.ceil(s.tables * rows / (4 * s.block)))
+    blocks = blocks.withColumn("group", F.when(F.expr("parts = 1 and tiles = 1"), F.pmod(F.xxhash64("bucket"), F.lit(groups))))
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col(n)).cast("int")
-    v = index.join(blocks, "bucket").select("bucket", own("parts").alias("part"), upto("tiles").alias("tile"), "vec_id").join(base, "vec_id")
-    q = asked.join(blocks, "bucket").select("bucket", upto("parts").alias("part"), own("tiles").alias("tile"), "vec_id").join(base.withColumnRenamed("v", "asked"), "vec_id")
-    keys = ("bucket", "part", "tile")
-    found = q.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInPandas(_rerank(k), FOUND)
+    block = F.coalesce("group", F.xxhash64("bucket", "part", "tile")).alias("block")
+    v = index.join(blocks, "bucket").select("bucket", "group", own("parts").alias("part"), upto("tiles").alias("tile"), "vec_id")
+    v = v.select(block, "bucket", "vec_id").join(base, "vec_id")
+    q = asked.join(blocks, "bucket").select("bucket", "group", upto("parts").alias("part"), own("tiles").alias("tile"), "vec_id")
+    q = q.select(block, "bucket", F.col("vec_id").alias("query_id")).groupBy("block", "query_id").agg(F.collect_list("bucket").alias("buckets"))
+    q = q.join(base.select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked")), "query_id")
+    found = q.groupBy("block").cogroup(v.groupBy("block")).applyInPandas(_rerank(k), FOUND)
+    found = _completed(stored(found, "found"), base, every, rows, k, s)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
