@@ -117,7 +117,8 @@ def _surrogate(p: Pii) -> Column:
     body = _like(p, norm, F.lit(1))
     card = F.concat(F.substring(norm, 1, 1), F.substring(body, F.lit(2), F.length(norm) - 2))
     card = F.concat(card, F.pmod(10 - _luhn_sum(card, 0) % 10, F.lit(10)).cast("string"))
-    phone = F.concat(F.substring(norm, F.lit(1), F.length(norm) - 7), F.substring(_like(p, norm, F.lit(0)), F.length(norm) - 6, F.lit(7)))
+    code = F.greatest(F.length(norm) - 7, F.lit(0))  # what stands before the last seven digits stays
+    phone = F.concat(F.substring(norm, F.lit(1), code), F.substring(_like(p, norm, F.lit(0)), code + 1, F.length(norm)))
     tail = F.length(F.substring_index(norm, ".", -1)) + 1
     out = F.when(kind == "ip", F.array_join(octets, ".")).when(kind == "card", card).when(kind == "phone", phone)
     out = out.when(kind == "iban", F.concat(F.substring(norm, 1, 2), F.substring(_like(p, norm, F.lit(0)), F.lit(3), F.length(norm))))
