@@ -182,6 +182,37 @@ def test_isolated_queries_get_all_their_neighbours(spark):
     assert {r["query_id"]: r["count"] for r in got} == {q: 5 for q in [*range(0, 800, 50), 850]}
 
 
+@pytest.mark.parametrize("rows", [51_282, 1_000_000, 3_000_000])
+@pytest.mark.parametrize("spread", [0.03, 1.0])
+def test_probes_reach_the_target_at_any_number_of_rows(rows, spread):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(100, 64))[rng.integers(0, 100, 2000)] + spread * rng.normal(size=(2000, 64)) if spread < 1 else rng.normal(size=(2000, 64))
+    s = ann.AnnSettings(sample_queries=100)
+    h = ann.fit(x, rows, 5, s)
+    assert (h is None) == (spread == 1)
+    if h is not None:
+        x = ann.unit(x)
+        cells, reached = np.floor(h.places(x)), []
+        for q in range(100):
+            probes = [{c.tobytes() for c in ann.probe_cells(p, h.probes)} for p in h.places(x[q : q + 1])[0]]
+            near = np.argsort(-(x @ x[q]), kind="stable")[1:6]
+            reached += [any(cells[i, t].tobytes() in probes[t] for t in range(2)) for i in near]
+        assert np.mean(reached) >= s.target
+
+
+def test_nearest_recall_with_many_hashes(spark):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(2500, 64)).astype(np.float32)
+    rows = [(i, [float(c) for c in v], "") for i, v in enumerate(x)]
+    got = ann.nearest(vectors(spark, rows), 50, s=ann.AnnSettings(per_bucket=1, most_probes=400)).collect()
+    unit, hits = ann.unit(x.astype(float)), 0
+    for q in range(0, 2500, 50):
+        near = unit @ unit[q]
+        near[q] = -2
+        hits += len(set(np.argsort(-near)[:5].tolist()) & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert hits / 250 >= 0.98
+
+
 def test_probes_come_in_order_of_cost():
     place = np.array([0.1, 5.45, -2.8])
     cells = ann.probe_cells(place, 27)

@@ -28,10 +28,11 @@ class AnnSettings:
     tables: int = 2
     width: float = 1.5  # of a cell, where a unit vector's projection has variance 1
     per_bucket: int = 256  # the number of hashes of a table grows with the logarithm of rows / per_bucket
-    target: float = 0.98  # share of the sample's neighbours that the probes must reach
+    target: float = 0.98  # share of the sample's neighbours that the probes must reach, else fewer hashes are taken
     sample: int = 6000  # vectors, in expectation, from which the number of probes is fitted
     sample_queries: int = 300
     most_probes: int = 4096
+    exact_rows: int = 4096  # that a task compares with a block of queries where no buckets are used
     block: int = 1024  # rows, or queries, of a bucket that one task multiplies at a time
     seed: int = 5
 
@@ -93,30 +94,47 @@ def probe_cells(place: np.ndarray, most: int) -> np.ndarray:
     return np.stack(out)
 
 
-def fit(sample: np.ndarray, rows: int, k: int, s: AnnSettings) -> Hashes:
-    """Draw the projections, and set the probes by exact neighbours inside the sample."""
+def fit(sample: np.ndarray, rows: int, k: int, s: AnnSettings) -> Hashes | None:
+    """Draw the projections; set the hashes and probes by exact neighbours inside the sample.
+
+    The most hashes of which ``most_probes`` reach the target share of the sample's neighbours.
+    None if there are no such, or if their probes visit as many rows, over all tables, as there
+    are: then each query is compared with all rows. Neighbours among all rows are nearer than
+    those in the sample, so they are reached at least as often.
+    """
     rng = np.random.default_rng(s.seed)
-    hashes = max(2, round(math.log(max(2, rows / s.per_bucket)) / math.log(3)))
-    dims = sample.shape[1]
-    a = rng.normal(size=(s.tables, hashes, dims))
-    b = rng.uniform(0, s.width, (s.tables, hashes))
-    most = min(3**hashes, s.most_probes)
+    most_hashes = max(2, round(math.log(max(2, rows / s.per_bucket)) / math.log(3)))
+    a = rng.normal(size=(s.tables, most_hashes, sample.shape[1]))
+    b = rng.uniform(0, s.width, (s.tables, most_hashes))
+    if len(sample) < 2:
+        return None
     x = unit(sample)
-    drawn = Hashes(a, b, s.width, most)
-    places = drawn.places(x)
-    cells = np.floor(places)
-    ranks = []
-    for q in range(min(len(x), s.sample_queries)):
+    asked, best = min(len(x), s.sample_queries), []
+    for q in range(asked):
         near = x @ x[q]
         near[q] = -2
-        best = np.argsort(-near, kind="stable")[: min(k, len(x) - 1)]
-        rank = np.full(len(best), most)
-        for t in range(s.tables):
-            order = {c.tobytes(): i for i, c in enumerate(probe_cells(places[q, t], most))}
-            rank = np.minimum(rank, [order.get(cells[i, t].tobytes(), most) for i in best])
-        ranks.extend(rank.tolist())
-    probes = math.ceil(np.quantile(ranks, s.target)) + 1 if ranks else most
-    return Hashes(a, b, s.width, min(most, probes))
+        best.append(np.argsort(-near, kind="stable")[: min(k, len(x) - 1)])
+    best = np.stack(best)
+    for hashes in range(most_hashes, 0, -1):
+        most = min(3**hashes, s.most_probes)
+        h = Hashes(a[:, :hashes], b[:, :hashes], s.width, most)
+        places = h.places(x)
+        cells = np.floor(places)
+        steps = np.abs(cells[best] - cells[:asked, None]).max(axis=3)
+        if (steps <= 1).any(axis=2).mean() < s.target:
+            continue  # more than a cell away in each table: no probe gets there
+        probed = [[probe_cells(places[q, t], most) for t in range(s.tables)] for q in range(asked)]
+        ranks = np.full(best.shape, most)
+        for q, t in np.ndindex(asked, s.tables):
+            order = {c.tobytes(): i for i, c in enumerate(probed[q][t])}
+            ranks[q] = np.minimum(ranks[q], [order.get(cells[i, t].tobytes(), most) for i in best[q]])
+        last = int(np.sort(ranks, axis=None)[math.ceil(s.target * ranks.size) - 1])
+        if last == most:
+            continue
+        keys = [bucket_keys(cells[:, t], t) for t in range(s.tables)]
+        visited = sum(np.isin(keys[t], bucket_keys(probed[q][t][: last + 1], t)).mean() for q, t in np.ndindex(asked, s.tables)) / asked
+        return Hashes(h.a, h.b, s.width, last + 1) if visited < 1 else None
+    return None
 
 
 def _cosines(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -177,23 +195,44 @@ def _hashed(vectors: DataFrame, h: Hashes, probing: bool) -> DataFrame:
     return vectors.select("vec_id", "v").mapInPandas(run, "bucket long, vec_id long")
 
 
-def _completed(found: DataFrame, base: DataFrame, every: int, rows: int, k: int, s: AnnSettings) -> DataFrame:
-    """For queries whose probes met fewer than k rows: all rows, in blocks of rows and queries."""
-    have = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n"))
-    queries = base.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked"))
-    short = queries.join(have, "query_id", "left").where(F.coalesce("n", F.lit(0)) < min(k, rows - 1))
-    short = stored(short.select("query_id", "asked"), "short")
-    n = short.count()
-    if not n:
-        return found
-    parts, tiles = math.ceil(rows / s.block), math.ceil(n / s.block)
+def _compared(queries: DataFrame, n: int, base: DataFrame, rows: int, k: int, s: AnnSettings) -> DataFrame:
+    """``queries(query_id, asked)``, n of them, against all rows, in blocks of rows and queries."""
+    parts, tiles = math.ceil(rows / s.exact_rows), math.ceil(n / s.block)
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     own = lambda c, n: F.pmod(F.xxhash64(c, F.lit(2)), F.lit(n)).cast("int")
-    q = short.select("query_id", "asked", upto(parts).alias("part"), own("query_id", tiles).alias("tile"))
+    q = queries.select("query_id", "asked", upto(parts).alias("part"), own("query_id", tiles).alias("tile"))
     q = q.select("query_id", "asked", F.col("part").alias("q_part"), F.col("tile").alias("q_tile"), F.array(F.col("part").cast("long")).alias("buckets"))
     v = base.select("vec_id", "v", own("vec_id", parts).alias("part"), upto(tiles).alias("tile")).withColumn("bucket", F.col("part").cast("long"))
-    more = q.groupBy("q_part", "q_tile").cogroup(v.groupBy("part", "tile")).applyInPandas(_rerank(k), FOUND)
-    return found.unionAll(more)
+    return q.groupBy("q_part", "q_tile").cogroup(v.groupBy("part", "tile")).applyInPandas(_rerank(k), FOUND)
+
+
+def _completed(found: DataFrame, queries: DataFrame, base: DataFrame, rows: int, k: int, s: AnnSettings) -> DataFrame:
+    """For queries whose probes met fewer than k rows: all rows."""
+    have = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n"))
+    short = queries.join(have, "query_id", "left").where(F.coalesce("n", F.lit(0)) < min(k, rows - 1))
+    short = stored(short.select("query_id", "asked"), "short")
+    n = short.count()
+    return found.unionAll(_compared(short, n, base, rows, k, s)) if n else found
+
+
+def _probed(base: DataFrame, every: int, rows: int, h: Hashes, k: int, s: AnnSettings) -> DataFrame:
+    """The k best of each query among the rows of the buckets it visits, by block."""
+    index = stored(_hashed(base, h, False), "index")
+    asked = stored(_hashed(base.where(F.pmod("vec_id", F.lit(every)) == 0), h, True), "probes")
+    sizes = index.groupBy("bucket").agg(F.ceil(F.count("*") / s.block).cast("int").alias("parts"))
+    wanted = asked.groupBy("bucket").agg(F.ceil(F.count("*") / s.block).cast("int").alias("tiles"))
+    blocks = stored(sizes.join(wanted, "bucket"), "blocks")
+    groups = max(1, math.ceil(s.tables * rows / (4 * s.block)))
+    blocks = blocks.withColumn("group", F.when(F.expr("parts = 1 and tiles = 1"), F.pmod(F.xxhash64("bucket"), F.lit(groups))))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col(n)).cast("int")
+    block = F.coalesce("group", F.xxhash64("bucket", "part", "tile")).alias("block")
+    v = index.join(blocks, "bucket").select("bucket", "group", own("parts").alias("part"), upto("tiles").alias("tile"), "vec_id")
+    v = v.select(block, "bucket", "vec_id").join(base, "vec_id")
+    q = asked.join(blocks, "bucket").select("bucket", "group", upto("parts").alias("part"), own("tiles").alias("tile"), "vec_id")
+    q = q.select(block, "bucket", F.col("vec_id").alias("query_id")).groupBy("block", "query_id").agg(F.collect_list("bucket").alias("buckets"))
+    q = q.join(base.select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked")), "query_id")
+    return q.groupBy("block").cogroup(v.groupBy("block")).applyInPandas(_rerank(k), FOUND)
 
 
 def nearest(vectors: DataFrame, every: int, k: int = 5, s: AnnSettings | None = None) -> DataFrame:
@@ -204,7 +243,8 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, s: AnnSettings | None =
     go to the smaller vec_id. Vectors that are null, zero, or hold nulls or non-finite numbers
     take no part, nor do rows without vec_id; of rows that repeat a vec_id the one with the
     smallest vector counts. No rows give no rows; a query gets k rows, or all others if there are
-    fewer: one whose probes meet fewer than k is compared with all rows.
+    fewer: one whose probes meet fewer than k is compared with all rows. Where no hashes reach
+    the sample's neighbours for less than a comparison with all rows (:func:`fit`), the result is exact.
 
     Every row is indexed in each table. A bucket of many rows or queries is cut into blocks by
     hashes, so a vector that is very common is spread over tasks; small buckets share a block.
@@ -223,23 +263,11 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, s: AnnSettings | None =
     share = int(SLOTS * min(1.0, s.sample / rows))
     sample = base.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(SLOTS)) < share).orderBy("vec_id").toPandas()
     h = fit(np.stack(sample["v"]) if len(sample) else np.ones((1, dims)), rows, k, s)
-    index = stored(_hashed(base, h, False), "index")
-    asked = stored(_hashed(base.where(F.pmod("vec_id", F.lit(every)) == 0), h, True), "probes")
-    sizes = index.groupBy("bucket").agg(F.ceil(F.count("*") / s.block).cast("int").alias("parts"))
-    wanted = asked.groupBy("bucket").agg(F.ceil(F.count("*") / s.block).cast("int").alias("tiles"))
-    blocks = stored(sizes.join(wanted, "bucket"), "blocks")
-    groups = max(1, math.ceil(s.tables * rows / (4 * s.block)))
-    blocks = blocks.withColumn("group", F.when(F.expr("parts = 1 and tiles = 1"), F.pmod(F.xxhash64("bucket"), F.lit(groups))))
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col(n)).cast("int")
-    block = F.coalesce("group", F.xxhash64("bucket", "part", "tile")).alias("block")
-    v = index.join(blocks, "bucket").select("bucket", "group", own("parts").alias("part"), upto("tiles").alias("tile"), "vec_id")
-    v = v.select(block, "bucket", "vec_id").join(base, "vec_id")
-    q = asked.join(blocks, "bucket").select("bucket", "group", upto("parts").alias("part"), own("tiles").alias("tile"), "vec_id")
-    q = q.select(block, "bucket", F.col("vec_id").alias("query_id")).groupBy("block", "query_id").agg(F.collect_list("bucket").alias("buckets"))
-    q = q.join(base.select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked")), "query_id")
-    found = q.groupBy("block").cogroup(v.groupBy("block")).applyInPandas(_rerank(k), FOUND)
-    found = _completed(stored(found, "found"), base, every, rows, k, s)
+    queries = base.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked"))
+    if h is None:
+        found = _compared(queries, max(1, queries.count()), base, rows, k, s)
+    else:
+        found = _completed(stored(_probed(base, every, rows, h, k, s), "found"), queries, base, rows, k, s)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
