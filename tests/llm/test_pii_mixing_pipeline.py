@@ -93,6 +93,29 @@ def test_a_format_with_too_few_forms_stays_distinct(spark):
     assert len({r["surrogate"] for r in got}) == 10
 
 
+CARD = "4111111111111111"
+NEIGHBOURS = [  # text with {} around each entity
+    "pay {%s} 12/27" % CARD, "pay {%s} 123" % CARD, "order 17 {%s}" % CARD, "call {202-555-0147} 94105", "call {202-555-0147} {202-555-0199}",
+    "{555-123-4567} 2024-01-01", "1 2 {4111 1111 1111 1111} 123 {202-555-0147} {123-45-6789} 5", "9 {202-555-0147} {202.555.0199}", "{%s} {10.20.30.40}" % CARD,
+    "{%s} {55@mail.example.com}" % CARD, "17 {4111 1111 1111 1111}.5", "password={4041894974608796}", "17 {%s} {%s} {3782-822463-10005}" % (CARD, CARD), "{41111111 11111111}", "none 4041894974608796 1 2024-01-01 12 13",
+    "1 " * 8_000 + "{%s} " % CARD + "77-" * 3000 + "7",
+]
+
+
+def test_neighbouring_numbers_hide_no_entity(spark):
+    df = spark.createDataFrame([(i, re.sub("[{}]", "", t)) for i, t in enumerate(NEIGHBOURS)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.replace_pii(df, SECRET).collect()}
+    for i, given in enumerate(NEIGHBOURS):
+        gaps, entities = re.split(r"\{[^}]*\}", given), re.findall(r"\{([^}]*)\}", given)
+        if i < len(NEIGHBOURS) - 1:
+            m = re.fullmatch("(.+)".join(map(re.escape, gaps)), got[i]["text"])
+            assert m and got[i]["n_entities"] == len(entities), (given, got[i])
+            assert all(len(a) == len(b) and a != b for a, b in zip(entities, m.groups())), (given, got[i])
+        else:
+            assert CARD not in got[i]["text"] and len(got[i]["text"]) == len(given) - 2
+    assert len({re.findall(r"\d{16}", got[i]["text"])[0] for i in (0, 1, 2, 8, 9)}) == 1
+
+
 def test_pii_is_native_and_empty_tables_pass(spark, small):
     plan = queries.op4_pii(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

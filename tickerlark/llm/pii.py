@@ -24,7 +24,17 @@ PATTERNS = {
     "phone": r"(?<![\p{L}\p{N}+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{3,4}(?![\p{L}\p{N}-])|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\p{L}\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, sorted(TITLES_M + TITLES_F, key=len, reverse=True)))})(?: \p{{Lu}}[\p{{L}}'-]{{1,30}}){{1,3}}(?![\p{{L}}])",
 }
-ANY = "|".join(PATTERNS.values())
+#: What ends a run of numbers before its next group: an email, an address or a number with dots.
+OTHER = rf"[\p{{L}}\p{{N}}._%+-]++@|{OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)|(?:\d{{3}}\.\d{{3}}[ .-]|\d{{3}}-\d{{3}}\.)\d{{3,4}}(?![\p{{L}}\p{{N}}-])"
+#: Groups of digits in a row, 13 digits or more: it may hold several entities, which are looked for inside.
+RUN = rf"(?<![\p{{L}}\p{{N}}+.-])(?=\d(?:[ -]?\d){{12}})\d++(?![\p{{L}}\p{{N}}])(?:[ -](?!{OTHER})\d++(?![\p{{L}}\p{{N}}]))*+"
+ANY = "|".join(RUN if kind == "card" else pattern for kind, pattern in PATTERNS.items())
+#: Inside a run, at every group: usual layouts of cards, phones, social security numbers; then 13 to 19 digits in any groups.
+CARDS = (r"\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}(?!\d)", r"\d{4}(?:[ -]\d{4}){3}(?!\d)", r"\d{13,19}(?!\d)", r"\d{4}[ -]\d{6}[ -]\d{4,5}(?!\d)")
+PHONE = r"\d{3}-\d{3}[ -]\d{3,4}(?![\d-])"
+SSN = r"(?<!-)\d{3}-\d{2}-\d{4}(?![\d-])"
+LOOSE = tuple(rf"(?:\d[ -]?){{{n - 1}}}\d(?!\d)" for n in range(19, 12, -1))
+KEYWORD = r"(?:password|passwd|token|secret|api_key)[ ]{0,2}[=:]"
 #: A text without any of these holds nothing of PATTERNS.
 HINT = r"[@0-9]|(?:password|passwd|token|secret|api_key)[ ]{0,2}[=:]|" + "|".join(re.escape(t) + " " for t in TITLES_M + TITLES_F)
 #: Syllables of surrogate names and their endings by script and gender.
@@ -66,6 +76,30 @@ def _kind(mention: Column) -> Column:
     return out
 
 
+def _is_run(mention: Column) -> Column:
+    return mention.rlike(r"^\d[\d -]*+$")
+
+
+def _run_units(run: Column) -> Column:
+    """A run of numbers as parts (kind, norm, raw); what is no entity has kind ''.
+
+    Candidates start at every group, so none hides another: those in a usual layout are taken
+    first, then the longest of other groupings in what is left. Cards must pass Luhn.
+    """
+    at = lambda layout: F.regexp_extract_all(run, F.lit(rf"(?<!\d)(?=({layout}))"), F.lit(1))
+    valid = lambda layouts: F.filter(F.concat(*map(at, layouts)), lambda x: _luhn_sum(_digits(x), 1) % 10 == 0)
+    one_of = lambda x: F.when(F.size(x) == 0, "(?!)").otherwise(F.concat(F.lit("(?<![0-9])(?:"), F.array_join(F.array_distinct(x), "|"), F.lit(")(?![0-9])")))
+    part = lambda kind, x: F.struct(kind.alias("kind"), F.when(kind == "", x).otherwise(_digits(x)).alias("norm"), x.alias("raw"))
+    usual, loose = one_of(F.concat(valid(CARDS), at(PHONE), at(SSN))), one_of(valid(LOOSE))
+    kind = lambda x: F.when(x.rlike(f"^{PHONE}$"), "phone").when(x.rlike(f"^{SSN}$"), "ssn").otherwise("card")
+
+    def cut(x: Column, pattern: Column, gap) -> Column:
+        parts = F.zip_with(F.split(x, pattern, -1), F.regexp_extract_all(x, pattern, F.lit(0)), lambda g, m: F.concat(gap(g), F.array(part(kind(m), m))))
+        return F.filter(F.flatten(parts), lambda u: u["raw"].isNotNull() & (u["raw"] != ""))
+
+    return cut(run, usual, lambda g: cut(g, loose, lambda h: F.array(part(F.lit(""), h))))
+
+
 def _script(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
@@ -180,7 +214,8 @@ def replace_pii(docs: DataFrame, p: Pii | None = None) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``n_entities`` (mentions replaced) added.
 
     Detected: email, credential, IPv4, social security number, card (Luhn), IBAN, phone, and names
-    after a title. An entity gets the same surrogate everywhere (numbers by their digits, emails
+    after a title. Numbers in a row are searched at every group, so a neighbour hides none; what
+    stands after a keyword of credentials is one, whatever it looks like. An entity gets the same surrogate everywhere (numbers by their digits, emails
     and names without regard to case, names word by word, so a surname alone keeps its
     surrogate); gender follows the title. Texts without a mention, and null, pass unchanged with
     0. A column n_entities of ``docs`` is replaced; all other columns and all rows stay, repeated and null ids too: rows are matched by a
@@ -193,18 +228,27 @@ def replace_pii(docs: DataFrame, p: Pii | None = None) -> DataFrame:
     docs = docs.drop("n_entities")
     added = docs.withColumn("__hit", F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(ANY), F.lit(False)))
     hit = added.where("__hit").drop("__hit").withColumn("__key", F.md5("text"))
-    seen = hit.select("__key", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))).alias("mention")).distinct()
-    seen = seen.withColumn("kind", _kind(F.col("mention"))).where("kind is not null")
-    units = stored(seen.select("__key", "mention", F.posexplode(_units(F.col("mention"), F.col("kind")))).select("__key", "mention", "pos", "col.*"), "mentions")
+    secrets = F.when(F.col("text").rlike(KEYWORD), F.regexp_extract_all("text", F.lit(PATTERNS["secret"]), F.lit(0)))
+    seen = hit.select("__key", secrets.alias("secrets"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))).alias("mention"))
+    seen = seen.select("__key", "mention", F.coalesce(F.array_contains("secrets", F.col("mention")), F.lit(False)).alias("secret")).distinct()
+    mention = F.col("mention")
+    kind = F.when(~F.col("secret") & _is_run(mention), "run").otherwise(F.coalesce(_kind(mention), F.when(F.col("secret"), "secret")))
+    seen = seen.select("__key", "mention", kind.alias("whole")).where("whole is not null")
+    parts = F.when(F.col("whole") == "run", _run_units(mention)).otherwise(_units(mention, F.col("whole")))
+    seen = seen.withColumn("parts", parts).where(F.exists("parts", lambda x: x["kind"] != ""))
+    units = stored(seen.select("__key", "mention", "whole", F.posexplode("parts")).select("__key", "mention", "whole", "pos", "col.*"), "mentions")
     made = surrogates(units.where("kind <> ''").select("kind", "norm"), p)
-    rendered = units.where("kind <> ''").join(made, ["kind", "norm"]).select("__key", "mention", "pos", _rendered(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"))
-    rendered = rendered.unionAll(units.where("kind = ''").select("__key", "mention", "pos", F.col("raw").alias("new")))
-    mention = rendered.groupBy("__key", "mention").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]), " ").alias("new"))
-    maps = mention.groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("__new"))
+    at = ("__key", "mention", "whole", "pos", "kind")
+    rendered = units.where("kind <> ''").join(made, ["kind", "norm"]).select(*at, _rendered(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"))
+    rendered = rendered.unionAll(units.where("kind = ''").select(*at, F.col("raw").alias("new")))
+    news = F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"])
+    n = F.when(F.col("whole") == "run", F.count(F.when(F.col("kind") != "", 1))).otherwise(1)
+    mention = rendered.groupBy("__key", "mention", "whole").agg(F.when(F.col("whole") == "name", F.array_join(news, " ")).otherwise(F.array_join(news, "")).alias("new"), n.alias("n"))
+    maps = mention.groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("mention", F.struct("new", "n")))).alias("__new"))
     found, gaps = F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), F.split("text", ANY, -1)
-    text = F.array_join(F.zip_with(gaps, F.transform(found, lambda m: F.coalesce(F.col("__new")[m], m)), lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+    text = F.array_join(F.zip_with(gaps, F.transform(found, lambda m: F.coalesce(F.col("__new")[m]["new"], m)), lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
     joined = hit.join(maps, "__key", "left")
-    n = F.coalesce(F.size(F.filter(found, lambda m: F.col("__new")[m].isNotNull())), F.lit(0)).cast("long")
+    n = F.aggregate(found, F.lit(0).cast("long"), lambda s, m: s + F.coalesce(F.col("__new")[m]["n"], F.lit(0)))
     changed = joined.select(*[F.when(F.col("__new").isNotNull(), text).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.when(F.col("__new").isNotNull(), n).otherwise(F.lit(0).cast("long")).alias("n_entities"))
     rest = added.where("not __hit").select(*docs.columns, F.lit(0).cast("long").alias("n_entities"))
     return rest.unionAll(changed)
