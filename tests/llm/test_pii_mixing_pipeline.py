@@ -167,6 +167,21 @@ def test_mixing_edges(spark):
     assert mixing.mixed_documents(docs, none, {"a": 1.0}).columns == docs.columns
 
 
+@pytest.mark.parametrize("junk, toxic", [(37, 3), (25, 5), (3, 2), (200, 0), (113, 120)])
+def test_scarce_unwanted_domains_thin_no_clean_documents(spark, junk, toxic):
+    n = {"clean": 1000 - junk - toxic, "junk": junk, "toxic": toxic}
+    kinds = [k for k in n for _ in range(n[k])]
+    df = spark.createDataFrame([(10, [float(k == d) for d in n]) for k in kinds], "n_tokens long, posterior array<double>")
+    targets = mixing.target_shares(df, list(n), queries.WEIGHTS, queries.MIX.at_most)
+    rate, _ = mixing.rates_after(np.eye(3), mixing.fit_rates(df, targets, queries.MIX), queries.MIX)
+    assert rate[0] > 0.99
+    shares = targets / targets.sum()
+    assert targets[0] == pytest.approx(n["clean"] / 1000) and (shares[1:] <= np.array([0.02, 0.01]) + 1e-12).all()
+    for d, most in ((1, 0.02), (2, 0.01)):
+        have = n[("junk", "toxic")[d - 1]] / 1000
+        assert targets[d] == pytest.approx(min(have, most * targets.sum()))
+
+
 def test_upsampling_repeats_rows(spark):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, "rare words here").otherwise("common thing there").alias("text"))
     told = docs.select("doc_id", F.when(F.col("doc_id") % 4 == 0, "r").otherwise("c").alias("domain"))

@@ -31,6 +31,7 @@ class MixSettings:
     steps: int = 60
     tolerance: float = 1e-4  # stop when no domain's share moves more than this
     most_rate: float | None = None  # of a document; None: no upper bound
+    at_most: tuple[str, ...] = ()  # domains whose weight is an upper bound: a scarce one thins no other
     seed: int = 3
 
 
@@ -181,6 +182,7 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]
     ``weights`` gives the domains' target shares of the tokens kept (domains it doesn't name have
     target 0; names never labelled are left out). The kept total is as large as it can be with no
     domain repeated: the domain that is scarcest against its weight keeps its expected tokens.
+    Domains in ``at_most`` don't count for that; a scarcer one keeps all it has, below its weight.
     ``rate`` is the expected number of uses of a document; ``copies`` is its whole part plus one
     more with the probability of the rest, by a hash of doc_id and n_tokens. ``domain`` is the
     likeliest. Null and word-less texts have 0 tokens. Without labels or weights every rate is 1.
@@ -189,20 +191,39 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]
     s = s or MixSettings()
     model = train_domains(docs, labelled, s) or Domains(["all"], np.zeros((1, 1), np.float32), np.zeros(1, np.float32))
     members = stored(domain_posteriors(docs, model), "posteriors")
-    pulls = fit_rates(members, target_shares(members, model.labels, weights), s)
+    pulls = fit_rates(members, target_shares(members, model.labels, weights, s.at_most), s)
     return _rated(members, model.labels, pulls, s)
 
 
-def target_shares(members: DataFrame, labels: list[str], weights: dict[str, float]) -> np.ndarray:
+def target_shares(members: DataFrame, labels: list[str], weights: dict[str, float], at_most: tuple[str, ...] = ()) -> np.ndarray:
     """Target tokens by domain, as shares of all tokens at rate 1."""
     own = [F.sum(F.col("n_tokens") * F.element_at("posterior", i + 1)) for i in range(len(labels))]
     sums = members.agg(*own, F.sum("n_tokens")).first()
     have = np.array([x or 0.0 for x in sums[:-1]]) / max(1, sums[-1] or 0)
     want = np.array([weights.get(k, 0.0) for k in labels])
+    return targets_for(have, want, np.array([k in at_most for k in labels]))
+
+
+def targets_for(have: np.ndarray, want: np.ndarray, bounded: np.ndarray) -> np.ndarray:
+    """Targets from shares, weights, and whether a weight is an upper bound.
+
+    The other domains are in proportion to their weights and as large as the scarcest of them
+    allows; each bounded one has its weight of the kept total, or all its tokens if they are fewer.
+    """
     if want.sum() <= 0:
         return have
     want = want / want.sum()
-    return want * min(h / w for h, w in zip(have, want, strict=True) if w > 0)
+    sizing = ~bounded & (want > 0)
+    if not sizing.any():
+        sizing = want > 0
+    kept = want * (have[sizing] / want[sizing]).min()
+    scarce = np.zeros(len(want), bool)
+    while (now := ~sizing & ~scarce & (kept > have)).any():
+        scarce |= now
+        rest = ~sizing & ~scarce
+        kept[scarce] = have[scarce]
+        kept[rest] = want[rest] * kept[~rest].sum() / (1 - want[rest].sum())
+    return kept
 
 
 def _rated(members: DataFrame, labels: list[str], pulls: list[np.ndarray], s: MixSettings) -> DataFrame:
@@ -236,7 +257,7 @@ def mixed_documents(docs: DataFrame, labelled: DataFrame, weights: dict[str, flo
     if model is None:
         return docs
     members = stored(domain_posteriors(docs, model), "posteriors")
-    pulls = fit_rates(members, target_shares(members, model.labels, weights), s)
+    pulls = fit_rates(members, target_shares(members, model.labels, weights, s.at_most), s)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 

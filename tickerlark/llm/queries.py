@@ -18,8 +18,8 @@ RULES = [
     urls.Rule("block", "com", "/de/"),
 ]
 WEIGHTS = {"clean": 0.97, "junk": 0.02, "toxic": 0.01}
-#: Documents are used once or not at all.
-MIX = mixing.MixSettings(most_rate=1.0)
+#: Documents are used once or not at all; clean ones are not thinned where there is less junk than its weight.
+MIX = mixing.MixSettings(most_rate=1.0, at_most=("junk", "toxic"))
 PII_KEY = "tickerlark surrogates 1"
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
