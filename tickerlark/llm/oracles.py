@@ -90,4 +90,53 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-ORACLES = {"op5_near_duplicates": OP5, "op6_url_filter": OP6, "op9_top_products": OP9, "op10_chat_format": OP10}
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p FROM f),
+l AS (SELECT lang, term, sum(n) AS n FROM f GROUP BY lang, term),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q FROM l),
+b AS (SELECT a.lang, a.source, z.source AS item, sum(abs(a.p - z.p)) AS value FROM p a JOIN p z ON a.lang = z.lang AND a.term = z.term AND a.source <> z.source GROUP BY a.lang, a.source, z.source),
+w AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(b.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN b ON b.lang = x.lang AND b.source = x.source AND b.item = y.source
+  UNION ALL SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+), z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM w)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM z WHERE part = 'pair' OR rank <= 50
+"""
+
+OP13 = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+), r AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), u AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, run, count(*) AS m FROM r GROUP BY 1, 2),
+h AS (
+  SELECT run, m, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h FROM u, tab
+), x AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, m FROM h),
+v AS (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM x WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3),
+s AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+e AS (SELECT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS less, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS hole FROM s),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM e a JOIN e b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT e.word, e.n, v.word, v.n FROM e JOIN v ON v.word = e.less
+  UNION SELECT v.word, v.n, e.word, e.n FROM e JOIN v ON v.word = e.less
+), o AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS rank, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+f AS (
+  SELECT v.word, v.n, coalesce(o.n_near, 0) AS n_near, CASE WHEN o.other_n >= 2 * v.n THEN o.other END AS form, CASE WHEN o.other_n >= 2 * v.n THEN o.other_n END AS form_n
+  FROM v LEFT JOIN o ON o.word = v.word AND o.rank = 1
+), w AS (
+  SELECT word, word AS root FROM f
+  UNION SELECT w.word, f.form FROM w JOIN f ON f.word = w.root WHERE f.form IS NOT NULL
+), z AS (SELECT w.word, w.root FROM w JOIN f ON f.word = w.root WHERE f.form IS NULL)
+SELECT f.word, f.form, z.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM f JOIN z USING (word)
+"""
+
+ORACLES = {"op5_near_duplicates": OP5, "op6_url_filter": OP6, "op9_top_products": OP9, "op10_chat_format": OP10, "op12_source_divergence": OP12, "op13_spelling_variants": OP13}

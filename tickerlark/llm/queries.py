@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlark.llm import ann, bpe, chat, langid, minhash, mixing, pii, tokens, topk, urls
+from tickerlark.llm import ann, bpe, chat, divergence, langid, minhash, mixing, pii, tokens, topk, urls, variants
 from tickerlark.llm.scratch import table
 
 #: Fixed values of the URL rules.
@@ -82,6 +82,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_digests(chat.format_conversations(given.unionByName(probe)))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of terms by source and language, see :func:`divergence.source_divergence`."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart and their forms, see :func:`variants.spelling_variants`."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
@@ -93,4 +103,6 @@ REGISTRY = {
     "op8_nearest": op8_nearest,
     "op9_top_products": op9_top_products,
     "op10_chat_format": op10_chat_format,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
 }
