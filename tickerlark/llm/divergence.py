@@ -210,24 +210,30 @@ def _distances(entries: DataFrame, groups: DataFrame, p: Divergence) -> DataFram
     """(lang, source, item, value): differences summed over all kept terms, for each two sources.
 
     ``entries`` is (lang, source, term, p, zero, of_lang, sides): share of the term and of one that
-    doesn't occur, entries and sources of the language. ``groups`` is (lang, source, zero, v), v
-    the number of kept terms. Entries are dealt into blocks by term, and by sources where there
-    are many; a block adds up its terms, and what no block has seen neither source has.
+    doesn't occur, entries and sources of the language. ``groups`` is (lang, source, zero, v,
+    of_lang, sides), v the number of kept terms. Entries are dealt into blocks by term, and by
+    sources where there are many; a block adds up its terms, and what no block of two sources
+    has seen neither has.
     """
     parts, sides = F.ceil(F.col("of_lang") / p.block_entries), F.ceil(F.col("sides") / p.block_sources).cast("int")
     own = F.pmod(F.xxhash64("source"), sides).cast("int")
-    rows = entries.withColumn("own", own).withColumn("part", F.pmod(F.xxhash64("term"), parts))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), sides - 1)))
+    columns = ["lang", "source", "zero", "sides", "term", "p", "part"]
+    rows = entries.withColumn("part", F.pmod(F.xxhash64("term"), parts)).select(*columns)
+    # A source is there in each block, with or without terms.
+    there = groups.where("of_lang > 0").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    there = there.select("lang", "source", "zero", "sides", F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("p"), "part")
+    rows = rows.unionByName(there).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), sides - 1)))
     rows = rows.select("lang", "part", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "source", "zero", "term", "p")
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, _, x, y = key
-        term, _ = pd.factorize(rows["term"])
+        term, terms = pd.factorize(rows["term"])
         source, names = pd.factorize(rows["source"])
         zero, side = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
         zero[source], side[source] = rows["zero"], rows["own"]
-        share = np.repeat(zero[:, None], term.max() + 1, axis=1)
-        share[source, term] = rows["p"]
+        share = np.repeat(zero[:, None], len(terms), axis=1)
+        has = term >= 0
+        share[source[has], term[has]] = rows["p"][has]
         out = []
         for i in np.flatnonzero(side == x):
             others = np.flatnonzero((side == y) & ((side != x) | (np.arange(len(names)) != i)))
@@ -272,11 +278,11 @@ def source_divergence(docs: DataFrame, p: Divergence | None = None) -> DataFrame
     entries = stored(split_join(counts, shared, ["lang", "term"], "sources").select("lang", "source", "term", "count", "q"), "entries")
     sums = entries.groupBy("lang", "source").agg(F.sum("count").alias("n"), F.count("*").alias("terms"))
     groups = counts.where("term = ''").select("lang", "source").join(sums, ["lang", "source"], "left")
-    groups = groups.fillna(0, ["n", "terms"]).join(langs.select("lang", "v", "entries"), "lang", "left").fillna(0, ["v", "entries"])
-    several = counts.where("term = ''").groupBy("lang").agg(F.count("*").alias("sources"))
+    groups = groups.fillna(0, ["n", "terms"]).join(langs.select("lang", "v", F.col("entries").alias("of_lang")), "lang", "left").fillna(0, ["v", "of_lang"])
+    several = counts.where("term = ''").groupBy("lang").agg(F.count("*").alias("sides"))
     zero = F.when(F.col("v") > 0, _share(F.lit(0), F.col("n"), F.col("v"), p)).otherwise(0)
     groups = stored(groups.join(several, "lang").withColumn("zero", zero), "groups")
-    sized = split_join(entries, groups.where("terms > 0").select("lang", "source", "n", "v", "terms", "zero", F.col("entries").alias("of_lang"), F.col("sources").alias("sides")), ["lang", "source"], "terms")
+    sized = split_join(entries, groups.where("terms > 0"), ["lang", "source"], "terms")
     shares = stored(sized.select("lang", "source", "term", "q", "of_lang", "sides", "zero", _share(F.col("count"), F.col("n"), F.col("v"), p).alias("p")), "shares")
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ahead = shares.where("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))

@@ -90,6 +90,28 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+OP11 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) < 4 THEN [array_to_string(words, ' ')][1:least(len(words), 1)]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS g FROM w
+), t AS (
+  SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s
+), e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id
+    AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id AS node, doc_id AS reach FROM s
+  UNION
+  SELECT e.b, r.reach FROM r JOIN e ON e.a = r.node
+), k AS (SELECT a AS doc_id, count(*) AS n FROM e GROUP BY a)
+SELECT s.doc_id, len(any_value(s.g)) AS n_shingles, min(r.reach) AS component_id, coalesce(any_value(k.n), 0) AS n_links
+FROM s JOIN r ON r.node = s.doc_id LEFT JOIN k ON k.doc_id = s.doc_id GROUP BY s.doc_id
+"""
+
 OP12 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -139,4 +161,4 @@ f AS (
 SELECT f.word, f.form, z.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM f JOIN z USING (word)
 """
 
-ORACLES = {"op5_near_duplicates": OP5, "op6_url_filter": OP6, "op9_top_products": OP9, "op10_chat_format": OP10, "op12_source_divergence": OP12, "op13_spelling_variants": OP13}
+ORACLES = {"op5_near_duplicates": OP5, "op6_url_filter": OP6, "op9_top_products": OP9, "op10_chat_format": OP10, "op11_set_join": OP11, "op12_source_divergence": OP12, "op13_spelling_variants": OP13}

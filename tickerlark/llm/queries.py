@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlark.llm import ann, bpe, chat, divergence, langid, minhash, mixing, pii, tokens, topk, urls, variants
+from tickerlark.llm import ann, bpe, chat, divergence, langid, minhash, mixing, pii, setjoin, tokens, topk, urls, variants
 from tickerlark.llm.scratch import table
 
 #: Fixed values of the URL rules.
@@ -82,6 +82,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_digests(chat.format_conversations(given.unionByName(probe)))
 
 
+def op11_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by their four-word shingles, see :func:`setjoin.set_similarity_join`."""
+    return setjoin.set_similarity_join(table(spark, sf_dir, "documents"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of terms by source and language, see :func:`divergence.source_divergence`."""
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
@@ -103,6 +108,7 @@ REGISTRY = {
     "op8_nearest": op8_nearest,
     "op9_top_products": op9_top_products,
     "op10_chat_format": op10_chat_format,
+    "op11_set_join": op11_set_join,
     "op12_source_divergence": op12_source_divergence,
     "op13_spelling_variants": op13_spelling_variants,
 }
