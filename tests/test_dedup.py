@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tickerlark.operators import dedup, similarity
+from tickerlark.operators import dedup, families, similarity
 from tickerlark.params import Params
 
 K2 = (1 + math.log(1.5)) ** 2
@@ -146,10 +146,47 @@ def test_similarity_equals_the_sequential_model(spark, seed, crowded):
     assert got == greedy_similarity(rows)
 
 
-@pytest.mark.parametrize("seed", [5, 6])
-def test_temporal_equals_the_sequential_model(spark, seed):
+def test_large_families_take_rounds_with_the_same_result(spark):
+    rows = random_rows(8, 120, 5000)
+    got = ids(dedup.dedup_similarity(frame(spark, rows), PLAIN, crowded=3, most_texts=4))
+    assert got == greedy_similarity(rows)
+
+
+@pytest.mark.parametrize("seed, sweep_rows", [(5, 10**6), (6, 8)])
+def test_temporal_equals_the_sequential_model(spark, seed, sweep_rows):
     rows = random_rows(seed, 150, 6000)
-    assert ids(dedup.dedup_temporal(frame(spark, rows), PLAIN)) == greedy_temporal(rows)
+    got = ids(dedup.dedup_temporal(frame(spark, rows), PLAIN, sweep_rows, crowded=3 if sweep_rows < 100 else 200))
+    assert got == greedy_temporal(rows)
+
+
+def test_stages_label_each_text_once(spark):
+    rows = random_rows(11, 80, 3000)
+    stages = dedup.dedup_stages(frame(spark, rows), PLAIN, sweep_rows=5, crowded=3, most_texts=3)
+    labels = {r["id"]: (r["copies"], r["removed_at_stage"]) for r in stages.collect()}
+    seen, exact = Counter(), {}
+    for r in rows:
+        seen[compared(r[2])] += 1
+        exact.setdefault(compared(r[2]), r)
+    assert {i: n for i, (n, _) in labels.items()} == {r[0]: seen[t] for t, r in exact.items()}
+    timed = greedy_temporal(list(exact.values()))
+    final = greedy_similarity([r for r in exact.values() if r[0] in timed])
+    assert {i for i, (_, s) in labels.items() if s != "temporal_clustering"} == timed
+    assert {i for i, (_, s) in labels.items() if s is None} == final
+
+
+def test_families_cut_only_at_pauses(spark):
+    width, times = 10, [0, 9, 19, 30, 40, 41, 52, 100]
+    df = spark.createDataFrame([("f", t) for t in times], "family string, t long")
+    got = {r["t"]: r["segment"] for r in families.cut_at_pauses(df, width).collect()}
+    assert [len([t for t in times if got[t] == s]) for s in sorted(set(got.values()))] == [3, 3, 1, 1]
+
+
+def test_families_that_are_alike_throughout(spark):
+    words = [f"w{i}" for i in range(20)]
+    chain = [[*words[: 20 - i], *[f"x{j}" for j in range(i)]] for i in range(4)]
+    rows = [("same", "a", words), ("same", "b", [*words, "y"]), *[("chain", str(i), w) for i, w in enumerate(chain)], *[("large", str(i), words) for i in range(6)]]
+    df = spark.createDataFrame(rows, "family string, text string, words array<string>")
+    assert [r["family"] for r in families.alike_throughout(df, 0.8, 5).collect()] == ["same"]
 
 
 def test_long_chain_of_copies(spark):

@@ -14,18 +14,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlark.functions import text as tx
-from tickerlark.operators.similarity import (
-    CROWDED,
-    SimilarityIndex,
-    candidate_pairs,
-    pair_similarity,
-    words,
+from tickerlark.operators.families import (
+    alike_throughout,
+    connected,
+    cut_at_pauses,
+    dropped_by_text,
+    kept_in_time,
+    similar_or_close,
 )
+from tickerlark.operators.similarity import CROWDED, SimilarityIndex, pair_similarity, split_join, words
 from tickerlark.params import DEFAULTS, Params
 from tickerlark.schema import require
 from tickerlark.session import materialise
 
 ORDER = ("post_ts", "id")
+# Texts of a family that one task resolves; larger families take distributed rounds.
+MOST_TEXTS = 20_000
+# Posts of a segment without a pause that one task sweeps, if there is another way.
+SWEEP_ROWS = 1_000_000
+# Texts of a family that are compared with each other to find whether they act as one text.
+MOST_ALIKE = 2_000
 # --- fixed values: marks of a repost -----------------------------------------
 REPOST_MARKS = rf"(?i)^RT @[{tx.WORD}]+:|RT:|Retweet:|🔄"
 REPOST_PREFIX = rf"(?i)^RT @[{tx.WORD}]+:[{tx.SPACE}]*"
@@ -145,8 +153,6 @@ def near_duplicate_pairs(
         "similarity",
     )
     # Copies: each repeated text is met by its rows through a split join on a checked size.
-    from tickerlark.operators.similarity import split_join
-
     repeated = groups.filter("copies > 1").select(
         "key", "copies", F.col("first.id").alias("id_a")
     )
@@ -256,14 +262,8 @@ def _resolve(
     return dropped
 
 
-def dedup_similarity(
-    df: DataFrame, params: Params = DEFAULTS, crowded: int = CROWDED
-) -> DataFrame:
-    """Drop a row if an earlier kept row is similar, or a repost of the same text.
-
-    Rows equal in every compared text are one unit, represented by the first. A text without
-    any usable word is similar to nothing, not even to its copies, and is always kept.
-    """
+def _compared(df: DataFrame, params: Params) -> DataFrame:
+    """Add the texts that are compared, and whether there is a word in them."""
     content = F.coalesce("content", F.lit(""))
     rows = require(df, "id", "post_ts", "content").withColumns(
         {"_text": tx.comparison_text(content), "_repost": _is_repost(content)}
@@ -272,23 +272,64 @@ def dedup_similarity(
     usable = (F.size(words(F.col("_text"), params.stop_words)) > 0) | (
         F.coalesce(F.size(words(F.col("_origin"), params.stop_words)), F.lit(0)) > 0
     )
-    rows = rows.withColumn("_usable", usable)
+    return rows.withColumn("_usable", usable)
+
+
+def dedup_similarity(
+    df: DataFrame, params: Params = DEFAULTS, crowded: int = CROWDED, most_texts: int = MOST_TEXTS
+) -> DataFrame:
+    """Drop a row if an earlier kept row is similar, or a repost of the same text.
+
+    Rows equal in every compared text are one unit, represented by the first. A text without
+    any usable word is similar to nothing, not even to its copies, and is always kept. Families of
+    more than ``most_texts`` units are resolved in distributed rounds, the others in one pass.
+    """
+    rows = _compared(df, params)
     identity = F.unhex(F.md5(F.concat_ws("\n", "_text", F.coalesce("_origin", F.lit("\r")))))
-    units = materialise(keep_first(rows.filter("_usable"), identity))
-    texts = SimilarityIndex.build(units, "id", "_text", params.stop_words)
-    origins = SimilarityIndex.build(
-        units.filter("_repost"), "id", "_origin", params.stop_words
-    )
-    order = units.select(F.col("id").alias("uid"), F.struct(*ORDER).alias("at"))
-    dropped = _resolve(
-        order,
-        [(texts, params.similarity_threshold), (origins, params.repost_threshold)],
-        crowded,
-    )
-    kept = units.join(dropped.withColumnRenamed("uid", "id"), "id", "left_anti")
+    units = materialise(keep_first(rows.filter("_usable"), identity).withColumnRenamed("id", "uid"))
+    spaces = _spaces(units, params)
+    edges = [similar_or_close(index, threshold, crowded) for index, threshold in spaces]
+    families = connected(edges[0].unionByName(edges[1]))
+    dropped = _dropped(units, spaces, families, params, crowded, most_texts)
+    kept = units.join(dropped, "uid", "left_anti").withColumnRenamed("uid", "id")
     return kept.unionByName(rows.filter("not _usable")).select(*df.columns)
 
 
+def _spaces(units: DataFrame, params: Params) -> list[tuple[SimilarityIndex, float]]:
+    """Indices of the texts and of what reposts repeat, with their thresholds."""
+    texts = SimilarityIndex.build(units, "uid", "_text", params.stop_words)
+    origins = SimilarityIndex.build(units.filter("_repost"), "uid", "_origin", params.stop_words)
+    return [(texts, params.similarity_threshold), (origins, params.repost_threshold)]
+
+
+def _dropped(
+    units: DataFrame, spaces: Sequence[tuple[SimilarityIndex, float]], families: DataFrame,
+    params: Params, crowded: int, most_texts: int,
+) -> DataFrame:
+    """The uids of ``units`` dropped by keep-first.
+
+    Families of bounded size are resolved in one grouped pass, in order. Larger ones take the
+    rounds of :func:`_resolve`, which never holds a family in one task.
+    """
+    located = units.join(families, "uid")
+    size = F.sum(F.size(F.split("_text", " ")))
+    sizes = located.groupBy("family").agg(F.count("*").alias("n"), size.alias("words")).filter("n > 1")
+    sizes = materialise(sizes)
+    large = (F.col("n") > most_texts) | (F.col("words") > most_texts * 100)
+    order = F.struct(*[F.col("uid" if c == "id" else c) for c in ORDER]).alias("at")
+    origin = F.when(F.col("_repost"), words(F.col("_origin"), params.stop_words)).alias("origin")
+    small = located.join(sizes.filter(~large).select("family"), "family")
+    small = small.select("family", order, "uid", words(F.col("_text"), params.stop_words).alias("words"), origin)
+    dropped = dropped_by_text(small, (spaces[0][1], spaces[1][1]))
+    giant = sizes.filter(large).select("family")
+    if giant.isEmpty():
+        return dropped
+    giant = materialise(located.join(giant, "family").select("uid", order))
+    own = giant.select("uid")
+    parts = [(SimilarityIndex(materialise(index.shingles.join(own, "uid", "left_semi"))), t) for index, t in spaces]
+    return dropped.union(_resolve(giant, parts, crowded).select("uid"))
+
+
 # ----------------------------------------------------------------------------- greedy by time
 
 # Slots for looking up the next post of a text. Points are distinct microseconds, so a slot
@@ -346,85 +387,15 @@ def _kept_in_chains(points: DataFrame, width: int) -> DataFrame:
         jump = materialise(jump.join(ahead, ["text", "to"]).select("text", "t", F.col("far").alias("to")))
 
 
-def _kept_in_rounds(
-    points: DataFrame, neighbours: DataFrame, width: int
+def dedup_temporal(
+    df: DataFrame, params: Params = DEFAULTS, sweep_rows: int = SWEEP_ROWS, crowded: int = CROWDED
 ) -> DataFrame:
-    """Points (text, t, id) kept when texts have similar other texts.
-
-    All decisions are taken on summaries per (text, bucket of ``width``): at most the first
-    open point of a bucket can be kept in a round, and it drops the similar points up to
-    ``width`` after it. ``neighbours`` is (text, other), each text its own neighbour too.
-    """
-    bucket = F.floor(F.col("t") / width)
-    open_points = materialise(points.withColumn("b", bucket))
-    kept_all = open_points.limit(0)
-    at = F.struct("t", "id")
-
-    def around(summary: DataFrame, first: str, last: str) -> DataFrame:
-        """Per (text, b): the smallest ``first`` of similar texts in b, the largest ``last``
-        in the bucket before."""
-        spread = summary.join(neighbours.select("text", "other"), "text")
-        same = spread.groupBy(F.col("other").alias("text"), "b").agg(F.min(first).alias("first"))
-        previous = spread.groupBy(
-            F.col("other").alias("text"), (F.col("b") + 1).alias("b")
-        ).agg(F.max(last).alias("last"))
-        return same.join(previous, ["text", "b"], "full")
-
-    while not open_points.isEmpty():
-        spans = materialise(
-            open_points.groupBy("text", "b").agg(F.min(at).alias("lo"), F.max("t").alias("hi"))
-        )
-        view = spans.join(around(spans, "lo", "hi"), ["text", "b"])
-        free = (F.col("lo") <= F.col("first")) & (
-            F.col("last").isNull() | (F.col("last") < F.col("lo.t") - width)
-        )
-        kept = materialise(view.filter(free).select("text", "lo.t", "lo.id", "b"))
-        kept_all = kept_all.union(kept)
-        marks = kept.select("text", "b", F.struct("t", "id").alias("lo"), F.col("t").alias("hi"))
-        hits = around(marks, "lo", "hi")
-        judged = open_points.join(hits, ["text", "b"], "left")
-        decided = F.coalesce(F.col("first") <= at, F.lit(False)) | F.coalesce(
-            F.col("last") >= F.col("t") - width, F.lit(False)
-        )
-        open_points = materialise(judged.filter(~decided).select("text", "t", "id", "b"))
-    return kept_all
-
-
-def _mutual_groups(similar: DataFrame) -> DataFrame:
-    """(text, group): texts that are all similar to each other and to no other text.
-
-    Components by the smallest label, halving paths each round; a component of n texts is such
-    a group if it has n (n - 1) / 2 pairs.
-    """
-    both = similar.select(F.col("uid_a").alias("text"), F.col("uid_b").alias("other"))
-    both = both.union(similar.select(F.col("uid_b").alias("text"), F.col("uid_a").alias("other")))
-    least = F.least(F.min("other"), F.col("text"))
-    labels = materialise(both.groupBy("text").agg(least.alias("group")))
-    while True:
-        named = labels.select(F.col("text").alias("other"), F.col("group").alias("near"))
-        near = both.join(named, "other").groupBy("text").agg(F.min("near").alias("near"))
-        lower = labels.join(near, "text").select("text", F.least("group", "near").alias("group"))
-        lower = materialise(lower)
-        jump = lower.select(F.col("text").alias("group"), F.col("group").alias("root"))
-        new = materialise(lower.join(jump, "group").select("text", F.col("root").alias("group")))
-        if new.join(labels, ["text", "group"], "left_anti").isEmpty():
-            break
-        labels = new
-    pairs = similar.select(F.col("uid_a").alias("text")).join(labels, "text")
-    pairs = pairs.groupBy("group").agg(F.count("*").alias("pairs"))
-    sizes = labels.groupBy("group").agg(F.count("*").alias("n")).join(pairs, "group")
-    mutual = sizes.filter(F.col("pairs") * 2 == F.col("n") * (F.col("n") - 1)).select("group")
-    return labels.join(mutual, "group").select("text", "group")
-
-
-def dedup_temporal(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Drop a post if a kept post of similar text was made at most the window before it.
 
-    Texts that are all similar to each other, and to nothing else, act as one text, whose chain
-    of kept posts is followed by doubling. Other similar texts take a round per window of their
-    longest run without a pause.
+    One pass in time over each family of texts, cut at pauses longer than the window. Segments of
+    more than ``sweep_rows`` posts whose texts are all similar follow `next post` links instead,
+    which no single task walks.
     """
-    width = params.temporal_window_minutes * 60_000_000
     text = tx.comparison_text(F.coalesce("content", F.lit("")))
     rows = require(df, "id", "post_ts", "content").withColumn("_text", text)
     usable = F.size(words(F.col("_text"), params.stop_words)) > 0
@@ -434,52 +405,78 @@ def dedup_temporal(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
             F.md5("_text").alias("text"), F.unix_micros("post_ts").alias("t"), "id", "_text"
         )
     )
-    texts = points.groupBy("text").agg(F.any_value("_text").alias("_text"))
-    points = points.drop("_text")
+    texts = materialise(points.groupBy("text").agg(F.any_value("_text").alias("_text"), F.count("*").alias("copies")))
     index = SimilarityIndex.build(texts, "text", "_text", params.stop_words)
-    similar = materialise(index.pairs(params.temporal_threshold, strict=True))
-    there = similar.select(F.col("uid_a").alias("text"), F.col("uid_b").alias("other"))
-    back = similar.select(F.col("uid_b").alias("text"), F.col("uid_a").alias("other"))
-    both = there.union(back)
-    mutual = materialise(_mutual_groups(similar))
-    linked = both.select("text").distinct().join(mutual, "text", "left_anti")
-    linked = materialise(linked)
-    alone = points.join(linked, "text", "left_anti").join(mutual, "text", "left")
-    alone = alone.withColumn("text", F.coalesce("group", "text")).drop("group")
-    firsts = materialise(alone.groupBy("text", "t").agg(F.min("id").alias("id")))
+    families = connected(similar_or_close(index, params.temporal_threshold, crowded))
+    kept = _kept_in_time(points.select("text", "t", "id"), texts, families, params, sweep_rows)
+    return rows.filter("_usable").join(kept, "id", "left_semi").unionByName(rows.filter("not _usable")).select(*df.columns)
+
+
+def _kept_in_time(
+    points: DataFrame, texts: DataFrame, families: DataFrame, params: Params, sweep_rows: int
+) -> DataFrame:
+    """(id) of the kept posts of ``points`` (text, t, id); ``texts`` is (text, _text, copies)."""
+    width, threshold = params.temporal_window_minutes * 60_000_000, params.temporal_threshold
+    named = families.withColumnRenamed("uid", "text")
+    shown = words(F.col("_text"), params.stop_words)
+    known = texts.join(named, "text", "left").select(
+        "text", "copies", F.coalesce("family", "text").alias("family"), F.when(F.col("family").isNotNull(), shown).alias("words")
+    )
+    known = materialise(known)
+    located = split_join(points, known, "text", "copies").drop("copies")
+    located = materialise(cut_at_pauses(located, width))
+    kept = kept_in_time(located.filter(F.col("rows") <= sweep_rows), width, threshold)
+    large = located.filter(F.col("rows") > sweep_rows)
+    names = materialise(large.select("family").distinct())
+    if names.isEmpty():
+        return kept
+    several = known.filter("words is not null").join(names, "family", "left_semi").select("family", "text", "words")
+    odd = several.select("family").distinct().join(alike_throughout(several, threshold, MOST_ALIKE), "family", "left_anti")
+    odd = materialise(odd)
+    kept = kept.union(kept_in_time(large.join(F.broadcast(odd), "family", "left_semi"), width, threshold))
+    one = large.join(F.broadcast(odd), "family", "left_anti")
+    firsts = materialise(one.groupBy(F.col("family").alias("text"), "t").agg(F.min("id").alias("id")))
     chains = firsts.join(_kept_in_chains(firsts.select("text", "t"), width), ["text", "t"])
-    kept_ids = chains.select("id")
-    if not linked.isEmpty():
-        others = both.join(linked, "text", "left_semi")
-        neighbours = materialise(others.union(linked.select("text", F.col("text").alias("other"))))
-        among = points.join(linked, "text", "left_semi")
-        kept_ids = kept_ids.union(
-            _kept_in_rounds(among, neighbours, width).select("id")
-        )
-    kept = rows.filter("_usable").join(kept_ids, "id", "left_semi")
-    return kept.unionByName(rows.filter("not _usable")).select(*df.columns)
+    return kept.union(chains.select("id"))
 
 
 # ----------------------------------------------------------------------------- pipeline
 
 
-def _stages(df: DataFrame, params: Params) -> list[tuple[str, DataFrame]]:
-    exact = materialise(dedup_exact(df))
-    # After the exact stage every text is unique, so no (user, text) can repeat.
-    temporal = materialise(dedup_temporal(exact, params))
-    similar = materialise(dedup_similarity(temporal, params))
-    return [
-        ("original", df),
-        ("exact_content", exact),
-        ("user_content", exact),
-        ("temporal_clustering", temporal),
-        ("similarity", similar),
-    ]
+def dedup_stages(
+    df: DataFrame, params: Params = DEFAULTS, sweep_rows: int = SWEEP_ROWS, crowded: int = CROWDED, most_texts: int = MOST_TEXTS
+) -> DataFrame:
+    """The first row of each text with ``copies``, rows of the text, and ``removed_at_stage``.
+
+    The label is null for the rows that the pipeline keeps. After the exact stage every text is
+    unique, so no (user, text) can repeat; one index and one set of families serve the two
+    greedy stages. Stored once: result and counts read the same table.
+    """
+    text = F.unhex(F.md5(tx.comparison_text(F.col("content"))))
+    first = df.groupBy(text.alias("_key")).agg(
+        F.min_by(F.struct(*df.columns), F.struct(*ORDER)).alias("_row"), F.count("*").alias("copies")
+    )
+    rows = materialise(_compared(first.select("_row.*", "copies"), params).withColumnRenamed("id", "uid"))
+    units = rows.filter("_usable")
+    spaces = _spaces(units, params)
+    least = min(params.similarity_threshold, params.temporal_threshold)
+    edges = [similar_or_close(index, t, crowded) for index, t in ((spaces[0][0], least), spaces[1])]
+    families = connected(edges[0].unionByName(edges[1]))
+    worded = F.size(words(F.col("_text"), params.stop_words)) > 0
+    texts = units.filter(worded).select(F.col("uid").alias("text"), "_text", F.lit(1).cast("bigint").alias("copies"))
+    points = units.filter(worded).select(F.col("uid").alias("text"), F.unix_micros("post_ts").alias("t"), F.col("uid").alias("id"))
+    in_time = _kept_in_time(points, texts, families, params, sweep_rows).withColumnRenamed("id", "uid")
+    late = materialise(points.select(F.col("id").alias("uid")).join(in_time, "uid", "left_anti"))
+    left = materialise(units.join(late, "uid", "left_anti"))
+    gone = _dropped(left, spaces, families, params, crowded, most_texts)
+    labels = late.withColumn("removed_at_stage", F.lit("temporal_clustering")).union(gone.withColumn("removed_at_stage", F.lit("similarity")))
+    labelled = rows.join(labels, "uid", "left").withColumnRenamed("uid", "id")
+    return materialise(labelled.select(*df.columns, "copies", "removed_at_stage"))
 
 
 def dedup_pipeline(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Exact, user, temporal, then similarity."""
-    return _stages(df, params)[-1][1]
+    return dedup_stages(df, params).filter("removed_at_stage IS NULL").select(*df.columns)
 
 
 def _stage_rows(counts: DataFrame) -> DataFrame:
@@ -521,15 +518,17 @@ def dedup_stats(df: DataFrame) -> DataFrame:
 
 
 def dedup_pipeline_stats(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Counts of every stage of the pipeline and of the whole."""
-    stages = _stages(df, params)
-    spans = list(zip(stages, stages[1:])) + [(stages[0], stages[-1])]
-    names = [name for name, _ in stages[1:]] + ["summary"]
-    result = None
-    for name, ((_, before), (_, after)) in zip(names, spans):
-        n = before.agg(F.count("*").alias("n")).select(F.struct("n").alias("s")).scalar()
-        row = after.agg(F.count("*").alias("unique_count")).select(
-            F.lit(name).alias("stage"), n["n"].alias("original_count"), "unique_count"
-        )
-        result = row if result is None else result.unionByName(row)
-    return _stage_rows(result)
+    """Counts of every stage of the pipeline and of the whole, from one run of it."""
+    return stage_counts(dedup_stages(df, params))
+
+
+def stage_counts(stages: DataFrame) -> DataFrame:
+    """The counts of a table of :func:`dedup_stages`, in one aggregation."""
+    label = F.coalesce("removed_at_stage", F.lit(""))
+    counts = stages.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("a"), F.count("*").alias("b"),
+        F.count_if(label != "temporal_clustering").alias("c"), F.count_if(label == "").alias("d"),
+    )
+    spans = [("exact_content", "a", "b"), ("user_content", "b", "b"), ("temporal_clustering", "b", "c"), ("similarity", "c", "d"), ("summary", "a", "d")]
+    rows = [F.struct(F.lit(s).alias("stage"), F.col(x).alias("original_count"), F.col(y).alias("unique_count")) for s, x, y in spans]
+    return _stage_rows(counts.select(F.inline(F.array(*rows))))

@@ -104,7 +104,7 @@ def pair_similarity(
     )
 
 
-def split_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
+def split_join(rows: DataFrame, lookup: DataFrame, key: str | list[str], weight: str) -> DataFrame:
     """Inner join with a table of one row per key, safe when few keys hold most rows.
 
     ``weight`` is the number of rows of the key. A key is hot if it holds more than
@@ -117,7 +117,7 @@ def split_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> Dat
     hot = lookup.filter(F.col(weight) > bound)
     cold = lookup.filter(F.col(weight) <= bound)
     crowded = rows.join(F.broadcast(hot), key)
-    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    others = rows.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(cold, key)
     return crowded.unionByName(others)
 
 

@@ -38,6 +38,13 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the tables of :func:`materialise` that no later plan reads."""
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            delete(df.sparkSession, file.rsplit("/", 1)[0])
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows to a table in the shared folder and read it back.
 
