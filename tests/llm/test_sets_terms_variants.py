@@ -65,7 +65,7 @@ def test_set_join_equals_brute_force(spark, block):
     texts += [None, "", " \t\n", "One", "one", "a b", "A  b", "a b c", "a b c d", texts[0], texts[0], texts[0].upper()]
     rnd.shuffle(texts)
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, "another text of a repeated id"), (5, texts[5]), (5, texts[5]), (None, texts[7]), (None, None)]
-    p = setjoin.SetJoin(block=block, slice_rows=3 if block == 4 else 1000, order_buckets=64 if block == 4 else 1 << 18)
+    p = setjoin.SetJoin(block=4, slice_rows=3, order_buckets=64, list_rows=20) if block == 4 else setjoin.SetJoin()
     df = spark.createDataFrame([(d, t, "clash", "clash") for d, t in rows], "doc_id long, text string, id string, token string")
     got = Counter(tuple(r) for r in setjoin.set_similarity_join(df, p).select("doc_id", "n_shingles", "component_id", "n_links").collect())
     assert got == brute_join(rows, p)

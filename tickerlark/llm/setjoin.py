@@ -15,15 +15,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlark.llm.bytetext import shingle_set, text_bytes, word_hashes
 from tickerlark.llm.components import connected_components
-from tickerlark.llm.scratch import dropped, stored
+from tickerlark.llm.scratch import stored
 from tickerlark.operators.similarity import split_join
 
 
+#: Numbers of 64 bits in the table of :func:`_sets_of`.
+WORDS = 1 << 19
 #: Tells an added shingle from a removed one.
 ADDED = np.int64(0x5555555555555555)
 
@@ -38,6 +40,7 @@ class SetJoin:
     order_buckets: int = 1 << 18  # shingles are ordered by how often their bucket occurs
     block: int = 512  # sets, and
     block_shingles: int = 1_000_000  # differing shingles in a block of a cluster or list
+    list_rows: int = 1_000_000  # of an index list sorted by one task
     slice_rows: int = 1000  # sets compared with one other set in one task
 
     def prefix(self, n: int) -> int:
@@ -98,23 +101,64 @@ def _bucket_counts(nodes: DataFrame, p: SetJoin) -> np.ndarray:
 
 
 def _postings(nodes: DataFrame, p: SetJoin) -> DataFrame:
-    """(token, id, n, pos) of the first shingles of each set, rare ones first."""
+    """(token, id, n, pos) of the first shingles of each set, rare ones first, that other sets have too.
+
+    They move once, by shingle, and those met once end there. A shingle whose bucket is very
+    frequent is dealt to several tasks and always goes on.
+    """
     sent = nodes.sparkSession.sparkContext.broadcast(_bucket_counts(nodes, p))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, first = _lists(batch.column(1)), []
+            sets, found = _lists(batch.column(1)), []
             for tokens in sets:
                 order = np.lexsort((tokens, sent.value[tokens & (p.order_buckets - 1)]))
-                first.append(tokens[order[: p.prefix(len(tokens))]])
-            sizes = np.array([len(x) for x in first], np.int64)
+                found.append(tokens[order[: p.prefix(len(tokens))]])
+            sizes = np.array([len(x) for x in found], np.int64)
             pos = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            at = pa.array(np.repeat(np.arange(len(sets)), sizes))
-            n = pa.array([len(x) for x in sets], pa.int64())
-            flat = np.concatenate(first) if first else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), batch.column(0).take(at), n.take(at), pa.array(pos)], names=["token", "id", "n", "pos"])
+            n = np.repeat(np.array([len(x) for x in sets], np.int64), sizes)
+            at = np.repeat(np.arange(len(sets)), sizes)
+            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+            parts = 1 + sent.value[flat & (p.order_buckets - 1)] // p.list_rows
+            part = np.where(parts > 1, 1 + at % parts, 0)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), batch.column(0).take(pa.array(at)), pa.array(n << 32 | pos), pa.array(part)], names=["token", "id", "place", "part"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None  # the last row, and whether the one before has its shingle
+        for batch in batches:
+            rows = [c.to_numpy() for c in batch.columns]
+            if not len(rows[0]):
+                continue
+            before = False
+            if held is not None:
+                before, rows = held[-1], [np.concatenate(x) for x in zip(held[:-1], rows, strict=True)]
+            same = rows[0][1:] == rows[0][:-1]
+            keep = np.append(same, False) | np.append(before, same) | (rows[3] > 0)
+            held = [*[x[-1:].copy() for x in rows], bool(keep[-1])]
+            yield out([x[:-1][keep[:-1]] for x in rows])
+        if held is not None and held[-1]:
+            yield out(held[:-1])
 
-    return nodes.select("id", "tokens").mapInArrow(run, "token long, id long, n long, pos long")
+    def out(rows: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2] >> 32), pa.array(rows[2] & 0xFFFFFFFF)], names=["token", "id", "n", "pos"])
+
+    prefixes = nodes.select("id", "tokens").mapInArrow(first, "token long, id long, place long, part long")
+    dealt = prefixes.repartition("token", "part").sortWithinPartitions("token", "part")
+    return dealt.mapInArrow(shared, "token long, id long, n long, pos long")
+
+
+def _sets_of(nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, tokens) of the nodes among ``ids``, which may repeat.
+
+    A table of bits, never more than ``WORDS`` numbers, is broadcast and stops nearly all other
+    sets before they move; the join that follows is exact.
+    """
+    word, bit = F.pmod(F.xxhash64("id"), F.lit(WORDS)), F.shiftrightunsigned(F.xxhash64("id"), 58).cast("int")
+    ids = stored(ids.distinct(), "ids")
+    bits = ids.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    near = nodes.select("id", "tokens", word.alias("word")).join(F.broadcast(bits), "word")
+    near = near.where(F.call_function("shiftrightunsigned", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1)
+    return near.select("id", "tokens").join(ids.hint("merge"), "id")
 
 
 def _compared(pairs: DataFrame, nodes: DataFrame, least: int, p: SetJoin, differences: bool) -> DataFrame:
@@ -125,7 +169,7 @@ def _compared(pairs: DataFrame, nodes: DataFrame, least: int, p: SetJoin, differ
     load = pairs.groupBy("v").agg(F.count("*").alias("rows"))
     part = F.pmod(F.xxhash64("u"), F.ceil(F.col("rows") / p.slice_rows)).alias("part")
     dealt = stored(split_join(pairs, stored(load, "load"), "v", "rows").select("u", "v", part), "dealt")
-    sets = nodes.select("id", "tokens")
+    sets = stored(_sets_of(nodes, dealt.select(F.col("u").alias("id")).unionAll(dealt.select(F.col("v").alias("id")))), "sets")
     one = dealt.join(sets.withColumnRenamed("id", "u"), "u").select("v", "part", "u", "tokens")
     two = dealt.select("v", "part").distinct().join(sets.withColumnRenamed("id", "v"), "v").select("v", "part", F.lit(None).cast("long").alias("u"), "tokens")
     rows = one.unionAll(two).repartition("v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
@@ -157,13 +201,16 @@ def _compared(pairs: DataFrame, nodes: DataFrame, least: int, p: SetJoin, differ
 def _clusters(lists: DataFrame, nodes: DataFrame, p: SetJoin) -> DataFrame:
     """(id, cluster, removed, added): sets that are near a pivot, and how they differ from it.
 
-    Candidates are the smallest sets of index lists that share an eighth of a prefix. Which are
-    tried only decides what is derived here and what is found by the lists.
+    Candidates for the pivot of a set are the two smallest sets of index lists that share most of
+    its prefix, an eighth at least. Which are tried only decides what is derived here and what
+    is found by the lists.
     """
     size, prefix = F.col("n"), F.col("n") - F.ceil(F.col("n") * p.percent / 100) + 1
     near = (F.col("centre.n") * 100 >= size * p.member_percent) & (size * 100 >= F.col("centre.n") * p.member_percent)
     stars = lists.where((F.col("id") != F.col("centre.id")) & near).groupBy(F.col("id").alias("u"), F.col("centre.id").alias("v"), prefix.alias("prefix"))
-    stars = stored(stars.agg(F.count("*").alias("shared")).where("shared * 8 >= prefix").select("u", "v"), "stars")
+    stars = stored(stars.agg(F.count("*").alias("shared")).where("shared * 8 >= prefix"), "stars")
+    most = Window.partitionBy("u").orderBy(F.desc("shared"), "v")
+    stars = stored(stars.withColumn("rank", F.row_number().over(most)).where("rank <= 2").select("u", "v"), "stars")
     rel = stored(_compared(stars, nodes, p.member_percent, p, True), "related")
     pivots = rel.groupBy("v").agg(F.count("*").alias("rows")).join(rel.select(F.col("u").alias("v")).distinct(), "v", "left_anti")
     own = split_join(rel, stored(pivots, "pivots"), "v", "rows")
@@ -327,14 +374,13 @@ def set_similarity_join(docs: DataFrame, p: SetJoin | None = None) -> DataFrame:
     some = rows.where("doc_id is not null and n > 0")
     first = F.min(F.struct("doc_id", "digest", "row")).alias("f")
     classes = stored(some.groupBy("set_key").agg(first, F.count("*").alias("copies")).select("set_key", "copies", F.col("f.row").alias("id"), F.col("f.doc_id").alias("doc_id"), F.col("f.digest").alias("digest")), "classes")
-    texts = given.withColumn("digest", digest).join(classes.select("id", "doc_id", "digest"), ["doc_id", "digest"]).select("id", "text")
+    texts = given.withColumn("digest", digest).join(classes.select("id", "doc_id", "digest").hint("merge"), ["doc_id", "digest"]).select("id", "text")
     if not some.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():
         texts = texts.dropDuplicates(["id"])
     nodes = stored(_sets(texts, p, "id", True), "nodes")
     postings = stored(_postings(nodes, p), "postings")
     several = postings.groupBy("token").agg(F.count("*").alias("rows"), F.min(F.struct("id", "n")).alias("centre")).where("rows > 1")
     lists = stored(split_join(postings, stored(several, "tokens"), "token", "rows"), "lists")
-    dropped(postings)
     members = stored(_clusters(lists, nodes, p), "members")
     derived = stored(_derived(members, classes.select("id", "copies"), nodes.select("id", "n"), p), "derived")
     candidates = stored(_candidates(_dealt(lists, members, nodes, p), p), "candidates")
