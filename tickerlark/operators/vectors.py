@@ -1,26 +1,14 @@
-"""Bag-of-words and TF-IDF features, as long tables and as Spark ML vectors."""
+"""Bag-of-words and TF-IDF features as long tables, and their principal components."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import (
-    IDF,
-    PCA,
-    CountVectorizer,
-    ElementwiseProduct,
-    NGram,
-    Normalizer,
-    RegexTokenizer,
-    SQLTransformer,
-    StopWordsRemover,
-)
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlark.functions import sentiment as st
-from tickerlark.functions import text as tx
+from tickerlark.operators.decomposition import Svd, principal_components
 from tickerlark.operators.similarity import one_and_two_grams, split_join
 from tickerlark.params import DEFAULTS, Params
 from tickerlark.session import materialise
@@ -73,38 +61,16 @@ def tfidf_vectors(df: DataFrame, id_col: str = "id", params: Params = DEFAULTS)
     return raw.select(id_col, "term", (F.col("raw") / length).alias("weight"))
 
 
-def tfidf_features(
-    df: DataFrame, output: str = "features", vocab_size: int = 1000, params: Params = DEFAULTS
-) -> DataFrame:
-    """The same weights as an ML vector column, over ``vocab_size`` terms."""
-    # Spark's IDF lacks the "+ 1" of the smooth form, so the counts are scaled by idf + 1.
-    words = Pipeline(
-        stages=[
-            RegexTokenizer(inputCol="_tagged", outputCol="_all", pattern=f"[^{tx.WORD}]+"),
-            StopWordsRemover(inputCol="_all", outputCol="_words", stopWords=list(params.stop_words)),
-            NGram(n=2, inputCol="_words", outputCol="_pairs"),
-            SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
-            CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab_size),
-        ]
-    )
-    tagged = df.withColumn("_tagged", _tagged_text(df))
-    counted = words.fit(tagged).transform(tagged)
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0
-    scaled = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_raw").transform(counted)
-    unit = Normalizer(p=2.0, inputCol="_raw", outputCol=output).transform(scaled)
-    return unit.select(*df.columns, output)
-
-
 def reduce_dimensions(
-    vectors: DataFrame, features: str = "features", k: int = 100, output: str = "reduced"
+    weights: DataFrame, ids: DataFrame, id_col: str = "id", k: int = 100, settings: Svd | None = None
 ) -> DataFrame:
-    """Principal components. The Gramian has the size of the vocabulary, not of the data."""
-    return PCA(k=k, inputCol=features, outputCol=output).fit(vectors).transform(vectors)
-
-
-def vector_columns(df: DataFrame, id_col: str, vector: str, names: Sequence[str]) -> DataFrame:
-    """The leading components of a vector column as plain columns."""
-    from pyspark.ml.functions import vector_to_array
-
-    array = vector_to_array(F.col(vector))
-    return df.select(id_col, *[F.get(array, F.lit(i)).alias(n) for i, n in enumerate(names)])
+    """(id, components): the principal components of (id, term, weight) rows over the whole vocabulary.
+
+    ``ids`` holds each id once, those without terms too. See :func:`principal_components` for
+    the number of components and their signs.
+    """
+    entries = weights.select(F.col(id_col).alias("row"), F.col("term").alias("column"), F.col("weight").alias("value"))
+    scores, _, zero = principal_components(entries, k, ids.count(), settings)
+    without = F.array(*[F.lit(float(x)) for x in zero])
+    found = ids.select(id_col).join(scores.withColumnRenamed("row", id_col), id_col, "left")
+    return found.select(id_col, F.coalesce("components", without).alias("components"))

@@ -534,9 +534,9 @@ def count_vectors(spark, sf):
 
 @query
 def reduce_dimensions(spark, sf):
-    features = vectors.tfidf_features(_clean(spark, sf))
-    reduced = vectors.reduce_dimensions(features, k=10)
-    return vectors.vector_columns(reduced, "id", "reduced", ["c0", "c1", "c2"])
+    posts_ = _clean(spark, sf)
+    reduced = vectors.reduce_dimensions(materialise(vectors.tfidf_vectors(posts_)), posts_.select("id"), k=10)
+    return tidy(reduced.select("id", *[F.col("components")[i].alias(f"c{i}") for i in range(10)]))
 
 
 # --- signals ------------------------------------------------------------------------
