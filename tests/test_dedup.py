@@ -254,3 +254,15 @@ def test_two_similar_texts_alternating_for_thirty_days(spark):
     rows = [(f"{i:06d}", 60 * i, (a, b)[i % 2]) for i in range(n)]
     kept = ids(dedup.dedup_temporal(frame(spark, rows), PLAIN))
     assert kept == {f"{i:06d}" for i in range(0, n, 6)}
+
+
+def test_similar_rows_of_two_tables(spark):
+    left = [(1, "alpha beta gamma delta epsilon zeta"), (2, "Alpha beta gamma delta epsilon zeta!"), (3, "the"), (4, None), (5, "unlike all others here")]
+    right = [("x", "alpha beta gamma delta epsilon eta"), ("y", "alpha beta gamma delta epsilon zeta"), ("z", "the"), ("w", "alpha beta gamma delta epsilon eta")]
+    a = spark.createDataFrame(left, "id int, content string")
+    b = spark.createDataFrame(right, "id string, content string")
+    got = {(r["id_a"], r["id_b"]): r["similarity"] for r in dedup.near_duplicates_between(a, b, 0.5, PLAIN).collect()}
+    near = cosine(left[0][1], right[0][1])
+    assert 0.5 < near < 1
+    assert got == pytest.approx({(i, k): v for i in (1, 2) for k, v in (("x", near), ("w", near), ("y", 1.0))})
+    assert dedup.near_duplicates_between(a.limit(0), b, 0.5, PLAIN).count() == 0

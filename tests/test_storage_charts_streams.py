@@ -35,6 +35,44 @@ def test_partitions_are_pruned(spark, small):
     assert storage.expired_partitions(stored, REF).count() == 23
 
 
+def test_a_broken_file_is_skipped_and_listed(spark):
+    base = scratch_path(spark, "broken")
+    rows = spark.range(40).select(F.concat(F.lit("p"), "id").alias("id"), F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id % 4 as int))").alias("post_ts"))
+    storage.write_posts_partitioned(rows, base)
+    empty = f"{base}/year=2024/month=1/day=9"
+    rows.limit(0).coalesce(1).write.parquet(empty)
+    with open(f"{base}/year=2024/month=1/day=2/zz+ %1.parquet", "wb") as f:
+        f.write(b"PAR1 no footer")
+    schema = "id string, post_ts timestamp, year int, month int, day int"
+    with pytest.raises(Exception):
+        storage.scan_posts(spark, base, schema).collect()
+    tolerant = storage.scan_posts(spark, base, schema, skip_corrupt=True)
+    assert tolerant.count() == 40
+    assert "PartitionFilters: [isnotnull(" in plan(storage.filter_date_range(tolerant, "2024-01-02", "2024-01-02"))
+    skipped = {r["path"].rsplit("/", 1)[1]: r["reason"].split(":")[0] for r in storage.skipped_files(spark, base, schema).collect()}
+    assert skipped.pop("zz+ %1.parquet") == "corrupt" and set(skipped.values()) == {"empty"}
+    with pytest.raises(ValueError):
+        storage.skipped_files(spark, base, schema, most=0)
+
+
+def test_profile_of_a_range_from_sketches(spark):
+    rows = spark.range(20_000).selectExpr("timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id % 10 as int)) AS post_ts", "id % 7000 AS a", "'x' AS b")
+    sketches = materialise(storage.date_sketches(rows, ["a", "b"]))
+    assert sketches.count() == 10
+    got = {r["column"]: r for r in storage.range_profile(sketches, ["a", "b"], "2024-01-02", "2024-01-05").collect()}
+    want = rows.filter("post_ts BETWEEN '2024-01-02' AND '2024-01-05 23:00:00'").agg(F.countDistinct("a")).first()[0]
+    assert got["a"]["rows"] == 8000 and got["b"]["distinct"] == 1
+    assert abs(got["a"]["distinct"] / want - 1) < 0.05
+    none = storage.range_profile(sketches, ["a"], "2030-01-01", "2030-01-02").first()
+    assert (none["rows"], none["distinct"], none["ratio"]) == (0, 0, 0.0)
+
+
+def test_scatter_sample_does_not_depend_on_partitions(spark):
+    rows = spark.range(500).selectExpr("cast(id as string) AS id", "0.1 AS signal_confidence", "0.2 AS signal_strength", "0.3 AS sentiment_score", "if(id % 5 = 0, 'BUY', 'HOLD') AS signal_category")
+    one, many = (charts.confidence_scatter(rows.repartition(n), per_category=20).collect() for n in (1, 7))
+    assert sorted(r["id"] for r in one) == sorted(r["id"] for r in many) and len(one) == 40
+
+
 def test_outputs(spark):
     df = spark.range(3)
     with pytest.raises(ValueError):
@@ -158,9 +196,9 @@ def test_stream_equals_batch_and_drops_late_rows(spark, small):
 
 
 def test_stream_dedup_and_latest_points(spark, small):
-    rows = [("a", 0, "same"), ("b", 60, "same"), ("c", 90, "other")]
-    # Two later texts let the watermark pass, so the first text is forgotten.
-    rows += [("e", 3000, "third"), ("f", 3500, "fourth"), ("d", 4000, "same")]
+    # The first of a text arrives after a later copy; the last row lets the watermark pass all others.
+    rows = [("b", 60, "same"), ("c", 90, "other"), ("a", 0, "same"), ("a2", 0, "same")]
+    rows += [("e", 3000, "third"), ("f", 3500, "fourth"), ("d", 4000, "same"), ("z", 99_000, "last")]
     base = scratch_path(spark, "dedup-in")
     for i, (key, t, text) in enumerate(rows):
         row = [(key, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t), text)]
@@ -169,7 +207,10 @@ def test_stream_dedup_and_latest_points(spark, small):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(base)
     path = scratch_path(spark, "dedup-out")
     streams.run_to_end(streams.stream_feed(streams.stream_dedup(stream), path, scratch_path(spark, "s"), None))
-    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == ["a", "c", "d", "e", "f"]
+    got = sorted((r["id"], r["copies"]) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 3), ("c", 1), ("d", 1), ("e", 1), ("f", 1)]
+    batch = streams.stream_dedup(spark.read.schema(schema).parquet(base).drop("p")).collect()
+    assert sorted((r["id"], r["copies"]) for r in batch) == [*got, ("z", 1)]
 
     name = uuid.uuid4().hex
     points = "id string, signal_timestamp timestamp, signal_strength double, sentiment_score double, retweets_count long, likes_count long"

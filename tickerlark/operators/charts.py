@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlark.constants import BEARISH_COLOUR, BULLISH_COLOUR
@@ -104,9 +104,18 @@ def category_counts(signals: DataFrame, column: str = "signal_category") -> Data
     )
 
 
-def confidence_scatter(signals: DataFrame, id_col: str = "id") -> DataFrame:
-    """The points of confidence against strength, coloured by sentiment."""
-    return signals.select(id_col, "signal_confidence", "signal_strength", "sentiment_score")
+def confidence_scatter(signals: DataFrame, id_col: str = "id", per_category: int | None = None) -> DataFrame:
+    """The points of confidence against strength, coloured by sentiment; all of them by default.
+
+    With ``per_category`` so many points of each signal category: those with the smallest md5 of
+    their id, the same points however the rows are partitioned. Cut inside each task first.
+    """
+    columns = [id_col, "signal_confidence", "signal_strength", "sentiment_score"]
+    if per_category is None:
+        return signals.select(*columns)
+    order = Window.partitionBy("signal_category").orderBy(F.md5(F.col(id_col).cast("string")), id_col)
+    ranked = signals.select(*columns, "signal_category", F.row_number().over(order).alias("_rank"))
+    return ranked.filter(F.col("_rank") <= per_category).select(*columns, "signal_category")
 
 
 def top_hashtags(by_hashtag: DataFrame, top: int = 10) -> DataFrame:

@@ -22,7 +22,7 @@ from tickerlark.operators.families import (
     kept_in_time,
     similar_or_close,
 )
-from tickerlark.operators.similarity import CROWDED, SimilarityIndex, pair_similarity, split_join, words
+from tickerlark.operators.similarity import CROWDED, SimilarityIndex, candidate_pairs, pair_similarity, split_join, words
 from tickerlark.params import DEFAULTS, Params
 from tickerlark.schema import require
 from tickerlark.session import materialise
@@ -163,6 +163,38 @@ def near_duplicate_pairs(
     return between.unionByName(stars).orderBy(F.desc("similarity"), "id_a", "id_b")
 
 
+def near_duplicates_between(
+    left: DataFrame, right: DataFrame, threshold: float = DEFAULTS.review_threshold, params: Params = DEFAULTS
+) -> DataFrame:
+    """(id_a, id_b, similarity): rows of ``left`` with similar rows of ``right``, each (id, content).
+
+    Texts are compared once, however many rows have them: only texts of different tables meet.
+    Equal texts have similarity 1; texts without a usable word are similar to nothing.
+    """
+    def rows(df: DataFrame, side: str) -> DataFrame:
+        text = tx.comparison_text(F.col("content"))
+        known = require(df, "id", "content").select(F.col("id").alias(f"id_{side}"), text.alias("_text"))
+        known = known.filter(F.size(words(F.col("_text"), params.stop_words)) > 0)
+        return materialise(known.withColumn("uid", F.concat(F.lit(side), F.md5("_text"))))
+
+    # A text of both tables is a node of each.
+    given = {"a": rows(left, "a"), "b": rows(right, "b")}
+    both = given["a"].select("uid", "_text").union(given["b"].select("uid", "_text"))
+    texts = materialise(both.groupBy("uid").agg(F.any_value("_text").alias("_text"), F.count("*").alias("copies")))
+    index = SimilarityIndex.build(texts, "uid", "_text", params.stop_words)
+    blocks = materialise(index.blocks(threshold))
+    met = candidate_pairs(blocks, threshold, texts.filter(F.col("uid").startswith("a")).select("uid"))
+    pairs = materialise(index.verify(met, threshold, False))
+    for side, own in given.items():
+        uid = f"uid_{side}"
+        load = texts.select(F.col("uid").alias(uid), "copies")
+        wanted = materialise(pairs.select(uid).distinct().join(load, uid))
+        # Its rows are the result's: a pair of texts stands for its rows on this side.
+        own = split_join(own.select(F.col("uid").alias(uid), f"id_{side}"), wanted, uid, "copies").drop("copies")
+        pairs = pairs.join(own, uid)
+    return pairs.select("id_a", "id_b", "similarity")
+
+
 # ----------------------------------------------------------------------------- greedy by text
 
 

@@ -262,7 +262,7 @@ class SimilarityIndex:
     def verify(self, candidates: DataFrame, threshold: float, strict: bool) -> DataFrame:
         """(uid_a, uid_b, similarity) of the candidate pairs that reach the threshold.
 
-        The shingles of ``uid_a`` are looked up in ``uid_b``, so the shorter text comes first.
+        The shingles of ``uid_a`` are looked up in ``uid_b``, so the shorter text should come first.
         """
         side = self.shingles.select("uid", "shingle", "c2", "total")
         a = side.select(
@@ -299,9 +299,12 @@ def norm_ratio(mass: Column) -> Column:
     return F.sqrt(mass / (mass + (1 - mass) * K2))
 
 
-def candidate_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
+def candidate_pairs(blocks: DataFrame, threshold: float, left: DataFrame | None = None) -> DataFrame:
     """Pairs of texts that can reach the threshold: an equi-join on the block, summed per pair.
 
+    The shorter text comes first. With ``left`` (uid) only pairs of one of its texts with another
+    one that is not in it are met, and the one in it comes first.
+
     Everything two texts share is met in a block, or is more common than each shingle they met
     in, or is in a crowded shingle. If they share little before their first crowded shingle,
     everything is met in a block or within the reach of that shingle and the next. Either sum
@@ -312,10 +315,15 @@ def candidate_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
         columns = ["uid", "size", "share", "below", "unseen", "reach"]
         return blocks.select("key", "second", *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
-    met = side("a").join(side("b"), ["key", "second"]).filter(
-        (F.col("size_a") < F.col("size_b"))
-        | ((F.col("size_a") == F.col("size_b")) & (F.col("uid_a") < F.col("uid_b")))
-    )
+    if left is None:
+        met = side("a").join(side("b"), ["key", "second"]).filter(
+            (F.col("size_a") < F.col("size_b"))
+            | ((F.col("size_a") == F.col("size_b")) & (F.col("uid_a") < F.col("uid_b")))
+        )
+    else:
+        ours = side("a").join(left.select(F.col("uid").alias("uid_a")), "uid_a", "left_semi")
+        theirs = side("b").join(left.select(F.col("uid").alias("uid_b")), "uid_b", "left_anti")
+        met = ours.join(theirs, ["key", "second"])
     sums = met.groupBy("uid_a", "uid_b").agg(
         *[
             measure(f"{c}_{s}").alias(f"{c}_{s}")

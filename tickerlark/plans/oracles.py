@@ -525,6 +525,13 @@ def oracle_sql() -> dict[str, str]:
         "pair_similarity": with_(_NEXT_DOC, *given_pairs("pr")) + f"SELECT a AS id_a, b AS id_b, {r('similarity')} AS similarity FROM sims",
         "is_repost_pair": with_(*BASE, _NEXT_POST, *given_pairs("pr")) + "SELECT pr.a AS id_a, pr.b AS id_b, rt AND similarity > 0.9 AS is_repost_pair FROM pr JOIN sims USING (a, b)",
         "near_duplicate_pairs": near_pairs("documents", "doc_id", "text", "doc_id", 0.8),
+        "near_duplicates_between": with_(
+            f"pr AS (SELECT 'a' || item_id AS k, item_id AS id, {compared('text')} AS t FROM benchmark UNION ALL SELECT 'b' || doc_id, doc_id, {compared('text')} FROM documents)",
+            shingled("pr", "k", "t", "sh"), "norm AS (SELECT k, sum(c * c) AS n2 FROM sh GROUP BY k)",
+            """meet AS (SELECT x.k AS ka, y.k AS kb, sum(x.c * y.c) AS dot, sum(x.c * x.c) AS sa, sum(y.c * y.c) AS sb
+  FROM sh x JOIN sh y ON x.s = y.s WHERE x.k[1] = 'a' AND y.k[1] = 'b' GROUP BY 1, 2)""",
+            f"pairs AS (SELECT ka, kb, {cosine('dot', 'sa', 'na.n2', 'sb', 'nb.n2')} AS similarity FROM meet JOIN norm na ON na.k = ka JOIN norm nb ON nb.k = kb)",
+        ) + f"SELECT a.id AS id_a, b.id AS id_b, {r('similarity')} AS similarity FROM pairs JOIN pr a ON a.k = ka JOIN pr b ON b.k = kb WHERE similarity >= 0.3::DOUBLE",
         "near_duplicate_posts": near_pairs("posts", "id", "content", "post_ts, id", 0.8),
         "dedup_similarity": recursive(*BASE, *kept_by_text("posts", "final")) + "SELECT id, post_ts, content FROM final",
         "dedup_temporal": recursive(*BASE, *kept_in_time("posts", "timed")) + "SELECT id, post_ts, content FROM timed",
@@ -613,6 +620,10 @@ d2 AS (SELECT count(*) AS n, count(DISTINCT (un, t)) AS k FROM d), rws AS (SELEC
   FROM (SELECT signal_strength, (row_number() OVER (ORDER BY signal_timestamp, id) - 1)::DOUBLE AS x FROM signals)""",
         "histogram": sigs + hist,
         "category_counts": sigs + f"SELECT signal_category, count(*) AS frequency, {r('count(*) / sum(count(*)) OVER ()')} AS share FROM signals GROUP BY 1",
+        "confidence_scatter_sample": sigs + f"""SELECT id, {r('signal_confidence')} AS signal_confidence, {r('signal_strength')} AS signal_strength,
+  {r('sentiment_score')} AS sentiment_score, signal_category FROM signals QUALIFY row_number() OVER (PARTITION BY signal_category ORDER BY md5(id), id) <= 100""",
+        "scan_posts_tolerant": """SELECT year(ts) AS year, month(ts) AS month, day(ts) AS day, count(*) AS rows,
+  CASE WHEN day(ts) = 7 THEN 1 ELSE 0 END AS skipped FROM events GROUP BY ALL""",
         "confidence_scatter": sigs + f"SELECT id, {r('signal_confidence')} AS signal_confidence, {r('signal_strength')} AS signal_strength, {r('sentiment_score')} AS sentiment_score FROM signals",
         "top_hashtags": with_(*SIGNALS, TAGS) + f"""SELECT hashtag, {r('hashtag_momentum')} AS hashtag_momentum, signal_strength_count, signal_strength_mean,
   CASE WHEN tags.hashtag_momentum > 0 THEN '#2E8B57' ELSE '#DC143C' END AS colour, {r('abs(tags.hashtag_momentum) * 100')} AS bubble_size
@@ -628,7 +639,10 @@ d2 AS (SELECT count(*) AS n, count(DISTINCT (un, t)) AS k FROM d), rws AS (SELEC
   (CASE ({advice}) WHEN 'raise' THEN 65 WHEN 'lower' THEN 55 ELSE 60 END)::INTEGER AS advised_rate FROM roll""",
         # streaming
         "stream_time_agg": with_(*SIGNALS, W15) + f"SELECT {_WINDOW_OUT} FROM w15",
-        "stream_dedup": base + f"SELECT DISTINCT md5({compared('content')}) AS content_hash FROM posts",
+        "stream_dedup": with_(*BASE, f"h AS (SELECT id, post_ts, md5({compared('content')}) AS content_hash FROM posts)",
+          "g AS (SELECT *, CASE WHEN post_ts - lag(post_ts) OVER w <= INTERVAL 10 MINUTES THEN 0 ELSE 1 END AS new FROM h WINDOW w AS (PARTITION BY content_hash ORDER BY post_ts, id))",
+          "n AS (SELECT *, sum(new) OVER (PARTITION BY content_hash ORDER BY post_ts, id) AS run FROM g)") + """SELECT arg_min(id, (post_ts, id)) AS id,
+  min(post_ts) AS post_ts, content_hash, count(*) AS copies FROM n GROUP BY content_hash, run""",
         "latest_points": sigs + f"""SELECT id, signal_timestamp, {r('signal_strength')} AS signal_strength, {r('sentiment_score')} AS sentiment_score,
   retweets_count + likes_count AS volume FROM signals ORDER BY signals.signal_timestamp DESC, id LIMIT 1000""",
         "stream_latest_points": sigs + f"""SELECT id, signal_timestamp, {r('signal_strength')} AS signal_strength, {r('sentiment_score')} AS sentiment_score,

@@ -76,6 +76,20 @@ def scan_posts(spark, sf):
     return _stored(spark, sf).select("id", "username", "post_ts", "content", "views_count", _joined("hashtags"))
 
 
+@query
+def scan_posts_tolerant(spark, sf):
+    """Rows and skipped files by date of a table in which one file is broken."""
+    base = storage.write_posts_partitioned(posts(spark, sf), scratch_path(spark, "posts"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/year=2024/month=1/day=7/broken.parquet")
+    broken = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    broken.writeBytes("no footer")
+    broken.close()
+    day = F.regexp_extract("path", "day=([0-9]+)", 1).cast("int")
+    skipped = storage.skipped_files(spark, base).groupBy(day.alias("day")).agg(F.count("*").alias("skipped"))
+    rows = storage.scan_posts(spark, base, skip_corrupt=True).groupBy("year", "month", "day").agg(F.count("*").alias("rows"))
+    return rows.join(F.broadcast(skipped), "day", "left").fillna(0, ["skipped"]).select("year", "month", "day", "rows", "skipped")
+
+
 @query
 def filter_date_range(spark, sf):
     kept = storage.filter_date_range(_stored(spark, sf), "2024-01-05 06:00:00", "2024-01-12 18:00:00")
@@ -398,6 +412,13 @@ def near_duplicate_pairs(spark, sf):
     return tidy(dedup.near_duplicate_pairs(docs, id_col="doc_id", content="text", order=("doc_id",)))
 
 
+@query
+def near_duplicates_between(spark, sf):
+    docs = _texts(spark, sf).select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    items = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("content"))
+    return tidy(dedup.near_duplicates_between(items, docs, 0.3))
+
+
 @query
 def near_duplicate_posts(spark, sf):
     return tidy(dedup.near_duplicate_pairs(posts(spark, sf)))
@@ -653,6 +674,13 @@ def sentiment_consistency(spark, sf):
     return tidy(ag.sentiment_consistency(_signals(spark, sf)))
 
 
+@query
+def range_profile(spark, sf):
+    columns = ["username", "content", "likes_count"]
+    sketches = materialise(storage.date_sketches(posts(spark, sf), columns))
+    return tidy(storage.range_profile(sketches, columns, "2024-01-05", "2024-01-12"))
+
+
 @query
 def distinct_ratio(spark, sf):
     return tidy(ag.distinct_ratio(posts(spark, sf), ["username", "content", "likes_count", "language"]))
@@ -744,6 +772,11 @@ def confidence_scatter(spark, sf):
     return tidy(charts.confidence_scatter(_signals(spark, sf)))
 
 
+@query
+def confidence_scatter_sample(spark, sf):
+    return tidy(charts.confidence_scatter(_signals(spark, sf), per_category=100))
+
+
 @query
 def top_hashtags(spark, sf):
     return tidy(charts.top_hashtags(ag.aggregate_by_hashtag(_signals(spark, sf), ordered=False)))
@@ -815,9 +848,10 @@ def stream_time_agg(spark, sf):
 
 @query
 def stream_dedup(spark, sf):
-    unique = streams.stream_dedup(posts_from_events(stream_events(spark, sf)))
-    # A text may come again after the watermark has passed its first arrival.
-    return _landed(spark, unique).select("content_hash").distinct()
+    unique = streams.stream_dedup(posts_from_events(stream_events(spark, sf, True)))
+    last = table(spark, sf, "events").select(F.max("ts").alias("ts")).scalar()
+    landed = _landed(spark, unique).filter(F.col("post_ts") <= last)
+    return landed.select("id", "post_ts", "content_hash", "copies")
 
 
 @query

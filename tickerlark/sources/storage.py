@@ -17,9 +17,65 @@ TIME_COLUMNS = ["timestamp", "post_ts", "created_at", "collected_at"]
 DATA_VERSION = "1.0"
 
 
-def scan_posts(spark: SparkSession, base: str, schema: T.StructType = STORED_SCHEMA) -> DataFrame:
-    """All posts below ``base``. The schema is given, so no file is opened to infer it."""
-    return spark.read.schema(schema).parquet(base)
+def scan_posts(
+    spark: SparkSession, base: str, schema: T.StructType = STORED_SCHEMA, skip_corrupt: bool = False
+) -> DataFrame:
+    """All posts below ``base``. The schema is given, so no file is opened to infer it.
+
+    With ``skip_corrupt`` a file that cannot be read is passed over; :func:`skipped_files` lists
+    those. Of a file that breaks off in the middle the row groups before that place are read.
+    """
+    reader = spark.read.schema(schema)
+    return (reader.option("ignoreCorruptFiles", "true") if skip_corrupt else reader).parquet(base)
+
+
+def skipped_files(
+    spark: SparkSession, base: str, schema: T.StructType = STORED_SCHEMA, most: int = 1000
+) -> DataFrame:
+    """(path, bytes, reason) of the Parquet files below ``base`` that give no rows to a tolerant scan.
+
+    The listing of the folder against the files that came back. Each of the rest, ``most`` at
+    most, is opened by itself to tell one that is broken from one that is valid and empty; a
+    table with more of them is an error rather than a report.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(base)
+    listed = listed.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.col("length").alias("bytes"))
+    read = scan_posts(spark, base, schema, True).select("_metadata.file_path").distinct()
+    read = read.select(F.regexp_replace(F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))), "^file:/+", "/").alias("path"))
+    missing = listed.join(read, "path", "left_anti").limit(most + 1).collect()
+    if len(missing) > most:
+        raise ValueError(f"more than {most} files below {base} cannot be read")
+    rows = []
+    for path, size in missing:
+        try:
+            spark.read.schema(schema).parquet(path).limit(1).collect()
+            rows.append((path, size, "empty"))
+        except Exception as error:  # noqa: BLE001 - whatever the reader says of a broken file is the reason
+            rows.append((path, size, "corrupt: " + str(error).split("\n", 1)[0][:200]))
+    return spark.createDataFrame(rows, "path string, bytes long, reason string")
+
+
+def date_sketches(df: DataFrame, columns: Sequence[str], ts: str = "post_ts", lg_k: int = 12) -> DataFrame:
+    """(year, month, day, rows, one sketch per column): the distinct values of each date, mergeable.
+
+    To be stored beside the table. A sketch takes a few kilobytes, and an estimate from any
+    number of them is off by about 1.04 / sqrt(2 ** lg_k) (1.6 % at 12) in two of three cases.
+    """
+    dated = with_partition_columns(require(df, ts, *columns), ts)
+    own = [F.hll_sketch_agg(F.col(c).cast("string"), lg_k).alias(c) for c in columns]
+    return dated.groupBy(*DATE_COLUMNS).agg(F.count("*").alias("rows"), *own)
+
+
+def range_profile(sketches: DataFrame, columns: Sequence[str], start, end) -> DataFrame:
+    """(column, rows, distinct, ratio) of the dates from ``start`` to ``end``, from sketches alone."""
+    date = _partition_date()
+    own = sketches.filter(date.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    merged = own.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), *[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns]
+    )
+    each = [F.struct(F.lit(c).alias("column"), F.col("rows"), F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias("distinct")) for c in columns]
+    listed = merged.select(F.inline(F.array(*each)))
+    return listed.withColumn("ratio", F.when(F.col("rows") > 0, F.col("distinct") / F.col("rows")).otherwise(0.0))
 
 
 def _partition_date() -> Column:

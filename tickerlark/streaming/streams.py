@@ -39,10 +39,18 @@ def stream_time_agg(
     return aggregate_by_time(marked, window, ref_ts, params)
 
 
-def stream_dedup(posts: DataFrame, lateness: str = LATENESS, ts: str = "post_ts") -> DataFrame:
-    """First arrival of each text within the watermark; state is dropped as it passes."""
+def stream_dedup(posts: DataFrame, lateness: str = LATENESS, ts: str = "post_ts", order: str = "id") -> DataFrame:
+    """The first row by (time, ``order``) of each text, with ``copies``, for each run of the text.
+
+    A run ends where the text does not come again for ``lateness``. It is held until the
+    watermark has passed that end, then its first row goes out and the state is dropped, so the
+    order in which rows arrive makes no difference. On a batch the same expression gives the
+    same rows.
+    """
     hashed = content_hash(posts.withWatermark(ts, lateness))
-    return hashed.dropDuplicatesWithinWatermark(["content_hash"])
+    runs = hashed.groupBy(F.session_window(ts, lateness).alias("run"), "content_hash")
+    first = F.min_by(F.struct(*posts.columns), F.struct(ts, order)).alias("first")
+    return runs.agg(first, F.count("*").alias("copies")).select("first.*", "content_hash", "copies")
 
 
 def latest_points(signals: DataFrame, n: int = DEFAULTS.max_points) -> DataFrame:
