@@ -195,6 +195,28 @@ def test_stream_equals_batch_and_drops_late_rows(spark, small):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_statistics_refreshed_by_batches(spark):
+    rng = random.Random(2)
+    names = [*signals._TERMS]
+    rows = [tuple(rng.choice([None, rng.gauss(5, 2)]) for _ in names) for _ in range(60)]
+    schema = ", ".join(f"{n} double" for n in names)
+    base, src = scratch_path(spark, "moments"), scratch_path(spark, "moments-in")
+    for i, part in enumerate((rows[:1], rows[1:40], rows[40:])):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{src}/p={i}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src).drop("p")
+    writer = streams.write_refreshed_stats(stream, base, scratch_path(spark, "s3")).trigger(availableNow=True)
+    streams.run_to_end(writer)
+    want = signals.batch_stats(spark.createDataFrame(rows, schema)).first().asDict()
+    assert streams.latest_stats(spark, base).first().asDict() == pytest.approx(want, rel=1e-12)
+    # The last batch once more: the same row.
+    before, again = (spark.read.parquet(f"{base}/batch={k}") for k in (1, 2))
+    own = signals.feature_moments(spark.createDataFrame(rows[40:], schema))
+    assert signals.merged_moments(own.unionByName(before)).first().asDict() == pytest.approx(again.first().asDict(), rel=1e-12)
+    nothing = signals.feature_moments(spark.createDataFrame([], schema))
+    both = signals.merged_moments(nothing.unionByName(nothing))
+    assert both.first()["n"] == 0 and signals.stats_of_moments(both).first()["composite_std"] == 0.0
+
+
 def test_stream_dedup_and_latest_points(spark, small):
     # The first of a text arrives after a later copy; the last row lets the watermark pass all others.
     rows = [("b", 60, "same"), ("c", 90, "other"), ("a", 0, "same"), ("a2", 0, "same")]

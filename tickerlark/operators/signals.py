@@ -33,21 +33,49 @@ def _total(columns: list[Column]) -> Column:
     return total
 
 
-def batch_stats(features: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """One row: means and standard deviations of the log counts, the largest engagement,
-    and mean and standard deviation of the composite signal."""
+_PAIRS = [(a, b) for i, a in enumerate(_TERMS) for b in _TERMS[i:]]
+
+
+def feature_moments(features: DataFrame) -> DataFrame:
+    """One row: count, means and covariances of the five features, and the largest engagement."""
     require(features, *_TERMS)
     value = {t: F.coalesce(F.col(t), F.lit(0.0)) for t in _TERMS}
-    pairs = [(a, b) for i, a in enumerate(_TERMS) for b in _TERMS[i:]]
-    moments = features.agg(
+    return features.agg(
         F.count("*").alias("n"),
         *[F.avg(value[t]).alias(f"{t}_mean") for t in _TERMS],
         *[
             (F.var_samp(value[a]) if a == b else F.covar_samp(value[a], value[b])).alias(f"{a}*{b}")
-            for a, b in pairs
+            for a, b in _PAIRS
         ],
         F.max(_total([value[t] for t in _LOGS])).alias("engagement_max"),
     )
+
+
+def merged_moments(parts: DataFrame) -> DataFrame:
+    """The moments of all rows from the moments of parts of them; parts without rows are harmless.
+
+    Co-moments are added with what the parts' means differ from the mean of all, so nothing
+    large cancels.
+    """
+    n, mean = F.col("n"), {t: F.coalesce(f"{t}_mean", F.lit(0.0)) for t in _TERMS}
+    total = F.sum("n")
+    centre = parts.agg(*[F.coalesce(F.sum(n * mean[t]) / F.nullif(total, F.lit(0)), F.lit(0.0)).alias(t) for t in _TERMS])
+    centred = parts.withColumn("_centre", centre.select(F.struct("*").alias("s")).scalar())
+    off = {t: mean[t] - F.col("_centre").getField(t) for t in _TERMS}
+    inside = lambda a, b: F.coalesce(F.col(f"`{a}*{b}`"), F.lit(0.0)) * (n - 1)
+    return centred.agg(
+        F.coalesce(total, F.lit(0)).alias("n"),
+        *[F.max(F.col("_centre").getField(t)).alias(f"{t}_mean") for t in _TERMS],
+        *[
+            F.when(total > 1, F.sum(F.when(n > 0, inside(a, b) + n * off[a] * off[b])) / F.nullif(total - 1, F.lit(0))).alias(f"{a}*{b}")
+            for a, b in _PAIRS
+        ],
+        F.max("engagement_max").alias("engagement_max"),
+    )
+
+
+def stats_of_moments(moments: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """The statistics of :func:`batch_stats` from the moments of its rows."""
     spread = {f"{t}_std": F.coalesce(F.sqrt(F.col(f"`{t}*{t}`")), F.lit(0.0)) for t in _LOGS}
     weight = {
         "sentiment_score": F.lit(params.sentiment_weight),
@@ -57,7 +85,7 @@ def batch_stats(features: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     variance = _total(
         [
             weight[a] * weight[b] * F.col(f"`{a}*{b}`") * (1.0 if a == b else 2.0)
-            for a, b in pairs
+            for a, b in _PAIRS
         ]
     )
     centre = (
@@ -73,6 +101,12 @@ def batch_stats(features: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
+def batch_stats(features: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """One row: means and standard deviations of the log counts, the largest engagement,
+    and mean and standard deviation of the composite signal."""
+    return stats_of_moments(feature_moments(features), params)
+
+
 def _with_stats(features: DataFrame, stats: DataFrame | None, params: Params) -> DataFrame:
     """Attach the one-row statistics as a scalar subquery: no join, and more than one row is
     an error."""

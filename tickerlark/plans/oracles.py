@@ -456,6 +456,9 @@ def oracle_sql() -> dict[str, str]:
   count(v) AS frequency, {r('any_value(mean)')} AS mean FROM (SELECT unnest(range(30)) AS b) bins
   CROSS JOIN (SELECT min(signal_strength) AS lo, max(signal_strength) AS hi, avg(signal_strength) AS mean FROM signals) m
   LEFT JOIN (SELECT signal_strength AS v FROM signals) x ON least(29, floor((v - lo) / (hi - lo) * 30)) = b GROUP BY b, lo, hi"""
+    stats = sigs + f"""SELECT n, {r('m1')} AS replies_count_log_mean, {r('s1')} AS replies_count_log_std, {r('m2')} AS retweets_count_log_mean,
+  {r('s2')} AS retweets_count_log_std, {r('m3')} AS likes_count_log_mean, {r('s3')} AS likes_count_log_std, {r('top')} AS engagement_max,
+  {r('cm')} AS composite_mean, {r('csd')} AS composite_std FROM st, cs"""
     return {
         # sources and sinks
         "scan_posts": base + "SELECT id, username, post_ts, content, views_count, array_to_string(hashtags, ' ') AS hashtags FROM posts",
@@ -568,9 +571,8 @@ d2 AS (SELECT count(*) AS n, count(DISTINCT (un, t)) AS k FROM d), rws AS (SELEC
           + f"SELECT k AS id, s AS term, {r('w / sqrt(sum(w * w) OVER (PARTITION BY k))')} AS weight FROM wt",
         "count_vectors": with_(*vocabulary("documents", "doc_id", "text", 2)) + "SELECT k AS doc_id, sh.s AS term, c::BIGINT AS count FROM sh JOIN voc ON voc.s = sh.s",
         # signals
-        "batch_stats": sigs + f"""SELECT n, {r('m1')} AS replies_count_log_mean, {r('s1')} AS replies_count_log_std, {r('m2')} AS retweets_count_log_mean,
-  {r('s2')} AS retweets_count_log_std, {r('m3')} AS likes_count_log_mean, {r('s3')} AS likes_count_log_std, {r('top')} AS engagement_max,
-  {r('cm')} AS composite_mean, {r('csd')} AS composite_std FROM st, cs""",
+        "batch_stats": stats,
+        "stream_stats": stats,
         "volume_signal": sigs + f"SELECT id, {r('volume_signal')} AS volume_signal FROM signals",
         "composite_signal": sigs + f"SELECT id, {r('composite_signal')} AS composite_signal FROM signals",
         "signal_strength": sigs + f"SELECT id, {r('signal_strength')} AS signal_strength FROM signals",

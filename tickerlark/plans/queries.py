@@ -854,6 +854,16 @@ def stream_dedup(spark, sf):
     return landed.select("id", "post_ts", "content_hash", "copies")
 
 
+@query
+def stream_stats(spark, sf):
+    """The statistics that a stream refreshes with each batch, after the last one."""
+    features = ft.extract_features(clean.clean_posts(posts_from_events(stream_events(spark, sf)), REF_TS))
+    base = scratch_path(spark, "moments")
+    writer = streams.write_refreshed_stats(features, base, scratch_path(spark, "moments-state"))
+    streams.run_to_end(writer.trigger(availableNow=True))
+    return tidy(streams.latest_stats(spark, base))
+
+
 @query
 def latest_points(spark, sf):
     return tidy(streams.latest_points(_signals(spark, sf)))

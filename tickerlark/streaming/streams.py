@@ -5,16 +5,16 @@ Sinks are files or ``foreachBatch``; no port is opened. State is bounded by the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickerlark.operators.aggregate import aggregate_by_time
 from tickerlark.operators.dedup import content_hash
 from tickerlark.operators.features import extract_features
-from tickerlark.operators.signals import apply_signals
+from tickerlark.operators.signals import apply_signals, feature_moments, merged_moments, stats_of_moments
 from tickerlark.params import DEFAULTS, Params
-from tickerlark.session import delete
+from tickerlark.session import delete, materialise
 
 LATENESS = "10 minutes"
 
@@ -88,6 +88,33 @@ def write_latest_points(
     return signals.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
 
+def write_refreshed_stats(features: DataFrame, base: str, checkpoint: str) -> DataStreamWriter:
+    """Keep the moments of all features of a stream so far: batch k merges its own with those of
+    the batch before into ``base/batch=k``.
+
+    One row is read and written for each batch. The batch before stays until the next has ended,
+    so a batch that is run again gives the same row; see :func:`latest_stats`.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        moments = feature_moments(batch)
+        if number > 0:
+            before = batch.sparkSession.read.parquet(f"{base}/batch={number - 1}")
+            moments = merged_moments(materialise(moments).unionByName(before))
+        moments.write.mode("overwrite").parquet(f"{base}/batch={number}")
+        if number > 1:
+            delete(batch.sparkSession, f"{base}/batch={number - 2}")
+
+    return features.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+
+
+def latest_stats(spark: SparkSession, base: str, params: Params = DEFAULTS) -> DataFrame:
+    """The statistics after the newest batch, for :func:`stream_signals` of a later query."""
+    stored = spark.read.parquet(base)
+    newest = stored.agg(F.max("batch").alias("b")).scalar()
+    return stats_of_moments(stored.filter(F.col("batch") == newest).drop("batch"), params)
+
+
 def stream_feed(
     df: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds"
 ) -> DataStreamWriter:
