@@ -25,7 +25,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: One 64-bit number for each byte value.
 BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64))
+#: That of each byte value, A-Z lower-cased.
+LOWER_CODE = BYTE_CODE[LOWER]
 _powers = np.ones(1, np.uint64)
+#: INVERSE ** at, below this length from a table.
+TABLED = 1 << 18
+with np.errstate(over="ignore"):
+    _tabled = np.cumprod(np.full(TABLED, INVERSE, np.uint64)) * BASE
 
 
 def _up_to(n: int) -> np.ndarray:
@@ -37,7 +43,9 @@ def _up_to(n: int) -> np.ndarray:
 
 
 def _inverse_powers(at: np.ndarray) -> np.ndarray:
-    """INVERSE ** at, by squaring."""
+    """INVERSE ** at, from the table or by squaring; ``at`` rises."""
+    if not len(at) or at[-1] < TABLED:
+        return _tabled[at]
     out, factor, rest = np.ones(len(at), np.uint64), INVERSE, at.astype(np.uint64)
     with np.errstate(over="ignore"):
         while rest.any():
@@ -65,11 +73,13 @@ def word_hashes(text: np.ndarray) -> np.ndarray:
     """Hashes of the words of one text (see SPACE), A-Z lower-cased, in order."""
     if not len(text):
         return np.zeros(0, np.uint64)
-    letters = ~SPACE[text]
-    edge = np.diff(letters.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    space = np.ones(len(text) + 2, bool)
+    space[1:-1] = SPACE[text]
+    edges = np.flatnonzero(space[1:] != space[:-1])  # start, end, start, ..
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(text) + 1, np.uint64)
     with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_CODE[LOWER[text]] * _up_to(len(text)))])
+        np.cumsum(LOWER_CODE[text] * _up_to(len(text)), out=sums[1:])
         return mix((sums[ends] - sums[starts]) * _inverse_powers(starts))
 
 
