@@ -187,3 +187,18 @@ def test_hot_first_turn_and_counts(spark):
     df = spark.range(4000).select((F.col("id") % 500).alias("conv_id"), (F.col("id") / 500).cast("long").alias("turn"), F.lit("user").alias("role"), F.lit("same").alias("text"))
     got = chat.format_conversations(df).agg(F.sum("n_turns"), F.count("*")).first()
     assert tuple(got) == (4000, 500)
+
+
+def test_pairs_that_go_together_equal_the_merges():
+    tokens = bpe.ByteBpe(bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN)
+    assert tokens.in_order
+    rnd = random.Random(8)
+    ids = [i for i in tokens.ranks.values() if i in tokens.halves or len(tokens.bytes_of[i]) == 1]
+    met = {True: 0, False: 0}
+    for _ in range(4000):
+        a = rnd.choice(ids)
+        b = rnd.choice(ids) if rnd.random() < 0.5 else rnd.choice([x for x in (tokens.halves.get(a) or (a,))])
+        goes = tokens._goes(a, b)
+        met[goes] += 1
+        assert goes == (tokens.merged(tokens.bytes_of[a] + tokens.bytes_of[b]) == [a, b])
+    assert min(met.values()) > 100

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -13,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlark.llm.chunks import PLAIN, ByChunk, Remembered, once
+from tickerlark.llm.chunks import PLAIN, Remembered, chunks, once
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -22,10 +23,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-#: Bytes up to which a piece asks the automaton place by place instead of for all matches at once.
-SHORT = 64
-
-
 class ByteBpe:
     """Encodes and decodes by a rank table and the pattern that cuts texts.
 
@@ -38,8 +35,19 @@ class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.bytes_of = ranks, {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.pairs = Remembered(self._goes)
-        alone = [b for b in ranks if self.merged(b) == [ranks[b]]]
+        #: The two parts that the last merge of a token joins.
+        self.halves: dict[int, tuple[int, int]] = {}
+        alone = []
+        for b, rank in ranks.items():
+            parts = self._merged(b)
+            if len(parts) == 1:
+                alone.append(b)
+                if len(b) > 1:
+                    self.halves[rank] = (ranks[self._last[0]], ranks[self._last[1]])
+        #: Whether each merge joins older tokens, as trained tables do.
+        self.in_order = all(max(x) < rank for rank, x in self.halves.items())
+        self.size_of = {i: len(b) for b, i in ranks.items()}
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.trie = ahocorasick.Automaton()
         for b in alone:
             self.trie.add_word(b.decode("latin-1"), ranks[b])
@@ -52,54 +60,79 @@ class ByteBpe:
                 if b[:n] in able:
                     self.shorter[ranks[b]] = ranks[b[:n]]
                     break
-        self.words = Remembered(lambda word: self.encode_piece(word.encode()))
-        self.by_chunk = ByChunk(self._chunk)
+        self.after_space = Remembered(self._after_space, most=250_000)
+        self.inside = Remembered(lambda piece: self.encode_piece(piece.encode()), most=50_000)
 
-    def merged(self, piece: bytes) -> list[int]:
-        """The merges themselves, in rank order; for single tokens and pairs, which are short."""
+    def _merged(self, piece: bytes) -> list[bytes]:
+        """The merges themselves, in rank order; for single tokens, which are short."""
         parts, ranks = [piece[i : i + 1] for i in range(len(piece))], self.ranks
         while len(parts) > 1:
             best = min(((ranks[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in ranks), default=None)
             if best is None:
                 break
-            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-        return [ranks[p] for p in parts]
+            i = best[1]
+            self._last = parts[i], parts[i + 1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts
 
-    def _goes(self, pair: tuple[int, int]) -> bool:
-        a, b = pair
-        return self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+    def merged(self, piece: bytes) -> list[int]:
+        return [self.ranks[p] for p in self._merged(piece)]
+
+    def _goes(self, a: int, b: int) -> bool:
+        """Whether the bytes of two tokens come out as these two.
+
+        Merges are undone from the last one, along the two edges that face each other. If what
+        then stands side by side could have been joined before the merge that was undone, the
+        merges would have joined it. Of merges of one rank the left one comes first.
+        """
+        if not self.in_order:
+            return self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        bytes_of, ranks, halves = self.bytes_of, self.ranks, self.halves
+        until = len(ranks) + max(a, b) + 1
+        while True:
+            joined = ranks.get(bytes_of[a] + bytes_of[b])
+            if joined is not None and joined < until:
+                return False
+            if a in halves and (a > b or b not in halves):
+                until, a = a, halves[a][1]
+            elif b in halves:
+                until, b = b + 1, halves[b][0]
+            else:
+                return True
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """The tokens of one match of the pattern."""
-        if piece in self.ranks:
-            return [self.ranks[piece]]
-        text, size = piece.decode("latin-1"), len(piece)
-        pairs, shorter, bytes_of = self.pairs, self.shorter, self.bytes_of
-        if size <= SHORT:
-            longest = None
-            token = next(self.trie.iter_long(text))[1]
-        else:
-            longest = [0] * (size + 1)
-            for end, token in self.trie.iter(text):
-                longest[end + 1 - len(bytes_of[token])] = token  # ends rise, so the longest stays
-            token = longest[0]
+        known = self.ranks.get(piece)
+        if known is not None:
+            return [known]
+        size = len(piece)
+        pairs, shorter, size_of = self.pairs, self.shorter, self.size_of
+        longest = [0] * (size + 1)
+        for end, token in self.trie.iter(piece.decode("latin-1")):
+            longest[end + 1 - size_of[token]] = token  # ends rise, so the longest stays
+        token = longest[0]
         out: list[int] = []
-        open_at = bytearray(b"\1") * (size + 1)
-        at = 0
-        while at < size:
-            end = at + len(bytes_of[token])
-            if open_at[end] and (not out or pairs[out[-1], token]):
+        closed: set[int] = set()
+        at, before = 0, -1
+        while True:
+            end = at + size_of[token]
+            fits = end not in closed
+            if fits and before >= 0:
+                fits = pairs.get((before, token))
+                if fits is None:
+                    fits = pairs[before, token] = self._goes(before, token)
+            if fits:
                 out.append(token)
-                at = end
-                if at < size:
-                    token = longest[at] if longest else next(self.trie.iter_long(text, at))[1]
+                if end == size:
+                    return out
+                at, before, token = end, token, longest[end]
             elif token in shorter:
                 token = shorter[token]
             else:
-                open_at[at] = 0
+                closed.add(at)
                 token = out.pop()
-                at -= len(bytes_of[token])
-        return out
+                at -= size_of[token]
+                before = out[-1] if out else -1
 
     def pieces(self, text: str) -> list[str]:
         """The matches of the pattern; letters newer than this Python's tables count as symbols."""
@@ -108,14 +141,20 @@ class ByteBpe:
         seen = "".join("\ue000" if unicodedata.category(c) == "Cn" else c for c in text)
         return [text[m.start() : m.end()] for m in self.pattern.finditer(seen)]
 
-    def _chunk(self, chunk: str) -> tuple[list[int], str]:
-        plain = PLAIN(chunk)
-        words = plain.groups() if plain else self.pieces(chunk)
-        ids = [i for word in words if word for i in self.words[word]]
-        return ids, ",".join(map(str, ids))
+    def _after_space(self, chunk: str) -> list[int]:
+        plain = PLAIN(" " + chunk)
+        if plain is None:
+            return self._cut(" " + chunk)
+        if plain[2]:
+            return self.after_space[chunk[:-1]] + self.encode_piece(plain[2].encode())
+        return self.encode_piece(plain[1].encode())
+
+    def _cut(self, chunk: str) -> list[int]:
+        return [i for piece in self.pieces(chunk) for i in self.inside[piece]]
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in self.by_chunk(text) for i in ids]
+        first, *rest = chunks(text)
+        return list(chain(self._cut(first), *map(self.after_space.__getitem__, rest)))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -175,9 +214,8 @@ def round_trip_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """
 
     def row(bpe: ByteBpe, text: str) -> tuple:
-        found = bpe.by_chunk(text)
-        ids = [i for chunk, _ in found for i in chunk]
-        joined = ",".join([s for _, s in found if s])
+        ids = bpe.encode(text)
+        joined = ",".join(map(str, ids))
         return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()
 
     return _encoded(docs, ranks, pattern, {"n_tokens": ("long", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}, row)

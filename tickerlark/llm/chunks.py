@@ -49,6 +49,11 @@ def once(key: tuple, make: Callable[[], Any]) -> Any:
     return _made[key]
 
 
+def chunks(text: str) -> list[str]:
+    """The chunks of a text without the spaces between them; the first may be empty."""
+    return CUT.split(text) if TOUCHING.search(text) else text.split(" ")
+
+
 class ByChunk:
     """``make`` of each chunk of a text; ``make`` gets the chunk with the space before it."""
 
@@ -57,7 +62,5 @@ class ByChunk:
         self.after_space = Remembered(lambda chunk: make(" " + chunk))
 
     def __call__(self, text: str) -> list:
-        if not text:
-            return []
-        first, *rest = CUT.split(text) if TOUCHING.search(text) else text.split(" ")
+        first, *rest = chunks(text)
         return [*([self.make(first)] if first else []), *map(self.after_space.__getitem__, rest)]
