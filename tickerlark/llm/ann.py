@@ -26,11 +26,11 @@ SLOTS = 1 << 50
 @dataclass(frozen=True)
 class AnnSettings:
     tables: int = 2
-    width: float = 1.5  # of a cell, where a unit vector's projection has variance 1
+    widths: tuple[float, ...] = (1.5, 2.0, 3.0, 4.0)  # of a cell, tried where a unit vector's projection has variance 1
     per_bucket: int = 256  # the number of hashes of a table grows with the logarithm of rows / per_bucket
     target: float = 0.98  # share of the sample's neighbours that the probes must reach, else fewer hashes are taken
-    sample: int = 6000  # vectors, in expectation, from which the number of probes is fitted
-    sample_queries: int = 300
+    sample: int = 4000  # vectors, in expectation, from which the number of probes is fitted
+    sample_queries: int = 200
     most_probes: int = 4096
     exact_rows: int = 4096  # that a task compares with a block of queries where no buckets are used
     block: int = 1024  # rows, or queries, of a bucket that one task multiplies at a time
@@ -95,17 +95,18 @@ def probe_cells(place: np.ndarray, most: int) -> np.ndarray:
 
 
 def fit(sample: np.ndarray, rows: int, k: int, s: AnnSettings) -> Hashes | None:
-    """Draw the projections; set the hashes and probes by exact neighbours inside the sample.
+    """Draw the projections; set width, tables, hashes and probes by exact neighbours inside the sample.
 
-    The most hashes of which ``most_probes`` reach the target share of the sample's neighbours.
-    None if there are no such, or if their probes visit as many rows, over all tables, as there
-    are: then each query is compared with all rows. Neighbours among all rows are nearer than
-    those in the sample, so they are reached at least as often.
+    For each width and number of tables: the most hashes of which ``most_probes`` reach the target
+    share of the sample's neighbours. Of those the choice whose probes visit the fewest distinct
+    rows. Neighbours among all rows are nearer than those in the sample, so they are reached at least as
+    often. None if the sample is too small to tell, or nothing reaches the target: then each
+    query is compared with all rows.
     """
     rng = np.random.default_rng(s.seed)
     most_hashes = max(2, round(math.log(max(2, rows / s.per_bucket)) / math.log(3)))
     a = rng.normal(size=(s.tables, most_hashes, sample.shape[1]))
-    b = rng.uniform(0, s.width, (s.tables, most_hashes))
+    b = rng.uniform(0, 1, (s.tables, most_hashes))
     if len(sample) < 2:
         return None
     x = unit(sample)
@@ -114,26 +115,37 @@ def fit(sample: np.ndarray, rows: int, k: int, s: AnnSettings) -> Hashes | None:
         near = x @ x[q]
         near[q] = -2
         best.append(np.argsort(-near, kind="stable")[: min(k, len(x) - 1)])
-    best = np.stack(best)
-    for hashes in range(most_hashes, 0, -1):
+    best, chosen = np.stack(best), None
+    for tables in range(s.tables, 0, -1):
+        for width in s.widths:
+            found = _reaching(x, best, a[:tables], b[:tables] * width, width, s)
+            if found is not None and (chosen is None or found[0] < chosen[0]):
+                chosen = found
+    return chosen and chosen[1]
+
+
+def _reaching(x: np.ndarray, best: np.ndarray, a: np.ndarray, b: np.ndarray, width: float, s: AnnSettings) -> tuple[float, Hashes] | None:
+    """The share of rows that probes visit, and the hashes, for one width; ``best`` are the neighbours of the first rows."""
+    tables, asked = len(a), len(best)
+    for hashes in range(a.shape[1], 0, -1):
         most = min(3**hashes, s.most_probes)
-        h = Hashes(a[:, :hashes], b[:, :hashes], s.width, most)
+        h = Hashes(a[:, :hashes], b[:, :hashes], width, most)
         places = h.places(x)
         cells = np.floor(places)
         steps = np.abs(cells[best] - cells[:asked, None]).max(axis=3)
         if (steps <= 1).any(axis=2).mean() < s.target:
             continue  # more than a cell away in each table: no probe gets there
-        probed = [[probe_cells(places[q, t], most) for t in range(s.tables)] for q in range(asked)]
+        probed = [[probe_cells(places[q, t], most) for t in range(tables)] for q in range(asked)]
         ranks = np.full(best.shape, most)
-        for q, t in np.ndindex(asked, s.tables):
+        for q, t in np.ndindex(asked, tables):
             order = {c.tobytes(): i for i, c in enumerate(probed[q][t])}
             ranks[q] = np.minimum(ranks[q], [order.get(cells[i, t].tobytes(), most) for i in best[q]])
         last = int(np.sort(ranks, axis=None)[math.ceil(s.target * ranks.size) - 1])
         if last == most:
             continue
-        keys = [bucket_keys(cells[:, t], t) for t in range(s.tables)]
-        visited = sum(np.isin(keys[t], bucket_keys(probed[q][t][: last + 1], t)).mean() for q, t in np.ndindex(asked, s.tables)) / asked
-        return Hashes(h.a, h.b, s.width, last + 1) if visited < 1 else None
+        keys = [bucket_keys(cells[:, t], t) for t in range(tables)]
+        seen = lambda q: np.logical_or.reduce([np.isin(keys[t], bucket_keys(probed[q][t][: last + 1], t)) for t in range(tables)])  # noqa: B023, E731
+        return float(np.mean([seen(q).mean() for q in range(asked)])), Hashes(h.a, h.b, width, last + 1)
     return None
 
 
@@ -196,14 +208,15 @@ def _hashed(vectors: DataFrame, h: Hashes, probing: bool) -> DataFrame:
 
 
 def _compared(queries: DataFrame, n: int, base: DataFrame, rows: int, k: int, s: AnnSettings) -> DataFrame:
-    """``queries(query_id, asked)``, n of them, against all rows, in blocks of rows and queries."""
+    """``queries(query_id, asked)``, n of them, against all rows of their length, in blocks of rows and queries."""
     parts, tiles = math.ceil(rows / s.exact_rows), math.ceil(n / s.block)
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     own = lambda c, n: F.pmod(F.xxhash64(c, F.lit(2)), F.lit(n)).cast("int")
     q = queries.select("query_id", "asked", upto(parts).alias("part"), own("query_id", tiles).alias("tile"))
-    q = q.select("query_id", "asked", F.col("part").alias("q_part"), F.col("tile").alias("q_tile"), F.array(F.col("part").cast("long")).alias("buckets"))
+    q = q.select("query_id", "asked", F.size("asked").alias("q_dims"), F.col("part").alias("q_part"), F.col("tile").alias("q_tile"), F.array(F.col("part").cast("long")).alias("buckets"))
     v = base.select("vec_id", "v", own("vec_id", parts).alias("part"), upto(tiles).alias("tile")).withColumn("bucket", F.col("part").cast("long"))
-    return q.groupBy("q_part", "q_tile").cogroup(v.groupBy("part", "tile")).applyInPandas(_rerank(k), FOUND)
+    v = v.withColumn("dims", F.size("v"))
+    return q.groupBy("q_dims", "q_part", "q_tile").cogroup(v.groupBy("dims", "part", "tile")).applyInPandas(_rerank(k), FOUND)
 
 
 def _completed(found: DataFrame, queries: DataFrame, base: DataFrame, rows: int, k: int, s: AnnSettings) -> DataFrame:
@@ -239,12 +252,12 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, s: AnnSettings | None =
     """(query_id, rank, vec_id, score): the k nearest found for each query of ``vectors(vec_id, embedding)``.
 
     Queries are the rows whose vec_id is divisible by ``every``; candidates all other rows of the
-    most frequent length. Score is the cosine in double precision on the original vectors, ties
+    same length. Score is the cosine in double precision on the original vectors, ties
     go to the smaller vec_id. Vectors that are null, zero, or hold nulls or non-finite numbers
     take no part, nor do rows without vec_id; of rows that repeat a vec_id the one with the
     smallest vector counts. No rows give no rows; a query gets k rows, or all others if there are
-    fewer: one whose probes meet fewer than k is compared with all rows. Where no hashes reach
-    the sample's neighbours for less than a comparison with all rows (:func:`fit`), the result is exact.
+    fewer: one whose probes meet fewer than k is compared with all rows. Vectors of another length
+    than the most frequent one are compared with all rows of their length.
 
     Every row is indexed in each table. A bucket of many rows or queries is cut into blocks by
     hashes, so a vector that is very common is spread over tasks; small buckets share a block.
@@ -259,15 +272,19 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, s: AnnSettings | None =
     if not lengths:
         return base.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims, rows = lengths[0]
-    base = base.where(F.size("v") == dims)
+    whole_base, base = base, base.where(F.size("v") == dims)
     share = int(SLOTS * min(1.0, s.sample / rows))
     sample = base.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(SLOTS)) < share).orderBy("vec_id").toPandas()
     h = fit(np.stack(sample["v"]) if len(sample) else np.ones((1, dims)), rows, k, s)
-    queries = base.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked"))
+    asked = lambda rows: rows.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked"))
+    queries = asked(base)
     if h is None:
         found = _compared(queries, max(1, queries.count()), base, rows, k, s)
     else:
         found = _completed(stored(_probed(base, every, rows, h, k, s), "found"), queries, base, rows, k, s)
+    odd = whole_base.where(F.size("v") != dims)
+    if n_odd := asked(odd).count():
+        found = found.unionAll(_compared(asked(odd), n_odd, odd, odd.count(), k, s))
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
