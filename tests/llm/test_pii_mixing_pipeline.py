@@ -1,5 +1,6 @@
 """Surrogates, mixing and the pipeline against their properties and brute force."""
 
+import random
 import re
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickerlark.llm import mixing, pii, queries
+from tickerlark.llm import langid, mixing, pii, queries
 from tickerlark.llm.bytetext import word_hashes
 
 SECRET = pii.Pii("key one")
@@ -214,3 +215,36 @@ def test_pipeline_on_odd_rows(spark, small):
         for _, stage in corpus_pipeline.STAGES:
             now = stage(spark, now, small)
         assert now.count() <= 1
+
+
+def test_credentials_of_any_length_and_case_leave_nothing(spark):
+    long = "".join(random.Random(1).choices("abcdefXYZ0123456789", k=3000))
+    cases = [("password=" + long + " end", long[-40:]), ("Password: hunter2hunter2", "hunter2"), ("PASSWORD=abcDEF123456", "abcDEF"), ("API_KEY=zzzz9999yyyy", "zzzz"), ("token=sk_live_xyz.abcdef rest.", "abcdef"), ("call 555 123 4567 now", "555 123"), ("at 2001:db8::1f today", "db8")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    for r in pii.replace_pii(df, pii.Pii("k")).collect():
+        assert r["n_entities"] == 1 and cases[r["doc_id"]][1] not in r["text"] and len(r["text"]) == len(cases[r["doc_id"]][0])
+
+
+def test_what_looks_like_an_address_stays(spark):
+    texts = ["at 12:30:45 in std::vector a::b", "ratio 1:2:3", "555 123 45678", "tokens and secrets are words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in pii.replace_pii(df, pii.Pii("k")).collect()} == dict(enumerate(texts))
+
+
+def test_words_of_a_name_alone_and_titles_of_either_gender(spark):
+    df = spark.createDataFrame([(1, "Dr. John Smith came. Smith left, Smithson stayed."), (2, "Smith is no name here.")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.replace_pii(df, pii.Pii("k")).collect()}
+    words = got[1].split()
+    assert words[0] == "Dr." and words[2] != "Smith" and words[4] == words[2]
+    assert "Smithson" in got[1] and " Smith " not in got[1] and got[2] == "Smith is no name here."
+
+
+def test_stages_keep_clashing_columns_and_rows_without_labels(spark):
+    rows = [(i, f"some words of document {i} and more", "a", "b", "c", "d") for i in range(21)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __hit string, __key string, __rate string, __n_tokens string")
+    unlabelled = docs.selectExpr("*", "cast(null as string) as lang")
+    assert langid.keep_identified(unlabelled, langid.train(unlabelled)).count() == 21
+    assert pii.replace_pii(docs, pii.Pii("k")).select(*docs.columns).exceptAll(docs).isEmpty()
+    labelled = docs.selectExpr("doc_id", "if(doc_id % 2 = 0, 'clean', 'junk') as domain")
+    mixed = mixing.mixed_documents(docs, labelled, {"clean": 0.5, "junk": 0.5})
+    assert mixed.columns == docs.columns and mixed.exceptAll(docs.union(docs).union(docs)).isEmpty()

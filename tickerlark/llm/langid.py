@@ -213,8 +213,12 @@ def identify(docs: DataFrame, model: ByteCnn | None) -> DataFrame:
 def keep_identified(docs: DataFrame, model: ByteCnn | None, least: float = 0.3) -> DataFrame:
     """``docs``, all columns, without those whose language is ``und`` or scored below ``least``.
 
-    The judgement is made on the row itself, so nothing is joined or shuffled.
+    The judgement is made on the row itself, so nothing is joined or shuffled. Null texts and texts
+    without a letter go; repeated and null doc_id rows are judged row by row. Without a model (no
+    labelled rows to learn from) nothing can be judged and every row stays.
     """
+    if model is None:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 

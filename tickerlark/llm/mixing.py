@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tickerlark.llm.bytetext import text_bytes, word_hashes
 from tickerlark.llm.langid import softmax
-from tickerlark.llm.scratch import stored
+from tickerlark.llm.scratch import free, stored
 
 #: A hash sample takes a share of so many slots; enough for shares of a few in 10**12 rows.
 SLOTS = 1 << 50
@@ -250,9 +250,12 @@ def mixed_documents(docs: DataFrame, labelled: DataFrame, weights: dict[str, flo
     """``docs``, all columns, each row as often as its ``copies`` (see :func:`mixing_rates`) says.
 
     The rate of a row follows from its own text and the fitted steps, so the rows are judged where
-    they stand: one more pass over the texts, no join and no shuffle of texts.
+    they stand: one more pass over the texts, no join and no shuffle of texts. Null texts count as
+    empty ones; repeated and null doc_id rows are judged row by row. Without labelled rows nothing
+    can be told and every row stays.
     """
     s = s or MixSettings()
+    rate_name, size_name = free(docs, "__rate"), free(docs, "__n_tokens")
     model = train_domains(docs, labelled, s)
     if model is None:
         return docs
@@ -269,9 +272,9 @@ def mixed_documents(docs: DataFrame, labelled: DataFrame, weights: dict[str, flo
                 bags = [bag_of_words(t, model.weights.shape[0]) for t in texts[i : i + 512]]
                 rate, _ = rates_after(model.posteriors(np.stack([x for x, _ in bags])).astype(float), pulls, s)
                 part = batch.slice(i, 512)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rate), pa.array([n for _, n in bags], pa.int64())], names=[*part.schema.names, "__rate", "__n_tokens"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rate), pa.array([n for _, n in bags], pa.int64())], names=[*part.schema.names, rate_name, size_name])
 
-    schema = StructType([*docs.schema.fields, StructField("__rate", DoubleType()), StructField("__n_tokens", LongType())])
+    schema = StructType([*docs.schema.fields, StructField(rate_name, DoubleType()), StructField(size_name, LongType())])
     rated = docs.mapInArrow(run, schema)
-    n = copies(F.col("__rate"), F.col("doc_id").cast("long"), F.col("__n_tokens"))
-    return rated.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), n.cast("int"))).alias("__copy")).drop("__copy")
+    n = copies(F.col(rate_name), F.col("doc_id").cast("long"), F.col(size_name))
+    return rated.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), n.cast("int"))).alias(rate_name)).drop(rate_name)

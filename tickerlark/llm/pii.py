@@ -8,21 +8,30 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerlark.llm.scratch import dropped, stored
+from tickerlark.llm.scratch import dropped, free, stored
 
 TITLES_M = ("Mr.", "Mr", "Herr", "Señor", "Monsieur", "г-н", "κ.")
 TITLES_F = ("Mrs.", "Mrs", "Ms.", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "г-жа", "κα")
+#: Titles of either gender: the surrogate's given name has no ending.
+TITLES_X = ("Dr.", "Dr", "Prof.", "Prof", "Rev.", "д-р")
+TITLES = tuple(sorted(TITLES_M + TITLES_F + TITLES_X, key=len, reverse=True))
+#: What credentials stand after, in any case; their own characters, a dot between two of them too.
+WORD = r"(?i:password|passwd|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)"
+CREDENTIAL = r"(?:[A-Za-z0-9_+/~=-]|[.](?=[A-Za-z0-9])){8,}+"
+HEX4 = r"[0-9A-Fa-f]{1,4}"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: What is detected, in the order in which a place is tried. Look-behinds keep the search linear.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,24}(?![\p{L}\p{N}])",
-    "secret": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<=\b(?:password|passwd|token|secret|api_key)[ ]{0,2}[=:][ ]{0,2}[\"']?)(?<![A-Za-z0-9])[A-Za-z0-9_+/-]{8,256}",
+    "secret": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<=\b"
+    + WORD + r"[ ]{0,2}[=:][ ]{0,2}[\"']?)(?<![A-Za-z0-9])" + CREDENTIAL,
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)(?![\p{{L}}_])",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*+[0-9])(?:{HEX4}(?::{HEX4}){{7}}|[0-9A-Fa-f]{{3,4}}(?::{HEX4}){{0,6}}::(?:{HEX4}(?::{HEX4}){{0,6}})?)(?![\p{{L}}\p{{N}}:])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "card": r"(?<![\p{L}\p{N}+.-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{3,4}(?![\p{L}\p{N}-])|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, sorted(TITLES_M + TITLES_F, key=len, reverse=True)))})(?: \p{{Lu}}[\p{{L}}'-]{{1,30}}){{1,3}}(?![\p{{L}}])",
+    "phone": r"(?<![\p{L}\p{N}+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{3,4}(?![\p{L}\p{N}-])|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}+.,-])(?<!\d )\d{3} \d{3} \d{4}(?![\p{L}\p{N}-])(?! \d)",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, TITLES))})(?: \p{{Lu}}[\p{{L}}'-]{{1,30}}){{1,3}}(?![\p{{L}}])",
 }
 #: What ends a run of numbers before its next group: an email, an address or a number with dots.
 OTHER = rf"[\p{{L}}\p{{N}}._%+-]++@|{OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)|(?:\d{{3}}\.\d{{3}}[ .-]|\d{{3}}-\d{{3}}\.)\d{{3,4}}(?![\p{{L}}\p{{N}}-])"
@@ -34,14 +43,14 @@ CARDS = (r"\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}(?!\d)", r"\d{4}(?:[ -]\d{4}){3}(?!\d
 PHONE = r"\d{3}-\d{3}[ -]\d{3,4}(?![\d-])"
 SSN = r"(?<!-)\d{3}-\d{2}-\d{4}(?![\d-])"
 LOOSE = tuple(rf"(?:\d[ -]?){{{n - 1}}}\d(?!\d)" for n in range(19, 12, -1))
-KEYWORD = r"(?:password|passwd|token|secret|api_key)[ ]{0,2}[=:]"
+KEYWORD = WORD + r"[ ]{0,2}[=:]"
 #: A text without any of these holds nothing of PATTERNS.
-HINT = r"[@0-9]|(?:password|passwd|token|secret|api_key)[ ]{0,2}[=:]|" + "|".join(re.escape(t) + " " for t in TITLES_M + TITLES_F)
+HINT = r"[@0-9]|::|" + KEYWORD + "|" + "|".join(re.escape(t) + " " for t in TITLES)
 #: Syllables of surrogate names and their endings by script and gender.
 SYLLABLES = {
-    "latin": ("ba be bi bo da de di do fa fe ga go ha jo ka ke la le li lo ma me mi mo na ne ni no pa po ra re ri ro sa se si so ta te ti to va ve vi wa".split(), {"m": "n", "f": "a", "s": "rd"}),
-    "cyrillic": ("ба ве ви го да де ди за ка ке ла ле ли ло ма ме ми мо на не ни но па по ра ре ри ро са се си та те ти то".split(), {"m": "н", "f": "на", "s": "ко"}),
-    "greek": ("βα γε δα δη θε κα κη λα λε μα με μι να νε νι πα πε ρα ρε ρι σα σε τα τε τι φα χα".split(), {"m": "ος", "f": "α", "s": "ου"}),
+    "latin": ("ba be bi bo da de di do fa fe ga go ha jo ka ke la le li lo ma me mi mo na ne ni no pa po ra re ri ro sa se si so ta te ti to va ve vi wa".split(), {"m": "n", "f": "a", "s": "rd", "x": ""}),
+    "cyrillic": ("ба ве ви го да де ди за ка ке ла ле ли ло ма ме ми мо на не ни но па по ра ре ри ро са се си та те ти то".split(), {"m": "н", "f": "на", "s": "ко", "x": ""}),
+    "greek": ("βα γε δα δη θε κα κη λα λε μα με μι να νε νι πα πε ρα ρε ρι σα σε τα τε τι φα χα".split(), {"m": "ος", "f": "α", "s": "ου", "x": ""}),
 }
 
 
@@ -67,7 +76,7 @@ def _kind(mention: Column) -> Column:
     for kind, pattern in sorted(reversed(PATTERNS.items()), key=lambda x: x[0] != "secret"):
         whole = f"^(?:{pattern})$"
         if kind == "secret":
-            hit = mention.rlike(r"^[A-Za-z0-9_+/-]{8,256}$") & ~mention.rlike(f"^(?:{PATTERNS['card']})$")
+            hit = mention.rlike(f"^{CREDENTIAL}$") & ~mention.rlike(f"^(?:{PATTERNS['card']})$")
         elif kind == "card":
             hit = mention.rlike(whole) & (_luhn_sum(_digits(mention), 1) % 10 == 0)
         else:
@@ -107,7 +116,7 @@ def _script(word: Column) -> Column:
 def _units(mention: Column, kind: Column) -> Column:
     """A mention as parts (kind, norm, raw): the entity itself; for names the title and each word."""
     words = F.split(mention, " ")
-    gender = F.when(words[0].isin(*TITLES_M), "m").otherwise("f")
+    gender = F.when(words[0].isin(*TITLES_M), "m").when(words[0].isin(*TITLES_F), "f").otherwise("x")
     last = F.size(words) - 1
     named = F.transform(
         words,
@@ -117,7 +126,7 @@ def _units(mention: Column, kind: Column) -> Column:
             w.alias("raw"),
         ),
     )
-    norm = F.when(kind.isin("card", "phone", "ssn"), _digits(mention)).when(kind == "email", F.lower(mention)).when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(mention)
+    norm = F.when(kind.isin("card", "phone", "ssn"), _digits(mention)).when(kind.isin("email", "ip6"), F.lower(mention)).when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(mention)
     return F.when(kind == "name", named).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"), mention.alias("raw"))))
 
 
@@ -134,7 +143,7 @@ def _like(p: Pii, text: Column, keep: Column) -> Column:
     def one(c: Column, i: Column) -> Column:
         n = _bits(p, i, 65536)
         pick = lambda letters: F.substring(F.lit(letters), (n % len(letters) + 1).cast("int"), F.lit(1))
-        hexed = F.col("norm").rlike("^[0-9a-f]+$") & (F.col("kind") == "secret")
+        hexed = (F.col("norm").rlike("^[0-9a-f]+$") & (F.col("kind") == "secret")) | ((F.col("kind") == "ip6") & (c != ":"))
         new = F.when(hexed, pick("0123456789abcdef")).when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz")).when(c.rlike(r"\p{IsCyrillic}"), pick("абвгдежзиклмнопрст")).when(c.rlike(r"\p{L}"), pick("abcdefghijklmnopqrstuvwxyz")).otherwise(c)
         return F.when(i >= F.length(text) - keep, c).otherwise(new)
 
@@ -156,11 +165,11 @@ def _surrogate(p: Pii) -> Column:
     tail = F.length(F.substring_index(norm, ".", -1)) + 1
     out = F.when(kind == "ip", F.array_join(octets, ".")).when(kind == "card", card).when(kind == "phone", phone)
     out = out.when(kind == "iban", F.concat(F.substring(norm, 1, 2), F.substring(_like(p, norm, F.lit(0)), F.lit(3), F.length(norm))))
-    out = out.when(kind == "email", _like(p, norm, tail)).when(kind.isin("ssn", "secret"), F.when(norm.startswith("AKIA"), F.concat(F.lit("AKIA"), F.substring(_like(p, norm, F.lit(0)), F.lit(5), F.length(norm)))).otherwise(_like(p, norm, F.lit(0))))
+    out = out.when(kind == "email", _like(p, norm, tail)).when(kind.isin("ssn", "secret", "ip6"), F.when(norm.startswith("AKIA"), F.concat(F.lit("AKIA"), F.substring(_like(p, norm, F.lit(0)), F.lit(5), F.length(norm)))).otherwise(_like(p, norm, F.lit(0))))
     for script, (syllables, ends) in SYLLABLES.items():
         parts = F.array(*map(F.lit, syllables))
         name = F.array_join(F.transform(F.sequence(F.lit(0), 2 + F.floor(F.col("attempt") / 8).cast("int")), lambda i: F.element_at(parts, _bits(p, i, len(syllables)) + 1)), "")  # noqa: B023
-        for role, end in (("given-m", ends["m"]), ("given-f", ends["f"]), ("surname", ends["s"])):
+        for role, end in (("given-m", ends["m"]), ("given-f", ends["f"]), ("given-x", ends["x"]), ("surname", ends["s"])):
             out = out.when(kind == f"{role}:{script}", F.concat(name, F.lit(end)))
     return out
 
@@ -171,7 +180,7 @@ def surrogates(entities: DataFrame, p: Pii | None = None) -> DataFrame:
     The same key gives the same surrogate for an entity in every run over the same entities. No
     two entities of a kind share a surrogate, and none is itself an entity of its kind: of those
     that collide the first keeps its try, the others draw again. After ``rounds`` tries (a format
-    with fewer forms than entities) a suffix from the entity's digest makes it distinct.
+    with fewer forms than entities) a suffix from the entity's keyed digest makes it distinct.
     """
     p = p or Pii()
     now = stored(entities.distinct().withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(p)), "surrogates")
@@ -185,7 +194,7 @@ def surrogates(entities: DataFrame, p: Pii | None = None) -> DataFrame:
             break
         redo = now.join(again, ["kind", "norm"], "left_semi").withColumn("attempt", F.lit(attempt))
         if attempt == p.rounds:
-            redo = redo.withColumn("surrogate", F.concat("surrogate", F.lit("-"), F.sha2("norm", 256)))
+            redo = redo.withColumn("surrogate", F.concat("surrogate", F.lit("-"), F.sha2(F.concat_ws("\x1f", F.lit(p.key), "norm"), 256)))
         else:
             redo = redo.withColumn("surrogate", _surrogate(p))
         nxt = stored(now.join(again, ["kind", "norm"], "left_anti").unionAll(redo), "surrogates")
@@ -213,8 +222,10 @@ def _rendered(kind: Column, raw: Column, new: Column) -> Column:
 def replace_pii(docs: DataFrame, p: Pii | None = None) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``n_entities`` (mentions replaced) added.
 
-    Detected: email, credential, IPv4, social security number, card (Luhn), IBAN, phone, and names
-    after a title. Numbers in a row are searched at every group, so a neighbour hides none; what
+    Detected: email, credential (of any length, after a keyword in any case), IPv4, IPv6, social
+    security number, card (Luhn), IBAN, phone, names after a title, and their surnames where they
+    stand alone in the same text. Ten digits without marks are not taken for a phone. Kept are an email's last label, what stands before a phone's
+    last seven digits, an IBAN's country. Numbers in a row are searched at every group, so a neighbour hides none; what
     stands after a keyword of credentials is one, whatever it looks like. An entity gets the same surrogate everywhere (numbers by their digits, emails
     and names without regard to case, names word by word, so a surname alone keeps its
     surrogate); gender follows the title. Texts without a mention, and null, pass unchanged with
@@ -226,13 +237,14 @@ def replace_pii(docs: DataFrame, p: Pii | None = None) -> DataFrame:
     """
     p = p or Pii()
     docs = docs.drop("n_entities")
-    added = docs.withColumn("__hit", F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(ANY), F.lit(False)))
-    hit = added.where("__hit").drop("__hit").withColumn("__key", F.md5("text"))
+    hit_name, key_name, new_name, word_name = (free(docs, x) for x in ("__hit", "__key", "__new", "__words"))
+    added = docs.withColumn(hit_name, F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(ANY), F.lit(False)))
+    hit = added.where(F.col(hit_name)).drop(hit_name).withColumn(key_name, F.md5("text"))
     secrets = F.when(F.col("text").rlike(KEYWORD), F.regexp_extract_all("text", F.lit(PATTERNS["secret"]), F.lit(0)))
-    seen = hit.select("__key", secrets.alias("secrets"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))).alias("mention"))
+    seen = hit.select(F.col(key_name).alias("__key"), secrets.alias("secrets"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))).alias("mention"))
     seen = seen.select("__key", "mention", F.coalesce(F.array_contains("secrets", F.col("mention")), F.lit(False)).alias("secret")).distinct()
     mention = F.col("mention")
-    kind = F.when(~F.col("secret") & _is_run(mention), "run").otherwise(F.coalesce(_kind(mention), F.when(F.col("secret"), "secret")))
+    kind = F.when(~F.col("secret") & _is_run(mention) & ~mention.rlike(r"^\d{3} \d{3} \d{4}$"), "run").otherwise(F.coalesce(_kind(mention), F.when(F.col("secret"), "secret")))
     seen = seen.select("__key", "mention", kind.alias("whole")).where("whole is not null")
     parts = F.when(F.col("whole") == "run", _run_units(mention)).otherwise(_units(mention, F.col("whole")))
     seen = seen.withColumn("parts", parts).where(F.exists("parts", lambda x: x["kind"] != ""))
@@ -244,11 +256,15 @@ def replace_pii(docs: DataFrame, p: Pii | None = None) -> DataFrame:
     news = F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"])
     n = F.when(F.col("whole") == "run", F.count(F.when(F.col("kind") != "", 1))).otherwise(1)
     mention = rendered.groupBy("__key", "mention", "whole").agg(F.when(F.col("whole") == "name", F.array_join(news, " ")).otherwise(F.array_join(news, "")).alias("new"), n.alias("n"))
-    maps = mention.groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("mention", F.struct("new", "n")))).alias("__new"))
+    news = F.map_from_entries(F.collect_list(F.struct("mention", F.struct("new", "n")))).alias(new_name)
+    maps = mention.groupBy("__key").agg(news).withColumnRenamed("__key", key_name)
+    words = rendered.where("whole = 'name' and kind like 'surname%'").join(units.select("__key", "mention", "pos", "raw"), ["__key", "mention", "pos"]).where(F.length("raw") > 2)
+    words = words.groupBy("__key").agg(F.array_distinct(F.sort_array(F.collect_list(F.struct("raw", "new")))).alias(word_name)).withColumnRenamed("__key", key_name)
     found, gaps = F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), F.split("text", ANY, -1)
-    text = F.array_join(F.zip_with(gaps, F.transform(found, lambda m: F.coalesce(F.col("__new")[m]["new"], m)), lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    joined = hit.join(maps, "__key", "left")
-    n = F.aggregate(found, F.lit(0).cast("long"), lambda s, m: s + F.coalesce(F.col("__new")[m]["n"], F.lit(0)))
-    changed = joined.select(*[F.when(F.col("__new").isNotNull(), text).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.when(F.col("__new").isNotNull(), n).otherwise(F.lit(0).cast("long")).alias("n_entities"))
-    rest = added.where("not __hit").select(*docs.columns, F.lit(0).cast("long").alias("n_entities"))
+    alone = lambda g: F.aggregate(F.coalesce(F.col(word_name), F.array()), g, lambda t, w: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), w["raw"], F.lit(r"\E(?![\p{L}\p{N}])")), w["new"]))
+    text = F.array_join(F.zip_with(gaps, F.transform(found, lambda m: F.coalesce(F.col(new_name)[m]["new"], m)), lambda g, m: F.concat(alone(g), F.coalesce(m, F.lit("")))), "")
+    joined = hit.join(maps, key_name, "left").join(words, key_name, "left")
+    n = F.aggregate(found, F.lit(0).cast("long"), lambda s, m: s + F.coalesce(F.col(new_name)[m]["n"], F.lit(0)))
+    changed = joined.select(*[F.when(F.col(new_name).isNotNull(), text).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.when(F.col(new_name).isNotNull(), n).otherwise(F.lit(0).cast("long")).alias("n_entities"))
+    rest = added.where(~F.col(hit_name)).select(*docs.columns, F.lit(0).cast("long").alias("n_entities"))
     return rest.unionAll(changed)

@@ -15,10 +15,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def dropped(*frames: DataFrame) -> None:
-    """Delete the files of tables made by :func:`stored` that no later plan reads."""
+    """Delete the files of tables made by :func:`stored` that no later plan reads.
+
+    The driver then forgets the plans that made them, and Spark's cleaner their shuffle files.
+    """
     for df in frames:
         for file in df.inputFiles()[:1]:
             delete(df.sparkSession, file.rsplit("/", 1)[0])
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()
 
 
 def delete(spark: SparkSession, folder: str) -> None:
@@ -26,6 +31,14 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
