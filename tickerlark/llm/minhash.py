@@ -10,12 +10,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerlark.llm.bytetext import mix, shingle_set, text_bytes, word_hashes
 from tickerlark.llm.components import connected_components
-from tickerlark.llm.scratch import stored
+from tickerlark.llm.scratch import dropped, free, stored
+from tickerlark.operators.similarity import split_join
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,7 @@ class NearDup:
     sigmas: float = 5.0  # slack of the signature test before the exact one
     block: int = 512  # documents in a block of a crowded bucket, and
     block_shingles: int = 1_000_000  # shingles in it
+    partners: int = 500  # of one document that a task compares it with
 
     @property
     def hashes(self) -> int:
@@ -65,7 +67,7 @@ def signatures(docs: DataFrame, p: NearDup) -> DataFrame:
             keys, sizes, sets, sigs, bands = [], [], [], [], []
             for text in text_bytes(batch.column(1)):
                 raw = b"" if text is None else text.tobytes()
-                keys.append((b"0" if text is None else b"1") + hashlib.md5(raw).digest())
+                keys.append(b"0" if text is None else b"1" + hashlib.md5(raw).digest())
                 found = shingle_set(word_hashes(np.frombuffer(raw, np.uint8)), p.shingle_words)
                 sizes.append(len(found))
                 if not len(found):
@@ -99,44 +101,63 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+def _by_centre(pairs: DataFrame, rows: DataFrame, value: str, p: NearDup) -> DataFrame:
+    """(v, u, value) sorted by v: first the value of v itself, with null u, then those of its partners.
+
+    A v with many partners is dealt to several tasks, each of which gets its value once.
+    """
+    load = stored(pairs.groupBy("v").agg(F.count("*").alias("n")), "load")
+    part = F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / p.partners)).alias("part")
+    dealt = stored(split_join(pairs, load, "v", "n").select("u", "v", part), "dealt")
+    one = dealt.join(rows.withColumnRenamed("doc_id", "u"), "u").select("v", "part", "u", value)
+    two = dealt.select("v", "part").distinct().join(rows.withColumnRenamed("doc_id", "v"), "v")
+    both = one.unionByName(two.select("v", "part", F.lit(None).cast("long").alias("u"), value))
+    return both.repartition("v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first()).select("v", "u", value)
+
+
 def _alike(pairs: DataFrame, sig: DataFrame, p: NearDup) -> DataFrame:
-    """The pairs (u, v) whose signatures agree well enough."""
+    """The stored pairs (u, v) whose signatures agree well enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            u, v = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = pa.array([_agreement(x, y) >= p.least_agreement for x, y in zip(u, v, strict=True)], pa.bool_())
-            yield batch.select([0, 1]).filter(keep)
+            keep = []
+            for u, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if u is None:
+                    held = x
+                keep.append(u is not None and _agreement(x, held) >= p.least_agreement)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (1, 0)], names=["u", "v"])
 
-    one = sig.select(F.col("doc_id").alias("u"), F.col("signature").alias("su"))
-    two = sig.select(F.col("doc_id").alias("v"), F.col("signature").alias("sv"))
-    return pairs.join(one, "u").join(two, "v").select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
+    return _by_centre(pairs, sig.select("doc_id", "signature"), "signature", p).mapInArrow(run, "u long, v long")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
-    """The pairs (u, v) that are linked by their full shingle sets."""
+    """The stored pairs (u, v) that are linked by their full shingle sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple = (None, None)
+        held = None
         for batch in batches:
             keep = []
-            for v, x, y in zip(batch.column(1).to_pylist(), text_bytes(batch.column(2)), text_bytes(batch.column(3)), strict=True):
-                if held[0] != v:  # neighbouring rows often share their centre
-                    held = v, shingle_set(word_hashes(y), p.shingle_words)
-                keep.append(_linked(shingle_set(word_hashes(x), p.shingle_words), held[1], p.percent))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for u, x in zip(batch.column(1).to_pylist(), text_bytes(batch.column(2)), strict=True):
+                found = shingle_set(word_hashes(x), p.shingle_words)
+                if u is None:
+                    held = found
+                keep.append(u is not None and _linked(found, held, p.percent))
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (1, 0)], names=["u", "v"])
 
-    one = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu"))
-    two = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
-    return pairs.join(one, "u").join(two, "v").select("u", "v", "tu", "tv").mapInArrow(run, "u long, v long")
+    return _by_centre(pairs, texts.select("doc_id", "text"), "text", p).mapInArrow(run, "u long, v long")
 
 
 def _texts_of(docs: DataFrame, sig: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the rows that ``sig`` kept for ``ids``."""
-    wanted = ids.distinct().join(sig.select("doc_id", "text_key"), "doc_id")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = rows.withColumn("text_key", F.concat(F.lit(b"1"), F.unhex(F.md5("text"))))
-    return keyed.join(wanted, ["doc_id", "text_key"]).groupBy("doc_id").agg(F.first("text").alias("text"))
+    """(doc_id, text) of the nodes ``ids`` of ``sig``, found by number and digest of the text."""
+    wanted = ids.distinct().join(sig.select("doc_id", "given_id", "text_key"), "doc_id")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("given_id"), F.col("text").cast("string").alias("text"))
+    keyed = keyed.withColumn("text_key", _text_key())
+    return keyed.join(wanted, ["given_id", "text_key"]).groupBy("doc_id").agg(F.first("text").alias("text"))
+
+
+def _text_key() -> Column:
+    return F.coalesce(F.concat(F.lit(b"1"), F.unhex(F.md5("text"))), F.lit(b"0"))
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
@@ -219,53 +240,78 @@ def _rest_links(buckets: DataFrame, comps: DataFrame, docs: DataFrame, sig: Data
     return full.groupBy("block").applyInPandas(exact, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each document of ``docs(doc_id, text)``.
-
-    Equal shingle sets are one class first. One document of each class goes on: in each band
-    every member of a bucket is compared with the smallest one (signature, then full sets). Where
-    that leaves a bucket in several components, the pairs not yet seen are compared in bounded
-    blocks, so no link inside a bucket is lost and no list of all pairs is made.
-
-    Null and word-less texts have no shingles and no links. Of rows that repeat a doc_id one
-    counts (smallest text digest) and one is returned. Rows with null doc_id link with nothing
-    and come back with null component and kept true. Other columns are ignored.
-    """
-    p = p or NearDup()
-    raw = stored(signatures(docs, p), "signatures")
-    sig = raw.where("doc_id is not null")
-    if not sig.groupBy("doc_id").count().where("count > 1").isEmpty():
-        order = F.struct("text_key", "n_shingles", "set_key", "signature", "band_keys")
-        sig = stored(sig.groupBy("doc_id").agg(F.min(order).alias("x")).select("doc_id", "x.*"), "signatures")
+def _judged(docs: DataFrame, p: NearDup) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, kept) for each distinct (doc_id, text) and null doc_id."""
+    raw = stored(signatures(docs, p).withColumnRenamed("doc_id", "given_id").withColumn("doc_id", F.col("given_id")), "signatures")
+    sig = raw.where("given_id is not null")
+    repeated = stored(sig.groupBy("given_id").agg(F.count("*").alias("n")).where("n > 1").select("given_id"), "repeated")
+    if not repeated.isEmpty():
+        # Nodes are numbered anew: one for each (doc_id, text).
+        order = F.struct("n_shingles", "set_key", "signature", "band_keys")
+        nodes = sig.groupBy("given_id", "text_key").agg(F.min(order).alias("x")).select("given_id", "text_key", "x.*")
+        sig = stored(nodes.withColumn("doc_id", F.monotonically_increasing_id()), "signatures")
     some = sig.where("n_shingles > 0")
     classes = stored(some.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     reps = stored(some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").drop("set_key"), "representatives")
     buckets = reps.select("doc_id", "n_shingles", F.explode("band_keys").alias("key"))
-    alike = stored(_alike(_stars(buckets), reps, p), "alike")
+    stars = stored(_stars(buckets), "stars")
+    alike = stored(_alike(stars, reps, p), "alike")
+    dropped(stars)
     ids = alike.select(F.col("u").alias("doc_id")).unionAll(alike.select(F.col("v").alias("doc_id")))
-    links = stored(_confirmed(alike, _texts_of(docs, reps, ids), p), "links")
+    texts = stored(_texts_of(docs, reps, ids), "texts")
+    links = stored(_confirmed(alike, texts, p), "links")
+    dropped(texts, alike)
     comps = stored(connected_components(links), "components").select(F.col("id").alias("doc_id"), F.col("component").alias("comp"))
     more = stored(_rest_links(buckets, comps, docs, reps, p), "links")
     if not more.isEmpty():
         comps = stored(connected_components(links.unionAll(more)), "components").select(F.col("id").alias("doc_id"), F.col("component").alias("comp"))
     found = classes.join(comps.select(F.col("doc_id").alias("rep"), "comp"), "rep", "left")
-    found = found.select("set_key", F.coalesce("comp", "rep").alias("component_id"))
-    rows = some.select("doc_id", "n_shingles", "set_key").join(found, "set_key").select("doc_id", "n_shingles", "component_id")
-    rest = sig.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    rows = rows.unionAll(rest).withColumn("kept", F.expr("doc_id = component_id"))
-    nameless = raw.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
+    found = found.select("set_key", F.coalesce("comp", "rep").alias("comp"))
+    rows = some.select("doc_id", "given_id", "text_key", "n_shingles", "set_key").join(found, "set_key").drop("set_key")
+    rows = rows.unionByName(sig.where("n_shingles = 0").select("doc_id", "given_id", "text_key", "n_shingles", F.col("doc_id").alias("comp")))
+    if not repeated.isEmpty():
+        rows = stored(rows, "rows")
+        first = rows.groupBy("comp").agg(F.min(F.struct("given_id", "text_key")).alias("first"), F.count("*").alias("n"))
+        rows = split_join(rows, stored(first, "first"), "comp", "n")
+        kept = F.struct("given_id", "text_key") == F.col("first")
+        rows = rows.select(F.col("given_id").alias("doc_id"), "text_key", "n_shingles", F.col("first.given_id").alias("component_id"), kept.alias("kept"))
+    else:
+        rows = rows.select("doc_id", "text_key", "n_shingles", F.col("comp").alias("component_id"), F.expr("doc_id = comp").alias("kept"))
+    nameless = raw.where("given_id is null").select("doc_id", "text_key", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
     return rows.unionAll(nameless)
 
 
+def near_duplicates(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each document of ``docs(doc_id, text)``.
+
+    Equal shingle sets are one class first. One document of each class goes on: in each band
+    every member of a bucket is compared with the smallest one (signature, then full sets). Where
+    that leaves a bucket in several components, the pairs not yet seen are compared in bounded
+    blocks, so no link inside a bucket is lost and no list of all pairs is made.
+
+    Null and word-less texts have no shingles and no links. Of rows that repeat doc_id and text one
+    is returned; rows that repeat a doc_id with other texts are judged each by its own text, and of
+    a component the one with the smallest doc_id and digest is kept. Rows with null doc_id link with
+    nothing and come back with null component and kept true. Other columns are ignored.
+    """
+    return _judged(docs, p or NearDup()).drop("text_key")
+
+
 def drop_near_duplicates(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
     """``docs`` without the documents that :func:`near_duplicates` does not keep.
 
-    All columns stay. Rows with null doc_id stay; of rows that repeat a doc_id one stays.
+    All columns stay. Rows with null doc_id stay. Rows go by doc_id and text: of those that repeat
+    both one stays (the first by a hash of all its columns), and one with a text of its own is
+    never lost.
     """
-    found = near_duplicates(docs, p)
-    gone = found.where("not kept").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = _judged(docs, p or NearDup()).where("doc_id is not null")
+    gone = found.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    id_name, key_name = free(docs, "__id"), free(docs, "__key")
+    gone = stored(gone.toDF(id_name, key_name), "gone")
+    keyed = docs.withColumn(id_name, F.col("doc_id").cast("long")).withColumn(key_name, _text_key())
+    kept = keyed.join(gone, [id_name, key_name], "left_anti")
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    nameless = kept.where("doc_id is null")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionAll(nameless)
+        return kept.select(*docs.columns)
+    first = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row")
+    named = kept.where(F.col(id_name).isNotNull()).groupBy(id_name, key_name).agg(first).select("__row.*")
+    return named.unionByName(kept.where(F.col(id_name).isNull()).select(*docs.columns))
