@@ -71,6 +71,14 @@ def test_set_join_equals_brute_force(spark, block):
     assert got == brute_join(rows, p)
 
 
+def test_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(2)
+    for n, m in ((100, 100), (127, 140), (400, 700), (3000, 3100)):
+        base = rng.integers(0, 1 << 63, n + m).astype(np.uint64)
+        x, y = np.unique(base[:n]), np.unique(base[n // 2 : n // 2 + m])
+        assert 0 < setjoin._differing(setjoin._parities(x), setjoin._parities(y)) <= len(np.setxor1d(x, y))
+
+
 def test_set_join_of_nothing(spark):
     assert setjoin.set_similarity_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     alone = spark.createDataFrame([(1, "no word is shared"), (2, None)], "doc_id long, text string")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tickerlark.llm.bytetext import shingle_set, text_bytes, word_hashes
 from tickerlark.llm.components import connected_components
-from tickerlark.llm.scratch import stored
+from tickerlark.llm.scratch import dropped, stored
 from tickerlark.operators.similarity import split_join
 
 
@@ -41,6 +41,7 @@ class SetJoin:
     block: int = 512  # sets, and
     block_shingles: int = 1_000_000  # differing shingles in a block of a cluster or list
     list_rows: int = 1_000_000  # of an index list sorted by one task
+    remembered: int = 1_000_000  # sets by which a task knows copies
     slice_rows: int = 1000  # sets compared with one other set in one task
 
     def prefix(self, n: int) -> int:
@@ -52,29 +53,87 @@ class SetJoin:
         return -(-self.percent * sizes // (100 + self.percent))
 
 
-def _sets(docs: DataFrame, p: SetJoin, key: str, whole: bool) -> DataFrame:
-    """(key, n, set_key) of each row of ``docs(key, text)``; with ``whole`` (key, n, tokens, s0, s1).
+def _named(found: np.ndarray, twins: frozenset) -> tuple[int, bytes]:
+    """(number, digest) of a set. The number is a half of the digest, the other half for ``twins``."""
+    digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+    half = digest[8:] if digest in twins else digest[:8]
+    return int.from_bytes(half, "little", signed=True), digest
 
-    ``s0`` and ``s1`` are 128 parities of the set's shingles: two sets differ in at least as many
-    shingles as parities.
+
+def _rows(docs: DataFrame, p: SetJoin, twins: frozenset = frozenset()) -> DataFrame:
+    """(doc_id, n, id, set_key) of each row of ``docs(doc_id, text)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(word_hashes(x), p.shingle_words) for x in text_bytes(batch.column(1))]
+            named = [_named(x, twins) for x in found]
+            columns = [pa.array([len(x) for x in found], pa.int64()), pa.array([i for i, _ in named], pa.int64()), pa.array([k for _, k in named], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "id", "set_key"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, id long, set_key binary")
+
+
+def _nodes(docs: DataFrame, p: SetJoin, twins: frozenset) -> DataFrame:
+    """(id, n, tokens, s0, s1, sketch): the sets of ``docs(text)``, copies inside a task once.
+
+    ``s0`` and ``s1`` are 128 parities of the set's shingles, ``sketch`` as many as shingles or more: two
+    sets differ in at least as many shingles as parities.
     """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            sets, ids = [], []
+            for text in text_bytes(batch.column(0)):
+                found = shingle_set(word_hashes(text), p.shingle_words)
+                number = _named(found, twins)[0]
+                if len(found) and number not in seen:
+                    sets.append(found), ids.append(number)
+                    seen.add(number)
+            if len(seen) > p.remembered:
+                seen.clear()
+            bits = [np.packbits(np.bincount((x & np.uint64(127)).astype(np.int64), minlength=128) & 1).view(np.int64) for x in sets]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            columns = [pa.array(ids, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))]
+            columns += [pa.array([b[i] for b in bits], pa.int64()) for i in (0, 1)]
+            columns.append(pa.array([_parities(x) for x in sets], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "tokens", "s0", "s1", "sketch"])
+
+    return docs.select("text").mapInArrow(run, "id long, n long, tokens array<long>, s0 long, s1 long, sketch binary")
+
+
+def _parities(tokens: np.ndarray) -> bytes:
+    """Parities of the shingles by their lowest bits: a power of two, 128 at least, not below their number."""
+    size = 128
+    while size < len(tokens):
+        size *= 2
+    return np.packbits(np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """Parities in which two sketches differ, the longer one folded to the length of the other."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, p: SetJoin) -> DataFrame:
+    """The stored pairs (u, v) whose sketches leave room for a link."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(word_hashes(x if x is not None else np.zeros(0, np.uint8)), p.shingle_words) for x in text_bytes(batch.column(1))]
-            columns = [batch.column(0), pa.array([len(x) for x in found], pa.int64())]
-            if whole:
-                bits = [np.packbits(np.bincount((x & np.uint64(127)).astype(np.int64), minlength=128) & 1).view(np.int64) for x in found]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in found])])
-                flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-                columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())), *(pa.array([b[i] for b in bits], pa.int64()) for i in (0, 1))]
-            else:
-                columns.append(pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    names = [key, "n", "tokens", "s0", "s1"] if whole else [key, "n", "set_key"]
-    kinds = ["long", "long", "array<long>", "long", "long"] if whole else ["string" if key == "row_key" else "long", "long", "binary"]
-    return docs.select(key, "text").mapInArrow(run, ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True)))
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            room = sizes - 2 * p.need(sizes)
+            keep = [_differing(a, b) <= r for a, b, r in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), room.tolist(), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    own = nodes.groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    own = stored(own, "sketches")
+    met = pairs.join(own.toDF("u", "nu", "su"), "u").join(own.toDF("v", "nv", "sv"), "v")
+    return met.select("u", "v", "nu", "nv", "su", "sv").mapInArrow(run, "u long, v long")
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -120,7 +179,7 @@ def _postings(nodes: DataFrame, p: SetJoin) -> DataFrame:
             at = np.repeat(np.arange(len(sets)), sizes)
             flat = np.concatenate(found) if found else np.zeros(0, np.int64)
             parts = 1 + sent.value[flat & (p.order_buckets - 1)] // p.list_rows
-            part = np.where(parts > 1, 1 + at % parts, 0)
+            part = np.where(parts > 1, 1 + (batch.column(0).to_numpy()[at] & 0x7FFFFFFF) % parts, 0)
             yield pa.RecordBatch.from_arrays([pa.array(flat), batch.column(0).take(pa.array(at)), pa.array(n << 32 | pos), pa.array(part)], names=["token", "id", "place", "part"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,6 +191,8 @@ def _postings(nodes: DataFrame, p: SetJoin) -> DataFrame:
             before = False
             if held is not None:
                 before, rows = held[-1], [np.concatenate(x) for x in zip(held[:-1], rows, strict=True)]
+            copy = (rows[0][1:] == rows[0][:-1]) & (rows[1][1:] == rows[1][:-1])
+            rows = [x[np.append(True, ~copy)] for x in rows]
             same = rows[0][1:] == rows[0][:-1]
             keep = np.append(same, False) | np.append(before, same) | (rows[3] > 0)
             held = [*[x[-1:].copy() for x in rows], bool(keep[-1])]
@@ -143,12 +204,12 @@ def _postings(nodes: DataFrame, p: SetJoin) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2] >> 32), pa.array(rows[2] & 0xFFFFFFFF)], names=["token", "id", "n", "pos"])
 
     prefixes = nodes.select("id", "tokens").mapInArrow(first, "token long, id long, place long, part long")
-    dealt = prefixes.repartition("token", "part").sortWithinPartitions("token", "part")
+    dealt = prefixes.repartition("token", "part").sortWithinPartitions("token", "part", "id")
     return dealt.mapInArrow(shared, "token long, id long, n long, pos long")
 
 
 def _sets_of(nodes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, tokens) of the nodes among ``ids``, which may repeat.
+    """(id, tokens) of the nodes among ``ids``, each once; both may repeat.
 
     A table of bits, never more than ``WORDS`` numbers, is broadcast and stops nearly all other
     sets before they move; the join that follows is exact.
@@ -158,7 +219,7 @@ def _sets_of(nodes: DataFrame, ids: DataFrame) -> DataFrame:
     bits = ids.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
     near = nodes.select("id", "tokens", word.alias("word")).join(F.broadcast(bits), "word")
     near = near.where(F.call_function("shiftrightunsigned", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1)
-    return near.select("id", "tokens").join(ids.hint("merge"), "id")
+    return near.select("id", "tokens").join(ids.hint("merge"), "id").groupBy("id").agg(F.first("tokens").alias("tokens"))
 
 
 def _compared(pairs: DataFrame, nodes: DataFrame, least: int, p: SetJoin, differences: bool) -> DataFrame:
@@ -195,7 +256,9 @@ def _compared(pairs: DataFrame, nodes: DataFrame, least: int, p: SetJoin, differ
             yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "removed", "added"][: len(columns)])
 
     schema = "u long, v long, removed array<long>, added array<long>" if differences else "u long, v long"
-    return rows.select("v", "u", "tokens").mapInArrow(run, schema)
+    out = stored(rows.select("v", "u", "tokens").mapInArrow(run, schema), "compared")
+    dropped(sets, dealt)
+    return out
 
 
 def _clusters(lists: DataFrame, nodes: DataFrame, p: SetJoin) -> DataFrame:
@@ -211,7 +274,7 @@ def _clusters(lists: DataFrame, nodes: DataFrame, p: SetJoin) -> DataFrame:
     stars = stored(stars.agg(F.count("*").alias("shared")).where("shared * 8 >= prefix"), "stars")
     most = Window.partitionBy("u").orderBy(F.desc("shared"), "v")
     stars = stored(stars.withColumn("rank", F.row_number().over(most)).where("rank <= 2").select("u", "v"), "stars")
-    rel = stored(_compared(stars, nodes, p.member_percent, p, True), "related")
+    rel = _compared(stars, nodes, p.member_percent, p, True)
     pivots = rel.groupBy("v").agg(F.count("*").alias("rows")).join(rel.select(F.col("u").alias("v")).distinct(), "v", "left_anti")
     own = split_join(rel, stored(pivots, "pivots"), "v", "rows")
     best = F.min_by(F.struct("v", "removed", "added"), F.struct(F.size("removed") + F.size("added"), "v"))
@@ -299,7 +362,7 @@ def _dealt(lists: DataFrame, members: DataFrame, nodes: DataFrame, p: SetJoin) -
     visits = large.where(~of_giant).select("token", upto("g"), "own", *carried).select(at("x", "own", 0), *carried)
     among = large.where(~of_giant & (F.col("clusters") > 2)).select("token", upto("o"), "own", *carried)
     among = among.select(at(F.least("x", "own"), F.greatest("x", "own"), 1), *carried)
-    return whole.unionAll(giant).unionAll(visits).unionAll(among).join(nodes.select("id", "s0", "s1"), "id")
+    return whole.unionAll(giant).unionAll(visits).unionAll(among).join(nodes.groupBy("id").agg(F.min("s0").alias("s0"), F.min("s1").alias("s1")), "id")
 
 
 def _candidates(dealt: DataFrame, p: SetJoin) -> DataFrame:
@@ -364,27 +427,27 @@ def set_similarity_join(docs: DataFrame, p: SetJoin | None = None) -> DataFrame:
     component. Other columns are ignored; an empty table gives no rows.
     """
     p = p or SetJoin()
-    digest = F.unhex(F.md5("text"))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # Rows go by (doc_id, digest of the text), packed into one key.
-    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5("text"))
-    found = _sets(given.select(key.alias("row_key"), "text"), p, "row_key", False)
-    number = F.substring_index("row_key", ":", 1)
-    rows = stored(found.select(F.when(number != "", number.cast("long")).alias("doc_id"), F.unhex(F.substring_index("row_key", ":", -1)).alias("digest"), "n", "set_key", F.monotonically_increasing_id().alias("row")), "rows")
+    rows, twins = stored(_rows(given, p), "rows"), frozenset()
     some = rows.where("doc_id is not null and n > 0")
-    first = F.min(F.struct("doc_id", "digest", "row")).alias("f")
-    classes = stored(some.groupBy("set_key").agg(first, F.count("*").alias("copies")).select("set_key", "copies", F.col("f.row").alias("id"), F.col("f.doc_id").alias("doc_id"), F.col("f.digest").alias("digest")), "classes")
-    texts = given.withColumn("digest", digest).join(classes.select("id", "doc_id", "digest").hint("merge"), ["doc_id", "digest"]).select("id", "text")
-    if not some.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():
-        texts = texts.dropDuplicates(["id"])
-    nodes = stored(_sets(texts, p, "id", True), "nodes")
+    # Different sets of one number: by chance 70 of them in 5 * 10**10 documents, so they fit a message.
+    doubled = some.groupBy("id").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a <> b").select("id")
+    if not (doubled := stored(doubled, "doubled")).isEmpty():
+        twins = frozenset(bytes(r["set_key"]) for r in some.join(doubled, "id").select("set_key").distinct().collect())
+        rows = stored(_rows(given, p, twins), "rows")
+        some = rows.where("doc_id is not null and n > 0")
+    classes = stored(some.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("n").alias("n")), "classes")
+    nodes = stored(_nodes(given.where("doc_id is not null"), p, twins), "nodes")
     postings = stored(_postings(nodes, p), "postings")
     several = postings.groupBy("token").agg(F.count("*").alias("rows"), F.min(F.struct("id", "n")).alias("centre")).where("rows > 1")
     lists = stored(split_join(postings, stored(several, "tokens"), "token", "rows"), "lists")
+    dropped(postings)
     members = stored(_clusters(lists, nodes, p), "members")
-    derived = stored(_derived(members, classes.select("id", "copies"), nodes.select("id", "n"), p), "derived")
+    derived = stored(_derived(members, classes.select("id", "copies"), classes.select("id", "n"), p), "derived")
     candidates = stored(_candidates(_dealt(lists, members, nodes, p), p), "candidates")
-    links = stored(_compared(candidates, nodes, p.percent, p, False), "links")
+    candidates = stored(_plausible(candidates, nodes, p), "plausible")
+    links = _compared(candidates, nodes, p.percent, p, False)
+    dropped(nodes, lists)
     weight = classes.select("id", "copies")
     both = links.select(F.col("u").alias("id"), F.col("v").alias("other")).unionAll(links.select(F.col("v").alias("id"), F.col("u").alias("other")))
     across = both.join(weight.withColumnRenamed("id", "other"), "other").select("id", F.col("copies").alias("links"))
@@ -392,10 +455,10 @@ def set_similarity_join(docs: DataFrame, p: SetJoin | None = None) -> DataFrame:
     edges = derived.select(F.col("id").alias("u"), F.col("root").alias("v")).unionAll(links)
     comps = stored(connected_components(edges), "components")
     at = classes.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    at = stored(at.join(n_links, "id", "left").select("set_key", "doc_id", "copies", "component", F.coalesce("links", F.lit(0)).alias("links")), "at")
+    at = stored(at.join(n_links, "id", "left").select("id", "doc_id", "copies", "component", F.coalesce("links", F.lit(0)).alias("links")), "at")
     least = at.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("sets"))
-    final = stored(split_join(at, stored(least, "least"), "component", "sets").select("set_key", "copies", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "final")
-    linked = split_join(some.select("doc_id", "n", "set_key"), final, "set_key", "copies").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    final = stored(split_join(at, stored(least, "least"), "component", "sets").select("id", "copies", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "final")
+    linked = split_join(some.select("doc_id", "n", "id"), final, "id", "copies").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
     zero = F.lit(0).cast("long").alias("n_links")
     rest = rows.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), zero)
     return linked.unionByName(rest)
