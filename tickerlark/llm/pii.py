@@ -23,7 +23,8 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: What is detected, in the order in which a place is tried. Look-behinds keep the search linear.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,24}(?![\p{L}\p{N}])",
-    "secret": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<=\b"
+    # the shorter look-behind rules out nearly all places before the longer one is tried
+    "secret": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<=[=: \"'])(?<=[=:][ ]{0,2}[\"']?)(?<=\b"
     + WORD + r"[ ]{0,2}[=:][ ]{0,2}[\"']?)(?<![A-Za-z0-9])" + CREDENTIAL,
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)(?![\p{{L}}_])",
     "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*+[0-9])(?:{HEX4}(?::{HEX4}){{7}}|[0-9A-Fa-f]{{3,4}}(?::{HEX4}){{0,6}}::(?:{HEX4}(?::{HEX4}){{0,6}})?)(?![\p{{L}}\p{{N}}:])",
