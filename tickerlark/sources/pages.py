@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +22,9 @@ MOBILE_AUTHOR, MOBILE_TEXT = ("username", "user"), ("tweet-text", "status-text")
 COUNT_MARKS = {"reply": 0, "retweet": 1, "like": 2, "view": 3}
 VOID_TAGS = {"br", "img", "hr", "meta", "link", "input", "source", "wbr"}
 
+# Pages whose results one Python worker holds at once.
+PAGES_AT_ONCE = 64
+
 PAGE_FIELDS = ["title", "article", "links"]
 POST_FIELDS = ["author", "text", "time", *ENGAGEMENT]
 
@@ -88,20 +91,29 @@ def _count(post: dict, name: str) -> int:
     return int(shown) if shown.isdecimal() else 0
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch holds thousands of pages; few of them are parsed, and their results held, at once."""
     for batch in batches:
-        rows = []
-        for page_id, url, markup in batch.itertuples(index=False):
-            page = _read(markup)
-            posts = [
-                (p.get("author"), p.get("text"), p.get("time"), [_count(p, n) for n in COUNT_MARKS])
-                for p in page.posts
-            ]
-            title, article = "".join(page.page["title"]), "".join(page.page["article"])
-            rows.append((page_id, url, title, article, page.links, posts))
-        yield pd.DataFrame(rows, columns=["page_id", "url", "title", "article", "links", "posts"])
-
-
+        for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+            yield _parsed(batch.slice(start, PAGES_AT_ONCE))
+
+
+def _parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    rows = []
+    for page_id, url, markup in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        page = _read(markup)
+        posts = [
+            {"author": p.get("author"), "text": p.get("text"), "time": p.get("time"), "counts": [_count(p, n) for n in COUNT_MARKS]}
+            for p in page.posts
+        ]
+        title, article = "".join(page.page["title"]), "".join(page.page["article"])
+        rows.append((page_id, url, title, article, page.links, posts))
+    columns = list(zip(*rows)) or [()] * len(_KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS.values())], names=list(_KINDS))
+
+
+_POST = pa.struct([("author", pa.string()), ("text", pa.string()), ("time", pa.string()), ("counts", pa.list_(pa.int64()))])
+_KINDS = {"page_id": pa.int64(), "url": pa.string(), "title": pa.string(), "article": pa.string(), "links": pa.int64(), "posts": pa.list_(_POST)}
 _PARSED = (
     "page_id bigint, url string, title string, article string, links bigint, "
     "posts array<struct<author:string,text:string,time:string,counts:array<bigint>>>"
@@ -110,7 +122,7 @@ _PARSED = (
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Title, article text, link count and marked-up posts of each page."""
-    return require(pages, "page_id", "url", "html").select("page_id", "url", "html").mapInPandas(
+    return require(pages, "page_id", "url", "html").select("page_id", "url", "html").mapInArrow(
         _parse, _PARSED
     )
 
