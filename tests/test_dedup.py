@@ -266,3 +266,20 @@ def test_similar_rows_of_two_tables(spark):
     assert 0.5 < near < 1
     assert got == pytest.approx({(i, k): v for i in (1, 2) for k, v in (("x", near), ("w", near), ("y", 1.0))})
     assert dedup.near_duplicates_between(a.limit(0), b, 0.5, PLAIN).count() == 0
+
+
+def test_rows_are_compared_with_few_texts_where_they_are(spark, monkeypatch):
+    texts = [t for _, _, t in random_rows(5, 120, 1000, 0.2)] + ["up up up gold", "the", None]
+    left = spark.createDataFrame([(i, t) for i, t in enumerate(texts[::4])], "id int, content string")
+    right = spark.createDataFrame([(f"r{i}" if i % 9 else None, t) for i, t in enumerate(texts)], "id string, content string")
+    by_index = dedup.near_duplicates_between(left, right, 0.4, PLAIN, held_chars=-1).collect()
+
+    def forbidden(*_):
+        raise AssertionError("an index of all texts is built")
+
+    monkeypatch.setattr(similarity.SimilarityIndex, "build", forbidden)
+    held = dedup.near_duplicates_between(left, right, 0.4, PLAIN).collect()
+    key = lambda r: (r["id_a"], r["id_b"] or "", r["similarity"])
+    assert len(held) == len(by_index) > 30
+    for got, want in zip(sorted(held, key=key), sorted(by_index, key=key), strict=True):
+        assert got[:2] == want[:2] and got[2] == pytest.approx(want[2])
