@@ -17,6 +17,15 @@ def shingles(text, k):
     return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1)) if words else frozenset()
 
 
+def test_sets_move_once_to_the_rows_that_want_them(spark, capsys):
+    nodes = spark.createDataFrame([(i % 40, [i % 40, 7]) for i in range(60)], "id long, tokens array<long>")
+    wanted = spark.createDataFrame([(3, 1), (3, 2), (41, 1), (30, 5)], "id long, v long")
+    found = setjoin._sets_of(nodes, wanted)
+    found.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(id") == 2
+    assert sorted((r["id"], r["v"], r["tokens"]) for r in found.collect()) == [(3, 1, [3, 7]), (3, 2, [3, 7]), (30, 5, [30, 7])]
+
+
 def brute_join(rows, p):
     """Multiset of (doc_id, size, smallest linked doc_id, links)."""
     sets = [(d, shingles(t, p.shingle_words)) for d, t in rows]

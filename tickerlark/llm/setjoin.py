@@ -20,12 +20,10 @@ from pyspark.sql import functions as F
 
 from tickerlark.llm.bytetext import shingle_set, text_bytes, word_hashes
 from tickerlark.llm.components import connected_components
-from tickerlark.llm.scratch import dropped, stored
+from tickerlark.llm.scratch import dropped, flagged, stored
 from tickerlark.operators.similarity import split_join
 
 
-#: Numbers of 64 bits in the table of :func:`_sets_of`.
-WORDS = 1 << 19
 #: Tells an added shingle from a removed one.
 ADDED = np.int64(0x5555555555555555)
 
@@ -130,8 +128,9 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, p: SetJoin) -> DataFrame:
             keep = [_differing(a, b) <= r for a, b, r in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), room.tolist(), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    own = nodes.groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    own = stored(own, "sketches")
+    ids = stored(pairs.select(F.col("u").alias("id")).unionAll(pairs.select("v")).distinct(), "ids")
+    own = flagged(nodes.select("id", "n", "sketch"), ids, "near").where("near")
+    own = stored(own.groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
     met = pairs.join(own.toDF("u", "nu", "su"), "u").join(own.toDF("v", "nv", "sv"), "v")
     return met.select("u", "v", "nu", "nv", "su", "sv").mapInArrow(run, "u long, v long")
 
@@ -208,18 +207,10 @@ def _postings(nodes: DataFrame, p: SetJoin) -> DataFrame:
     return dealt.mapInArrow(shared, "token long, id long, n long, pos long")
 
 
-def _sets_of(nodes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, tokens) of the nodes among ``ids``, each once; both may repeat.
-
-    A table of bits, never more than ``WORDS`` numbers, is broadcast and stops nearly all other
-    sets before they move; the join that follows is exact.
-    """
-    word, bit = F.pmod(F.xxhash64("id"), F.lit(WORDS)), F.shiftrightunsigned(F.xxhash64("id"), 58).cast("int")
-    ids = stored(ids.distinct(), "ids")
-    bits = ids.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    near = nodes.select("id", "tokens", word.alias("word")).join(F.broadcast(bits), "word")
-    near = near.where(F.call_function("shiftrightunsigned", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1)
-    return near.select("id", "tokens").join(ids.hint("merge"), "id").groupBy("id").agg(F.first("tokens").alias("tokens"))
+def _sets_of(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (id, ..) with the tokens of each id's node, which may repeat; they move once, by id."""
+    near = flagged(nodes.select("id", "tokens"), wanted.select("id"), "near").where("near")
+    return near.groupBy("id").agg(F.first("tokens").alias("tokens")).join(wanted.hint("merge"), "id")
 
 
 def _compared(pairs: DataFrame, nodes: DataFrame, least: int, p: SetJoin, differences: bool) -> DataFrame:
@@ -230,10 +221,8 @@ def _compared(pairs: DataFrame, nodes: DataFrame, least: int, p: SetJoin, differ
     load = pairs.groupBy("v").agg(F.count("*").alias("rows"))
     part = F.pmod(F.xxhash64("u"), F.ceil(F.col("rows") / p.slice_rows)).alias("part")
     dealt = stored(split_join(pairs, stored(load, "load"), "v", "rows").select("u", "v", part), "dealt")
-    sets = stored(_sets_of(nodes, dealt.select(F.col("u").alias("id")).unionAll(dealt.select(F.col("v").alias("id")))), "sets")
-    one = dealt.join(sets.withColumnRenamed("id", "u"), "u").select("v", "part", "u", "tokens")
-    two = dealt.select("v", "part").distinct().join(sets.withColumnRenamed("id", "v"), "v").select("v", "part", F.lit(None).cast("long").alias("u"), "tokens")
-    rows = one.unionAll(two).repartition("v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
+    both = dealt.select(F.col("u").alias("id"), "v", "part", "u").unionAll(dealt.select(F.col("v").alias("id"), "v", "part", F.lit(None).cast("long")).distinct())
+    rows = _sets_of(nodes, both).select("v", "part", "u", "tokens").repartition("v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -257,7 +246,7 @@ def _compared(pairs: DataFrame, nodes: DataFrame, least: int, p: SetJoin, differ
 
     schema = "u long, v long, removed array<long>, added array<long>" if differences else "u long, v long"
     out = stored(rows.select("v", "u", "tokens").mapInArrow(run, schema), "compared")
-    dropped(sets, dealt)
+    dropped(dealt)
     return out
 
 
