@@ -10,6 +10,7 @@ import pytest
 
 from tickerlark.llm import ann, minhash, oracles, queries, topk, urls
 from tickerlark.llm.components import connected_components
+from tickerlark.llm.scratch import flagged
 
 
 def shingles(text, k):
@@ -45,6 +46,28 @@ def check(spark, docs, p):
     assert got == want
 
 
+def shuffles(df, capsys):
+    df.explain()
+    return capsys.readouterr().out.count("Exchange hashpartitioning")
+
+
+def test_keys_move_once_and_those_met_once_end_there(spark, capsys):
+    reps = spark.createDataFrame([(5, 2, [1, 2]), (3, 4, [1, 3]), (4, 6, [1, 4]), (9, 1, [3, 5])], "doc_id long, n_shingles long, band_keys array<long>")
+    met = minhash._buckets(reps)
+    assert sorted(tuple(r) for r in met.select("key", "doc_id", "v", "n_shingles").collect()) == [(1, 3, 3, 4), (1, 4, 3, 6), (1, 5, 3, 2), (3, 3, 3, 4), (3, 9, 3, 1)]
+    assert shuffles(met, capsys) == 1
+
+
+def test_rows_without_a_flag_are_not_among_the_keys_and_stay(spark, capsys):
+    rows = spark.createDataFrame([(i if i % 7 else None, f"t{i}") for i in range(500)], "a long, __word string")
+    keys = spark.createDataFrame([(i,) for i in range(0, 500, 50)], "a long")
+    marked = flagged(rows, keys, "near")
+    assert marked.columns == ["a", "__word", "near"] and shuffles(marked.select("a", "near"), capsys) <= 1
+    got = {r["a"]: r["near"] for r in marked.collect()}
+    assert all(got[i] for i in range(50, 500, 50) if i % 7) and sum(got.values()) < 15
+    assert not any(r["near"] for r in flagged(rows, keys.limit(0), "near").collect())
+
+
 def family(rnd, base, n, changes):
     out = []
     for _ in range(n):

@@ -10,12 +10,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlark.llm.bytetext import mix, shingle_set, text_bytes, word_hashes
 from tickerlark.llm.components import connected_components
-from tickerlark.llm.scratch import dropped, free, stored
+from tickerlark.llm.scratch import dropped, flagged, free, stored
 from tickerlark.operators.similarity import split_join
 
 
@@ -101,6 +101,11 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose doc_id is not among ``ids``."""
+    return flagged(rows, ids.select("doc_id"), "near").where("near").drop("near")
+
+
 def _by_centre(pairs: DataFrame, rows: DataFrame, value: str, p: NearDup) -> DataFrame:
     """(v, u, value) sorted by v: first the value of v itself, with null u, then those of its partners.
 
@@ -109,8 +114,8 @@ def _by_centre(pairs: DataFrame, rows: DataFrame, value: str, p: NearDup) -> Dat
     load = stored(pairs.groupBy("v").agg(F.count("*").alias("n")), "load")
     part = F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / p.partners)).alias("part")
     dealt = stored(split_join(pairs, load, "v", "n").select("u", "v", part), "dealt")
-    one = dealt.join(rows.withColumnRenamed("doc_id", "u"), "u").select("v", "part", "u", value)
-    two = dealt.select("v", "part").distinct().join(rows.withColumnRenamed("doc_id", "v"), "v")
+    one = dealt.join(_among(rows, dealt.select(F.col("u").alias("doc_id"))).withColumnRenamed("doc_id", "u"), "u").select("v", "part", "u", value)
+    two = dealt.select("v", "part").distinct().join(_among(rows, dealt.select(F.col("v").alias("doc_id"))).withColumnRenamed("doc_id", "v"), "v")
     both = one.unionByName(two.select("v", "part", F.lit(None).cast("long").alias("u"), value))
     return both.repartition("v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first()).select("v", "u", value)
 
@@ -152,7 +157,8 @@ def _texts_of(docs: DataFrame, sig: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, text) of the nodes ``ids`` of ``sig``, found by number and digest of the text."""
     wanted = ids.distinct().join(sig.select("doc_id", "given_id", "text_key"), "doc_id")
     keyed = docs.select(F.col("doc_id").cast("long").alias("given_id"), F.col("text").cast("string").alias("text"))
-    keyed = keyed.withColumn("text_key", _text_key())
+    wanted = stored(wanted, "wanted")
+    keyed = flagged(keyed, wanted.select("given_id"), "near").where("near").drop("near").withColumn("text_key", _text_key())
     return keyed.join(wanted, ["given_id", "text_key"]).groupBy("doc_id").agg(F.first("text").alias("text"))
 
 
@@ -160,10 +166,20 @@ def _text_key() -> Column:
     return F.coalesce(F.concat(F.lit(b"1"), F.unhex(F.md5("text"))), F.lit(b"0"))
 
 
+def _buckets(reps: DataFrame) -> DataFrame:
+    """(key, doc_id, n_shingles, v): members of the buckets that have several, and the smallest of them.
+
+    Nearly all keys are met once: they move once and end there.
+    """
+    keyed = reps.select("doc_id", "n_shingles", F.explode("band_keys").alias("key"))
+    of_key = Window.partitionBy("key")
+    met = keyed.select("*", F.min("doc_id").over(of_key).alias("v"), F.max("doc_id").over(of_key).alias("last"))
+    return met.where("v < last").drop("last")
+
+
 def _stars(buckets: DataFrame) -> DataFrame:
     """Each member of a bucket with the smallest document of the bucket."""
-    centres = buckets.groupBy("key").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).where("n > 1")
-    return buckets.join(centres.select("key", "v"), "key").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
+    return buckets.where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
 
 
 def _crowded_blocks(buckets: DataFrame, comps: DataFrame, p: NearDup) -> DataFrame:
@@ -232,11 +248,12 @@ def _rest_links(buckets: DataFrame, comps: DataFrame, docs: DataFrame, sig: Data
 
     short = sig.select("doc_id", "signature")
     schema = "block long, side string, doc_id long, comp long"
-    left = stored(_crowded_blocks(buckets, comps, p).join(short, "doc_id").groupBy("block").applyInPandas(promising, schema), "promising")
+    blocks = stored(_crowded_blocks(buckets, comps, p), "blocks")
+    left = stored(blocks.join(_among(short, blocks), "doc_id").groupBy("block").applyInPandas(promising, schema), "promising")
     if left.isEmpty():
         return left.selectExpr("doc_id as u", "doc_id as v")
     texts = _texts_of(docs, sig, left.select("doc_id"))
-    full = left.join(short, "doc_id").join(texts, "doc_id")
+    full = left.join(_among(short, left), "doc_id").join(texts, "doc_id")
     return full.groupBy("block").applyInPandas(exact, "u long, v long")
 
 
@@ -251,9 +268,10 @@ def _judged(docs: DataFrame, p: NearDup) -> DataFrame:
         nodes = sig.groupBy("given_id", "text_key").agg(F.min(order).alias("x")).select("given_id", "text_key", "x.*")
         sig = stored(nodes.withColumn("doc_id", F.monotonically_increasing_id()), "signatures")
     some = sig.where("n_shingles > 0")
-    classes = stored(some.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = stored(some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").drop("set_key"), "representatives")
-    buckets = reps.select("doc_id", "n_shingles", F.explode("band_keys").alias("key"))
+    first = F.min_by(F.struct(*[c for c in some.columns if c != "set_key"]), "doc_id").alias("x")
+    reps = stored(some.groupBy("set_key").agg(first).select("set_key", "x.*"), "representatives")
+    classes = reps.select("set_key", F.col("doc_id").alias("rep"))
+    buckets = stored(_buckets(reps), "buckets")
     stars = stored(_stars(buckets), "stars")
     alike = stored(_alike(stars, reps, p), "alike")
     dropped(stars)
@@ -308,8 +326,11 @@ def drop_near_duplicates(docs: DataFrame, p: NearDup | None = None) -> DataFrame
     gone = found.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
     id_name, key_name = free(docs, "__id"), free(docs, "__key")
     gone = stored(gone.toDF(id_name, key_name), "gone")
-    keyed = docs.withColumn(id_name, F.col("doc_id").cast("long")).withColumn(key_name, _text_key())
-    kept = keyed.join(gone, [id_name, key_name], "left_anti")
+    near = free(docs, "__near")
+    keyed = flagged(docs.withColumn(id_name, F.col("doc_id").cast("long")), gone.select(id_name), near)
+    keyed = keyed.withColumn(key_name, _text_key())
+    # Only documents that may be among those gone are moved.
+    kept = keyed.where(F.col(near)).join(gone, [id_name, key_name], "left_anti").unionByName(keyed.where(~F.col(near))).drop(near)
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept.select(*docs.columns)
     first = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row")
