@@ -39,21 +39,38 @@ def _schema(key: str, width: int) -> str:
 
 
 def _blocks(entries: DataFrame, p: Svd) -> DataFrame:
-    """(block, row, column, value): all entries of a row are in one block."""
+    """(block, rows, columns, sums, row, column, value): the entries in blocks, a row of arrays for each.
+
+    All entries of a row are in one block, by row. ``row`` and ``column`` are places in ``rows`` and
+    ``columns``, the names met in the block; ``sums`` are those of its columns.
+    """
     n = entries.count()
     block = F.pmod(F.xxhash64("row"), F.lit(max(1, -(-n // p.block_entries))))
-    return materialise(entries.withColumn("block", block))
+
+    def packed(table: pa.Table) -> pa.Table:
+        row, column = (table[c].combine_chunks().dictionary_encode("encode") for c in ("row", "column"))
+        value, at, to = table["value"].to_numpy(), row.indices.to_numpy(), column.indices.to_numpy()
+        order = np.argsort(at, kind="stable")
+        sums = np.bincount(to, value)
+        arrays = [row.dictionary, column.dictionary, pa.array(sums), *(pa.array(x[order]) for x in (at, to, value))]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in arrays]
+        return pa.Table.from_arrays([table["block"].combine_chunks()[:1], *lists], names=["block", "rows", "columns", "sums", "row", "column", "value"])
+
+    schema = f"block bigint, rows array<{dict(entries.dtypes)['row']}>, columns array<string>, sums array<double>, row array<int>, column array<int>, value array<double>"
+    return materialise(entries.withColumn("block", block.cast("bigint")).groupBy("block").applyInArrow(packed, schema))
+
+
+def _places(blocks: DataFrame) -> DataFrame:
+    """(block, row, column, value, n): the numbers of each block, without names; ``n`` counts its columns."""
+    return blocks.select("block", "row", "column", "value", F.size("columns").alias("n"))
 
 
-def _times(entries: pd.DataFrame, factor: pd.DataFrame, turn: np.ndarray, shift: np.ndarray, width: int) -> tuple:
-    """The rows of a block times the factor: (row names, product, row and column of each entry, column names)."""
-    row, rows = pd.factorize(entries["row"])
-    columns = pd.Index(factor["column"])
-    column = columns.get_indexer(entries["column"])
-    dense = factor[_names(width)].to_numpy() @ turn
-    out = np.zeros((len(rows), turn.shape[1]))
-    np.add.at(out, row, entries["value"].to_numpy()[:, None] * dense[column])
-    return rows, out - shift, row, column, columns
+def _times(block: pd.DataFrame, factor: pd.DataFrame, turn: np.ndarray, shift: np.ndarray, width: int) -> np.ndarray:
+    """The rows of a block times the factor."""
+    row, column, value = (block[c].iloc[0] for c in ("row", "column", "value"))
+    dense = np.zeros((int(block["n"].iloc[0]), turn.shape[1]))
+    dense[factor["pos"].to_numpy()] = factor[_names(width)].to_numpy() @ turn
+    return np.add.reduceat(value[:, None] * dense[column], np.flatnonzero(np.diff(row, prepend=-1)), axis=0) - shift
 
 
 def _multiplied(blocks: DataFrame, needed: DataFrame, factor: DataFrame, turn: np.ndarray, shift: np.ndarray) -> DataFrame:
@@ -63,23 +80,23 @@ def _multiplied(blocks: DataFrame, needed: DataFrame, factor: DataFrame, turn: n
     """
     width = turn.shape[1]
 
-    def product(entries: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if not len(entries):
+    def product(block: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(block):
             return pd.DataFrame(columns=["column", "at", "sum", *_names(width)])
-        _, y, row, column, columns = _times(entries, own, turn, shift, width)
-        value = entries["value"].to_numpy()
-        back, sums = np.zeros((len(columns), width)), np.zeros(len(columns))
-        np.add.at(back, column, value[:, None] * y[row])
-        np.add.at(sums, column, value)
+        y = _times(block, own, turn, shift, width)
+        row, column, value = (block[c].iloc[0] for c in ("row", "column", "value"))
+        order = np.argsort(column, kind="stable")
+        starts = np.flatnonzero(np.diff(column[order], prepend=-1))
+        back = np.add.reduceat(value[order][:, None] * y[row[order]], starts, axis=0)[own["pos"].to_numpy()]
         gram = np.vstack([y.T @ y, y.sum(axis=0)])
         out = pd.DataFrame(np.vstack([back, gram]), columns=_names(width))
-        out.insert(0, "column", [*columns, *[None] * (width + 1)])
-        out.insert(1, "at", [0] * len(columns) + [*range(width), -1])
-        out.insert(2, "sum", np.append(sums, np.zeros(width + 1)))
+        out.insert(0, "column", [*own["column"], *[None] * (width + 1)])
+        out.insert(1, "at", [0] * len(own) + [*range(width), -1])
+        out.insert(2, "sum", np.append(own["sum"].to_numpy(), np.zeros(width + 1)))
         return out
 
-    met = needed.join(factor, "column")
-    parts = blocks.groupBy("block").cogroup(met.groupBy("block")).applyInPandas(product, _schema("column string, at int, sum double", width))
+    met = needed.join(factor.drop("sum"), "column")
+    parts = _places(blocks).groupBy("block").cogroup(met.groupBy("block")).applyInPandas(product, _schema("column string, at int, sum double", width))
     return parts.groupBy("column", "at").agg(*[F.sum(c).alias(c) for c in ["sum", *_names(width)]])
 
 
@@ -133,14 +150,16 @@ def principal_components(entries: DataFrame, k: int, rows: int | None = None, p:
     """
     p = p or Svd()
     blocks = _blocks(entries.select("row", F.col("column").cast("string").alias("column"), F.col("value").cast("double").alias("value")), p)
-    n = rows if rows is not None else blocks.select("row").distinct().count()
-    needed = materialise(blocks.select("block", "column").distinct())
-    columns = materialise(blocks.groupBy("column").agg(F.sum("value").alias("sum")))
+    named = blocks.select(F.coalesce(F.sum(F.size("rows")), F.lit(0))).first()[0]
+    n = rows if rows is not None else named
+    zipped = F.arrays_zip(F.col("columns").alias("column"), F.col("sums").alias("sum"))
+    needed = materialise(blocks.select("block", F.posexplode(zipped).alias("pos", "x")).select("block", "pos", "x.column", "x.sum"))
+    columns = materialise(needed.groupBy("column").agg(F.sum("sum").alias("sum")))
     width = min(k + p.oversample, columns.count())
     if not width:
-        return blocks.select("row", F.array().cast("array<double>").alias("components")), np.zeros(0), np.zeros(0)
+        return blocks.select(F.explode("rows").alias("row"), F.array().cast("array<double>").alias("components")), np.zeros(0), np.zeros(0)
     factor = materialise(_random_factor(columns, width))
-    empty = n - blocks.select("row").distinct().count() if rows is not None else 0
+    empty = n - named
     ones, before = np.zeros(width), np.zeros(min(k, width))
     for _ in range(max(1, p.steps)):
         shift, turn = _turned(factor, n, ones, width, p)
@@ -200,14 +219,14 @@ def _scores(blocks: DataFrame, needed: DataFrame, factor: DataFrame, n: int, one
     for row in signs:
         sign[row["at"]] = -1.0 if row["cubes"] < 0 else 1.0
     turn, shift = turn * sign, shift * sign
-    kind = dict(blocks.dtypes)["row"]
 
-    def scores(entries: pd.DataFrame, factor: pd.DataFrame) -> pd.DataFrame:
-        if not len(entries):
-            return pd.DataFrame(columns=["row", "components"])
-        names, y, *_ = _times(entries, factor, turn, shift, width)
-        return pd.DataFrame({"row": names, "components": list(y)})
+    def scores(block: pd.DataFrame, factor: pd.DataFrame) -> pd.DataFrame:
+        if not len(block):
+            return pd.DataFrame(columns=["block", "components"])
+        return pd.DataFrame({"block": block["block"], "components": [list(_times(block, factor, turn, shift, width))]})
 
     met = needed.join(own, "column")
-    out = blocks.groupBy("block").cogroup(met.groupBy("block")).applyInPandas(scores, f"row {kind}, components array<double>")
+    found = _places(blocks).groupBy("block").cogroup(met.groupBy("block")).applyInPandas(scores, "block bigint, components array<array<double>>")
+    zipped = F.arrays_zip(F.col("rows").alias("row"), F.col("components").alias("components"))
+    out = blocks.select("block", "rows").join(found, "block").select(F.inline(zipped))
     return out, value[:k], -shift
