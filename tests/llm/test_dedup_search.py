@@ -7,8 +7,9 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tickerlark.llm import ann, minhash, oracles, queries, topk, urls
+from tickerlark.llm import ann, minhash, oracles, queries, scratch, topk, urls
 from tickerlark.llm.components import connected_components
 from tickerlark.llm.scratch import flagged
 
@@ -315,3 +316,20 @@ def test_query_equals_its_sql(spark, small, name):
     assert sorted(names) == columns
     want = sorted(tuple(repr(r[names.index(c)]) for c in columns) for r in cursor.fetchall())
     assert sorted(tuple(repr(r[c]) for c in columns) for r in df.collect()) == want
+
+
+def test_only_rows_that_may_be_among_the_keys_are_made(spark, capsys):
+    rows = spark.createDataFrame([(i if i % 7 else None, f"t{i % 400}") for i in range(500)] * 2, "a long, __word string")
+    keys = spark.createDataFrame([(i,) for i in range(0, 500, 50)] + [(None,)], "a long")
+    found = scratch.among(rows, keys)
+    assert found.columns == rows.columns and shuffles(found, capsys) <= 1
+    flags = flagged(rows, keys, "near").where("near").drop("near")
+    assert sorted(map(str, found.collect())) == sorted(map(str, flags.collect()))
+    assert scratch.among(rows, keys.limit(0)).isEmpty()
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(9)], "doc_id long, text string")
+    sig = minhash.signatures(docs, minhash.NearDup()).withColumn("given_id", F.col("doc_id"))
+    for df in (found, minhash._texts_of(docs, sig, docs.select("doc_id").limit(3))):
+        capsys.readouterr()
+        df.explain()
+        plan = capsys.readouterr().out
+        assert "LeftSemi" in plan and "LeftOuter" not in plan

@@ -202,3 +202,19 @@ def test_pairs_that_go_together_equal_the_merges():
         met[goes] += 1
         assert goes == (tokens.merged(tokens.bytes_of[a] + tokens.bytes_of[b]) == [a, b])
     assert min(met.values()) > 100
+
+
+def test_what_a_worker_remembers_and_holds_is_bounded(spark, monkeypatch):
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    rnd = random.Random(4)
+    said = [" ".join("".join(rnd.choices("abcdeé1", k=rnd.randint(1, 9))) for _ in range(40)) for _ in range(60)]
+    monkeypatch.setattr(bpe, "MOST_PAIRS", 50)
+    few, many = bpe.ByteBpe(ranks, P.PATTERN, 20), bpe.ByteBpe(ranks, P.PATTERN)
+    for text in said:
+        assert few.encode(text) == many.encode(text)
+    for held, most in ((few.after_space, 20), (few.inside, 5)):
+        assert len(held) <= most and len(held.before) <= most
+    assert len(few.pairs) <= 50 and all(isinstance(x, bytes) for x in many.after_space.values())
+    docs = spark.createDataFrame(list(enumerate(said * 20)), "doc_id long, text string").coalesce(1)
+    rows = bpe.encode_documents(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect()
+    assert {r["doc_id"]: r["ids"] for r in rows} == {i: many.encode(t) for i, t in enumerate(said * 20)}

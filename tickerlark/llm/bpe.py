@@ -5,10 +5,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import unicodedata
-from collections.abc import Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -16,6 +17,11 @@ from pyspark.sql import functions as F
 
 from tickerlark.llm.chunks import PLAIN, Remembered, chunks, once
 
+#: Neighbours of which a worker knows whether they go together, before it begins anew.
+MOST_PAIRS = 200_000
+#: Texts whose ids are held at once.
+HELD_ROWS = 500
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a file of lines ``base64 rank``."""
@@ -23,6 +29,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def packed(ids: Iterable[int]) -> bytes:
+    """Ids as bytes of four each: what is remembered takes less room, and is joined, as bytes."""
+    return array("i", ids).tobytes()
+
+
 class ByteBpe:
     """Encodes and decodes by a rank table and the pattern that cuts texts.
 
@@ -32,7 +43,7 @@ class ByteBpe:
     position that has failed is tried again, hence linear time.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = 250_000):
         self.ranks, self.bytes_of = ranks, {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern)
         #: The two parts that the last merge of a token joins.
@@ -60,8 +71,8 @@ class ByteBpe:
                 if b[:n] in able:
                     self.shorter[ranks[b]] = ranks[b[:n]]
                     break
-        self.after_space = Remembered(self._after_space, most=250_000)
-        self.inside = Remembered(lambda piece: self.encode_piece(piece.encode()), most=50_000)
+        self.after_space = Remembered(self._after_space, most=remembered)
+        self.inside = Remembered(lambda piece: packed(self.encode_piece(piece.encode())), most=remembered // 4)
 
     def _merged(self, piece: bytes) -> list[bytes]:
         """The merges themselves, in rank order; for single tokens, which are short."""
@@ -120,6 +131,8 @@ class ByteBpe:
             if fits and before >= 0:
                 fits = pairs.get((before, token))
                 if fits is None:
+                    if len(pairs) >= MOST_PAIRS:
+                        pairs.clear()
                     fits = pairs[before, token] = self._goes(before, token)
             if fits:
                 out.append(token)
@@ -141,32 +154,35 @@ class ByteBpe:
         seen = "".join("\ue000" if unicodedata.category(c) == "Cn" else c for c in text)
         return [text[m.start() : m.end()] for m in self.pattern.finditer(seen)]
 
-    def _after_space(self, chunk: str) -> list[int]:
+    def _after_space(self, chunk: str) -> bytes:
         plain = PLAIN(" " + chunk)
         if plain is None:
             return self._cut(" " + chunk)
         if plain[2]:
-            return self.after_space[chunk[:-1]] + self.encode_piece(plain[2].encode())
-        return self.encode_piece(plain[1].encode())
+            return self.after_space[chunk[:-1]] + packed(self.encode_piece(plain[2].encode()))
+        return packed(self.encode_piece(plain[1].encode()))
 
-    def _cut(self, chunk: str) -> list[int]:
-        return [i for piece in self.pieces(chunk) for i in self.inside[piece]]
+    def _cut(self, chunk: str) -> bytes:
+        return b"".join([self.inside[piece] for piece in self.pieces(chunk)])
 
-    def encode(self, text: str) -> list[int]:
+    def ids(self, text: str) -> np.ndarray:
         first, *rest = chunks(text)
-        return list(chain(self._cut(first), *map(self.after_space.__getitem__, rest)))
+        return np.frombuffer(b"".join([self._cut(first), *map(self.after_space.__getitem__, rest)]), np.int32)
+
+    def encode(self, text: str) -> list[int]:
+        return self.ids(text).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-def _encoded(docs: DataFrame, ranks: str, pattern: str, columns: dict[str, tuple[str, pa.DataType]], row) -> DataFrame:
+def _encoded(docs: DataFrame, ranks: str, pattern: str, columns: dict[str, tuple[str, pa.DataType]], row, remembered: int = 250_000) -> DataFrame:
     """``row(bpe, text)`` for each text, beside its doc_id."""
     sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = once((ranks, pattern, len(sent.value)), lambda: ByteBpe(sent.value, pattern))
-        for batch in batches:
+        bpe = once((ranks, pattern, len(sent.value), remembered), lambda: ByteBpe(sent.value, pattern, remembered))
+        for batch in (whole.slice(at, HELD_ROWS) for whole in batches for at in range(0, whole.num_rows, HELD_ROWS)):
             rows = [row(bpe, x.as_py() or "") for x in batch.column(1)]
             made = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(columns.values())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", *columns])
@@ -175,19 +191,19 @@ def _encoded(docs: DataFrame, ranks: str, pattern: str, columns: dict[str, tuple
     return rows.mapInArrow(run, ", ".join(["doc_id long", *(f"{k} {v[0]}" for k, v in columns.items())]))
 
 
-def encode_documents(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks: str, pattern: str, remembered: int = 100_000) -> DataFrame:
     """(doc_id, n_tokens, ids) for each row of ``docs(doc_id, text)``.
 
     ``ranks`` is the path of a rank file, read by the driver and broadcast (bounded by the
-    vocabulary). One narrow pass over whole texts. Null text is empty and has no ids. Repeated
+    vocabulary). A worker remembers twice ``remembered`` chunks at most, some 100 MB. One narrow pass over whole texts. Null text is empty and has no ids. Repeated
     and null doc_id rows are encoded row by row; other columns are ignored.
     """
 
     def row(bpe: ByteBpe, text: str) -> tuple:
-        ids = bpe.encode(text)
+        ids = bpe.ids(text)
         return len(ids), ids
 
-    return _encoded(docs, ranks, pattern, {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32()))}, row)
+    return _encoded(docs, ranks, pattern, {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32()))}, row, remembered)
 
 
 def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickerlark.llm.bytetext import mix, shingle_set, text_bytes, word_hashes
 from tickerlark.llm.components import connected_components
-from tickerlark.llm.scratch import dropped, flagged, free, stored
+from tickerlark.llm.scratch import among, dropped, flagged, free, stored
 from tickerlark.operators.similarity import split_join
 
 
@@ -101,11 +101,6 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose doc_id is not among ``ids``."""
-    return flagged(rows, ids.select("doc_id"), "near").where("near").drop("near")
-
-
 def _by_centre(pairs: DataFrame, rows: DataFrame, value: str, p: NearDup) -> DataFrame:
     """(v, u, value) sorted by v: first the value of v itself, with null u, then those of its partners.
 
@@ -114,8 +109,8 @@ def _by_centre(pairs: DataFrame, rows: DataFrame, value: str, p: NearDup) -> Dat
     load = stored(pairs.groupBy("v").agg(F.count("*").alias("n")), "load")
     part = F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / p.partners)).alias("part")
     dealt = stored(split_join(pairs, load, "v", "n").select("u", "v", part), "dealt")
-    one = dealt.join(_among(rows, dealt.select(F.col("u").alias("doc_id"))).withColumnRenamed("doc_id", "u"), "u").select("v", "part", "u", value)
-    two = dealt.select("v", "part").distinct().join(_among(rows, dealt.select(F.col("v").alias("doc_id"))).withColumnRenamed("doc_id", "v"), "v")
+    one = dealt.join(among(rows, dealt.select(F.col("u").alias("doc_id"))).withColumnRenamed("doc_id", "u"), "u").select("v", "part", "u", value)
+    two = dealt.select("v", "part").distinct().join(among(rows, dealt.select(F.col("v").alias("doc_id"))).withColumnRenamed("doc_id", "v"), "v")
     both = one.unionByName(two.select("v", "part", F.lit(None).cast("long").alias("u"), value))
     return both.repartition("v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first()).select("v", "u", value)
 
@@ -158,7 +153,7 @@ def _texts_of(docs: DataFrame, sig: DataFrame, ids: DataFrame) -> DataFrame:
     wanted = ids.distinct().join(sig.select("doc_id", "given_id", "text_key"), "doc_id")
     keyed = docs.select(F.col("doc_id").cast("long").alias("given_id"), F.col("text").cast("string").alias("text"))
     wanted = stored(wanted, "wanted")
-    keyed = flagged(keyed, wanted.select("given_id"), "near").where("near").drop("near").withColumn("text_key", _text_key())
+    keyed = among(keyed, wanted.select("given_id")).withColumn("text_key", _text_key())
     return keyed.join(wanted, ["given_id", "text_key"]).groupBy("doc_id").agg(F.first("text").alias("text"))
 
 
@@ -249,11 +244,11 @@ def _rest_links(buckets: DataFrame, comps: DataFrame, docs: DataFrame, sig: Data
     short = sig.select("doc_id", "signature")
     schema = "block long, side string, doc_id long, comp long"
     blocks = stored(_crowded_blocks(buckets, comps, p), "blocks")
-    left = stored(blocks.join(_among(short, blocks), "doc_id").groupBy("block").applyInPandas(promising, schema), "promising")
+    left = stored(blocks.join(among(short, blocks.select("doc_id")), "doc_id").groupBy("block").applyInPandas(promising, schema), "promising")
     if left.isEmpty():
         return left.selectExpr("doc_id as u", "doc_id as v")
     texts = _texts_of(docs, sig, left.select("doc_id"))
-    full = left.join(_among(short, left), "doc_id").join(texts, "doc_id")
+    full = left.join(among(short, left.select("doc_id")), "doc_id").join(texts, "doc_id")
     return full.groupBy("block").applyInPandas(exact, "u long, v long")
 
 

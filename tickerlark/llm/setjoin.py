@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tickerlark.llm.bytetext import shingle_set, text_bytes, word_hashes
 from tickerlark.llm.components import connected_components
-from tickerlark.llm.scratch import dropped, flagged, stored
+from tickerlark.llm.scratch import among, dropped, stored
 from tickerlark.operators.similarity import split_join
 
 
@@ -129,7 +129,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, p: SetJoin) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     ids = stored(pairs.select(F.col("u").alias("id")).unionAll(pairs.select("v")).distinct(), "ids")
-    own = flagged(nodes.select("id", "n", "sketch"), ids, "near").where("near")
+    own = among(nodes.select("id", "n", "sketch"), ids)
     own = stored(own.groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
     met = pairs.join(own.toDF("u", "nu", "su"), "u").join(own.toDF("v", "nv", "sv"), "v")
     return met.select("u", "v", "nu", "nv", "su", "sv").mapInArrow(run, "u long, v long")
@@ -209,7 +209,7 @@ def _postings(nodes: DataFrame, p: SetJoin) -> DataFrame:
 
 def _sets_of(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (id, ..) with the tokens of each id's node, which may repeat; they move once, by id."""
-    near = flagged(nodes.select("id", "tokens"), wanted.select("id"), "near").where("near")
+    near = among(nodes.select("id", "tokens"), wanted.select("id"))
     return near.groupBy("id").agg(F.first("tokens").alias("tokens")).join(wanted.hint("merge"), "id")
 
 
