@@ -218,3 +218,31 @@ def test_what_a_worker_remembers_and_holds_is_bounded(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(said * 20)), "doc_id long, text string").coalesce(1)
     rows = bpe.encode_documents(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect()
     assert {r["doc_id"]: r["ids"] for r in rows} == {i: many.encode(t) for i, t in enumerate(said * 20)}
+
+
+def test_ids_are_joined_and_decoded_by_tables():
+    ranks = {bytes([c]): 3 * c for c in range(256)} | {b"ab": 1000, b"abc": 70_000, b"  ": 900}
+    for table in (ranks, {b: i for i, b in enumerate(sorted(ranks, key=ranks.get))}):
+        made = bpe.ByteBpe(table, r"[a-d]+|\s+|\S")
+        for text in ("", "a", "abcab dé  \0中", "abc" * 50):
+            ids = made.encode(text)
+            assert made.decode(ids) == text.encode() and made.digits(ids) == ",".join(map(str, ids)).encode()
+        with pytest.raises(KeyError):
+            made.decode([max(table.values()) + 1])
+
+
+def test_what_goes_after_a_token_is_looked_up_once():
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    made, asked = bpe.ByteBpe(ranks, P.PATTERN), []
+
+    class Asked(dict):
+        def get(self, *key):
+            asked.append(key)
+            return dict.get(self, *key)
+
+    rnd = random.Random(6)
+    said = ["".join(rnd.choices(["th", "er", "on", "ing", "ent", "ble", "ti", "and", "es", "re"], k=4)).encode() for _ in range(300)]
+    first = [made.encode_piece(x) for x in said]
+    made.pairs = Asked(made.pairs)
+    assert [made.encode_piece(x) for x in said] == first
+    assert len(asked) <= 2.3 * sum(len(x) - 1 for x in first)  # 2.7 when each pair was asked for alone

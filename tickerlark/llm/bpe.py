@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tickerlark.llm.chunks import PLAIN, Remembered, chunks, once
 
-#: Neighbours of which a worker knows whether they go together, before it begins anew.
+#: Tokens of which a worker knows what goes after another one, before it begins anew.
 MOST_PAIRS = 200_000
 #: Texts whose ids are held at once.
 HELD_ROWS = 500
@@ -58,7 +58,14 @@ class ByteBpe:
         #: Whether each merge joins older tokens, as trained tables do.
         self.in_order = all(max(x) < rank for rank, x in self.halves.items())
         self.size_of = {i: len(b) for b, i in ranks.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        #: All ids in order, whether they are 0, 1, .., their bytes, and their digits with a comma and zero bytes.
+        self.known = np.array(sorted(self.bytes_of), np.int32)
+        self.dense = bool((self.known == np.arange(len(self.known))).all())
+        self.token_bytes = pa.array([self.bytes_of[i] for i in self.known.tolist()], pa.large_binary())
+        digits = np.array([b"%d," % i for i in self.known.tolist()])
+        self.token_digits = digits.view(np.uint8).reshape(len(digits), -1)
+        #: After a token: the longest token at a place that goes with it, from the given one on; -1 if none does.
+        self.pairs: dict[int, int] = {}
         self.trie = ahocorasick.Automaton()
         for b in alone:
             self.trie.add_word(b.decode("latin-1"), ranks[b])
@@ -126,26 +133,34 @@ class ByteBpe:
         closed: set[int] = set()
         at, before = 0, -1
         while True:
-            end = at + size_of[token]
-            fits = end not in closed
-            if fits and before >= 0:
-                fits = pairs.get((before, token))
-                if fits is None:
-                    if len(pairs) >= MOST_PAIRS:
-                        pairs.clear()
-                    fits = pairs[before, token] = self._goes(before, token)
-            if fits:
-                out.append(token)
-                if end == size:
-                    return out
-                at, before, token = end, token, longest[end]
-            elif token in shorter:
-                token = shorter[token]
-            else:
+            if before >= 0 and token >= 0:
+                fits = pairs.get(before << 32 | token)
+                token = self._fit(before, token) if fits is None else fits
+            if token < 0:
                 closed.add(at)
                 token = out.pop()
                 at -= size_of[token]
                 before = out[-1] if out else -1
+                token = shorter.get(token, -1)
+                continue
+            end = at + size_of[token]
+            if closed and end in closed:
+                token = shorter.get(token, -1)
+                continue
+            out.append(token)
+            if end == size:
+                return out
+            at, before, token = end, token, longest[end]
+
+    def _fit(self, before: int, token: int) -> int:
+        """The longest token that goes after ``before``, of ``token`` and the shorter ones at its place; -1 if none."""
+        if len(self.pairs) >= MOST_PAIRS:
+            self.pairs.clear()
+        fits = token
+        while fits >= 0 and not self._goes(before, fits):
+            fits = self.shorter.get(fits, -1)
+        self.pairs[before << 32 | token] = fits
+        return fits
 
     def pieces(self, text: str) -> list[str]:
         """The matches of the pattern; letters newer than this Python's tables count as symbols."""
@@ -155,6 +170,8 @@ class ByteBpe:
         return [text[m.start() : m.end()] for m in self.pattern.finditer(seen)]
 
     def _after_space(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return packed(self.encode_piece((" " + chunk).encode()))
         plain = PLAIN(" " + chunk)
         if plain is None:
             return self._cut(" " + chunk)
@@ -172,8 +189,24 @@ class ByteBpe:
     def encode(self, text: str) -> list[int]:
         return self.ids(text).tolist()
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def _at(self, ids: Iterable[int]) -> np.ndarray:
+        """The places of ids in ``known``."""
+        ids = np.asarray(ids, np.int32)
+        at = ids if self.dense else np.searchsorted(self.known, ids)
+        if len(ids) and (at.min() < 0 or at.max() >= len(self.known) or (not self.dense and (self.known[at] != ids).any())):
+            raise KeyError("an id without a token")
+        return at
+
+    def decode(self, ids: Iterable[int]) -> bytes:
+        at = self._at(ids)
+        if not len(at):
+            return b""
+        _, ends, data = self.token_bytes.take(pa.array(at)).buffers()
+        return bytes(memoryview(data)[: np.frombuffer(ends, np.int64)[len(at)]])
+
+    def digits(self, ids: Iterable[int]) -> bytes:
+        """The ids in decimal, joined by commas."""
+        return self.token_digits.take(self._at(ids), axis=0).tobytes().translate(None, b"\0")[:-1]
 
 
 def _encoded(docs: DataFrame, ranks: str, pattern: str, columns: dict[str, tuple[str, pa.DataType]], row, remembered: int = 250_000) -> DataFrame:
@@ -230,8 +263,7 @@ def round_trip_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """
 
     def row(bpe: ByteBpe, text: str) -> tuple:
-        ids = bpe.encode(text)
-        joined = ",".join(map(str, ids))
-        return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()
+        ids = bpe.ids(text)
+        return len(ids), hashlib.sha256(bpe.digits(ids)).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()
 
     return _encoded(docs, ranks, pattern, {"n_tokens": ("long", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}, row)
