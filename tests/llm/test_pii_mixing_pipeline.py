@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickerlark.llm import langid, mixing, pii, queries
+from tickerlark.llm import langid, mixing, pii, queries, scratch
 from tickerlark.llm.bytetext import word_hashes
 
 SECRET = pii.Pii("key one")
@@ -248,3 +248,22 @@ def test_stages_keep_clashing_columns_and_rows_without_labels(spark):
     labelled = docs.selectExpr("doc_id", "if(doc_id % 2 = 0, 'clean', 'junk') as domain")
     mixed = mixing.mixed_documents(docs, labelled, {"clean": 0.5, "junk": 0.5})
     assert mixed.columns == docs.columns and mixed.exceptAll(docs.union(docs).union(docs)).isEmpty()
+
+
+def test_workers_get_few_texts_at_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    whole = mixing.text_bytes
+
+    def counted(column):
+        seen.add(int(len(column) > mixing.HANDED_ROWS))
+        return whole(column)
+
+    monkeypatch.setattr(mixing, "text_bytes", counted)
+    before = spark.conf.get(scratch.BATCH_ROWS)
+    docs = spark.range(0, 5000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    told = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, "x").otherwise("y").alias("domain"))
+    with pytest.raises(ZeroDivisionError), scratch.rows_at_once(spark, 10):
+        assert spark.conf.get(scratch.BATCH_ROWS) == "10"
+        1 / 0
+    assert mixing.mixing_rates(docs, told, {"x": 0.5, "y": 0.5}, mixing.MixSettings(per_domain=5000, steps=2)).count() == 5000
+    assert seen.value == 0 and spark.conf.get(scratch.BATCH_ROWS) == before

@@ -13,8 +13,10 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tickerlark.llm.bytetext import text_bytes, word_hashes
 from tickerlark.llm.langid import softmax
-from tickerlark.llm.scratch import free, stored
+from tickerlark.llm.scratch import free, rows_at_once, stored
 
+#: Texts that a Python worker is handed at once, a whole number of the blocks that are judged together.
+HANDED_ROWS = 1024
 #: A hash sample takes a share of so many slots; enough for shares of a few in 10**12 rows.
 SLOTS = 1 << 50
 
@@ -75,7 +77,8 @@ def train_domains(docs: DataFrame, labelled: DataFrame, s: MixSettings) -> Domai
 
     texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     rows = texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), "domain", "text").mapInArrow(run, "doc_id string, domain string, at binary, x binary")
-    sample = sorted((r["domain"], r["doc_id"], bytes(r["at"]), bytes(r["x"])) for r in rows.collect())
+    with rows_at_once(docs.sparkSession, HANDED_ROWS):
+        sample = sorted((r["domain"], r["doc_id"], bytes(r["at"]), bytes(r["x"])) for r in rows.collect())
     labels = sorted({r[0] for r in sample})
     if not labels:
         return None
@@ -190,7 +193,8 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]
     """
     s = s or MixSettings()
     model = train_domains(docs, labelled, s) or Domains(["all"], np.zeros((1, 1), np.float32), np.zeros(1, np.float32))
-    members = stored(domain_posteriors(docs, model), "posteriors")
+    with rows_at_once(docs.sparkSession, HANDED_ROWS):
+        members = stored(domain_posteriors(docs, model), "posteriors")
     pulls = fit_rates(members, target_shares(members, model.labels, weights, s.at_most), s)
     return _rated(members, model.labels, pulls, s)
 
@@ -259,7 +263,8 @@ def mixed_documents(docs: DataFrame, labelled: DataFrame, weights: dict[str, flo
     model = train_domains(docs, labelled, s)
     if model is None:
         return docs
-    members = stored(domain_posteriors(docs, model), "posteriors")
+    with rows_at_once(docs.sparkSession, HANDED_ROWS):
+        members = stored(domain_posteriors(docs, model), "posteriors")
     pulls = fit_rates(members, target_shares(members, model.labels, weights, s.at_most), s)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
