@@ -1,14 +1,16 @@
 """Deduplication and similarity against plain sequential models written here."""
 
 import datetime as dt
+import hashlib
 import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickerlark.operators import dedup, families, similarity
+from tickerlark.operators import blockwise, dedup, families, similarity
 from tickerlark.params import Params
 
 K2 = (1 + math.log(1.5)) ** 2
@@ -223,6 +225,48 @@ def test_near_duplicates_represent_copies_by_the_first(spark):
     assert dedup.near_duplicate_pairs(empty, params=PLAIN).count() == 0
 
 
+def long_and_short_texts():
+    rng = random.Random(14)
+    texts = {compared(t) for _, _, t in random_rows(1, 120, 1000, 0.0)}
+    long = [[rng.choice("abcdefgh") * 2 + str(int(rng.expovariate(0.05))) for _ in range(rng.randint(40, 400))] for _ in range(12)]
+    for base in long:
+        for _ in range(4):
+            changed = [w if rng.random() < 0.97 else f"new{rng.randrange(50)}" for w in base] * rng.choice([1, 1, 2])
+            texts.add(" ".join(changed))
+    return sorted(t for t in texts if grams(t))
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95])
+@pytest.mark.parametrize("meetings, slot_bits", [(1000, 5), (10**6, 18)])
+def test_pairs_of_two_blocks_are_exact(monkeypatch, threshold, meetings, slot_bits):
+    monkeypatch.setattr(blockwise, "MEETINGS", meetings)
+    monkeypatch.setattr(blockwise, "SLOT_BITS", slot_bits)
+    texts = long_and_short_texts()
+    name = lambda w: int.from_bytes(hashlib.md5(w.encode()).digest()[:8])
+    named = [np.array([name(w) for w in t.split(" ") if len(w) >= 2 and w != "the"], np.uint64) for t in texts]
+    parts = [range(0, len(texts), 2), range(1, len(texts), 2)]
+    blocks = [blockwise.Block.of([named[i] for i in part]) for part in parts]
+    got = {}
+    for i, j in ((0, 0), (0, 1), (1, 1)):
+        for a, b, value in zip(*blockwise.similar(blocks[i], blocks[j], threshold), strict=True):
+            pair = tuple(sorted((parts[i][a], parts[j][b])))
+            assert pair not in got
+            got[pair] = value
+    want = {(i, j): c for i, a in enumerate(texts) for j, b in enumerate(texts[i + 1 :], i + 1) if (c := cosine(a, b)) >= threshold}
+    assert got == pytest.approx(want) and want
+
+
+def test_pairs_of_a_table_in_blocks_are_exact(spark):
+    texts = long_and_short_texts()
+    rows = [(hashlib.md5(t.encode()).digest(), [w for w in t.split(" ") if len(w) >= 2 and w != "the"]) for t in texts]
+    df = spark.createDataFrame(rows, "uid binary, words array<string>").repartition(3)
+    found = blockwise.similar_pairs(df, 0.8, 3000, 1000).collect()
+    text = {uid: t for (uid, _), t in zip(rows, texts)}
+    got = {tuple(sorted((text[bytes(r["uid_a"])], text[bytes(r["uid_b"])]))): r["similarity"] for r in found}
+    want = {(a, b): c for i, a in enumerate(texts) for b in texts[i + 1 :] if (c := cosine(a, b)) >= 0.8}
+    assert got == pytest.approx(want) and len(got) == len(found) > 50
+
+
 def test_split_join_sends_hot_keys_by_broadcast(spark):
     rows = spark.range(5000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("k"), "id")
     lookup = rows.groupBy("k").agg(F.count("*").alias("n"))
