@@ -225,6 +225,18 @@ def test_near_duplicates_represent_copies_by_the_first(spark):
     assert dedup.near_duplicate_pairs(empty, params=PLAIN).count() == 0
 
 
+def test_every_copy_is_paired(spark):
+    texts = ["alpha beta gamma delta epsilon zeta"] * 3 + ["alpha beta gamma delta epsilon zeta zeta"] * 2 + ["unlike", "the", None]
+    rows = [(i // 2 if i < 2 else i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, content string")
+    pairs = dedup.near_duplicate_pairs(df, 0.7, PLAIN, order=("id",), every_copy=True)
+    got = [(r["id_a"], r["id_b"], round(r["similarity"], 9)) for r in pairs.collect()]
+    near = round(cosine(texts[0], texts[3]), 9)
+    assert 0.7 < near < 1
+    want = [(a, b, 1.0 if x == y else near) for i, (a, x) in enumerate(rows[:5]) for b, y in rows[i + 1 : 5]]
+    assert got == sorted(want, key=lambda r: (-r[2], r[0], r[1]))
+
+
 def long_and_short_texts():
     rng = random.Random(14)
     texts = {compared(t) for _, _, t in random_rows(1, 120, 1000, 0.0)}
