@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tickerlark.operators import dedup
 from tickerlark.operators import similarity as sm
 from tickerlark.operators import vectors
 from tickerlark.sources import pages as pg
@@ -32,6 +33,17 @@ def test_one_text_that_is_near_to_all_is_met_in_pairs_with_it(spark):
     assert met == {("u0000", f"u{i:04d}") for i in range(1, 501)} | copies
 
 
+def test_pairs_of_posts_take_no_index_of_all_shingles(spark, monkeypatch):
+    def forbidden(*_):
+        raise AssertionError("an index of all shingles is built")
+
+    monkeypatch.setattr(sm.SimilarityIndex, "build", forbidden)
+    texts = ["gold up bank nifty rally", "Gold up, bank nifty rally!", "gold up bank nifty rally rally", "unlike"]
+    rows = spark.createDataFrame([(f"p{i}", i, t) for i, t in enumerate(texts)], "id string, post_ts int, content string")
+    pairs = [(r["id_a"], r["id_b"]) for r in dedup.near_duplicate_pairs(rows, 0.7).collect()]
+    assert pairs == [("p0", "p1"), ("p0", "p2")]
+
+
 def test_similarity_of_pairs_moves_nothing(spark, capsys):
     rows = [(1, 2, "bank nifty up", "bank nifty up"), (1, 3, "bank nifty", "gold"), (1, 4, "", None)]
     scored = sm.pair_similarity(spark.createDataFrame(rows, "id_a int, id_b int, a string, b string"), "a", "b")
