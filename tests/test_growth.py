@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickerlark.operators import dedup
+from tickerlark.operators import dedup, families
 from tickerlark.operators import similarity as sm
 from tickerlark.operators import vectors
 from tickerlark.sources import pages as pg
@@ -33,6 +33,19 @@ def test_one_text_that_is_near_to_all_is_met_in_pairs_with_it(spark):
     assert met == {("u0000", f"u{i:04d}") for i in range(1, 501)} | copies
 
 
+def test_edges_are_made_once_for_both_directions(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        made.add(1)
+        return row
+
+    edges = spark.sparkContext.parallelize([("a", "b"), ("b", "c"), ("x", "y")], 2).map(counted).toDF("u string, v string")
+    got = {r["uid"]: r["family"] for r in families.connected(edges).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
+    assert made.value == 3
+
+
 def test_pairs_of_posts_take_no_index_of_all_shingles(spark, monkeypatch):
     def forbidden(*_):
         raise AssertionError("an index of all shingles is built")
